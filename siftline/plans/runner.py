@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftline import fixed_values as V
 from siftline.operators.accounting import observed, reduction_stats
 from siftline.operators.decoding import rejects
 from siftline.operators.enrichment import GeoLookup, ThreatLookup, enrich
@@ -17,8 +18,8 @@ from siftline.operators.shaping import with_event_time
 from siftline.plans.catalog import LOG_TYPES
 from siftline.plans.spec import InputSpec, RunSpec, SinkSpec
 from siftline.session import written
-from siftline.sinks.object_store import write_object_store
-from siftline.sinks.tables import write_index, write_olap
+from siftline.sinks.object_store import object_folder, write_object_store
+from siftline.sinks.tables import index_name, write_index, write_olap
 
 
 @dataclass(frozen=True)
@@ -41,10 +42,18 @@ class RunResult:
         return reduction_stats(self.staged[log_type], self.enriched[input_id])
 
 
-def sink_path(out_dir: str, input_id: str, sink: SinkSpec) -> str:
-    """Every input has a folder of its own, so equal sink settings do not collide."""
+def sink_path(out_dir: str, item: InputSpec, sink: SinkSpec) -> str:
+    """The folder of one sink's rows.
+
+    Every input has a folder of its own, so equal sink settings do not collide.
+    """
     place = sink.bucket if sink.type == "aws_s3" else sink.type
-    return f"{out_dir.rstrip('/')}/{place}/input_id={input_id}/{sink.id}"
+    path = f"{out_dir.rstrip('/')}/{place}/input_id={item.id}/{sink.id}"
+    if sink.type == "aws_s3":
+        return object_folder(path, sink.key_prefix)
+    if sink.type == "elasticsearch":
+        return f"{path}/{index_name(item.log_type, sink.index)}"
+    return f"{path}/{V.OLAP_DATABASE}/{item.log_type}"
 
 
 def write_sink(
@@ -52,14 +61,13 @@ def write_sink(
 ) -> None:
     rows = only_log_type(events, log_type)
     if sink.type == "aws_s3":
-        write_object_store(
-            with_event_time(rows, log_type).drop("route"), path, sink.key_prefix, mode=mode
-        )
+        rows = with_event_time(rows, log_type).drop("route")
+        write_object_store(rows, path, sink.key_prefix, mode=mode)
     elif sink.type == "elasticsearch":
         # this sink leaves the raw message out
-        write_index(rows, log_type, sink.index, path=path, keep_message=False, mode=mode)
+        write_index(rows, log_type, path, keep_message=False, mode=mode)
     else:
-        write_olap(rows, log_type, path=path, mode=mode)
+        write_olap(rows, log_type, path, mode=mode)
 
 
 def enriched_input(
@@ -107,7 +115,7 @@ def run_batch(
         events = written(events, f"enriched-{item.id}")
         result.enriched[item.id] = events
         for sink in item.sinks:
-            path = sink_path(out_dir, item.id, sink)
+            path = sink_path(out_dir, item, sink)
             counted, seen = observed(events, f"{spec.id}-{item.id}-{sink.id}")
             write_sink(counted, item.log_type, sink, path)
             result.sinks.append(

@@ -117,7 +117,7 @@ ERROR = Rendering(
     },
     line=(
         "CASE WHEN event_id % 97 = 0 THEN '[x] broken ' || CAST(event_id AS STRING) ELSE "
-        "CASE WHEN event_id % 37 = 0 THEN 'shipper [eu] ' ELSE '' END || "
+        "CASE WHEN event_id % 37 = 0 THEN 'shipper [' ELSE '' END || "
         "timestamp || '[' || level || '] ' || pid || '#' || tid || ': *' || request_id || ' ' || "
         "CASE WHEN event_id % 101 = 0 THEN 'accept() failed (24: Too many open files)' "
         "ELSE error_message END || ', client: ' || ip END"

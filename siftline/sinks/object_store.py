@@ -48,11 +48,16 @@ def with_date_folders(df: DataFrame, prefix: Prefix) -> DataFrame:
     return df
 
 
+def object_folder(path: str, key_prefix: str) -> str:
+    """Where the date folders start: the store's path and the prefix's leading folders."""
+    return "/".join(p for p in (path.rstrip("/"), split_prefix(key_prefix).base) if p)
+
+
 def write_object_store(
     df: DataFrame, path: str, key_prefix: str = V.DEFAULT_KEY_PREFIX,
     mode: str = "overwrite", max_records_per_file: int = 1_000_000,
 ) -> None:
-    """Gzip JSON under ``<path>/<base>/<dates>/log_type=<type>/``.
+    """Gzip JSON under ``<path>/<dates>/log_type=<type>/``.
 
     The log type is a named folder so that readers prune by it. Rows are
     rebalanced by folder before writing: few files per folder, and a folder
@@ -61,12 +66,11 @@ def write_object_store(
     prefix = split_prefix(key_prefix.replace("{log_type}", ""))
     folders = [name for name, _ in prefix.dates] + ["log_type"]
     out = with_date_folders(df, prefix).drop("ingest_time")
-    target = "/".join(p for p in (path.rstrip("/"), prefix.base) if p)
     (
         out.hint("rebalance", *[F.col(f) for f in folders])
         .write.mode(mode)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*folders)
-        .json(target)
+        .json(path)
     )

@@ -11,21 +11,27 @@ from siftline.operators.shaping import index_projection, olap_rows
 ES_FORMAT = "org.elasticsearch.spark.sql"
 
 
+def index_name(log_type: str | None, index: str | None = None) -> str:
+    return index or log_type or V.FALLBACK_INDEX
+
+
 def write_index(
-    df: DataFrame, log_type: str, index: str | None = None, path: str | None = None,
+    df: DataFrame, log_type: str, path: str | None = None, index: str | None = None,
     endpoint: str | None = None, keep_message: bool = True, mode: str = "overwrite",
 ) -> None:
-    """The index projection of one log type, to the index's table under ``path``.
+    """The index projection of one log type, as a table at ``path``.
 
     With an endpoint and no path it goes to the search engine through its
     connector, which the cluster has to provide.
     """
-    name = index or log_type or V.FALLBACK_INDEX
     out = index_projection(df, log_type, keep_message)
     if path is not None:
-        out.write.mode(mode).parquet(f"{path.rstrip('/')}/index={name}")
+        out.write.mode(mode).parquet(path)
     elif endpoint is not None:
-        out.write.format(ES_FORMAT).option("es.nodes", endpoint).mode("append").save(name)
+        (
+            out.write.format(ES_FORMAT).option("es.nodes", endpoint)
+            .mode("append").save(index_name(log_type, index))
+        )
     else:
         raise ValueError("an index needs a path or an endpoint")
 
@@ -43,11 +49,10 @@ def write_olap(
     df: DataFrame, log_type: str, path: str | None = None, columns: list[str] | None = None,
     database: str = V.OLAP_DATABASE, mode: str = "append",
 ) -> None:
-    """Flattened rows into the log type's table, by name in the catalog or under ``path``."""
+    """Flattened rows into the log type's table, by name in the catalog or as files at ``path``."""
     out = olap_rows(df, log_type, columns)
     if path is not None:
-        out.write.mode(mode).parquet(f"{path.rstrip('/')}/{database}/{log_type}")
+        out.write.mode(mode).parquet(path)
         return
-    spark = df.sparkSession
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     out.write.mode(mode).saveAsTable(f"{database}.{log_type}")

@@ -105,7 +105,7 @@ def start_run(
             try:
                 for sink in item.sinks:
                     # a batch run again replaces its own folder
-                    path = f"{sink_path(out_dir, item.id, sink)}/batch_id={batch_id}"
+                    path = f"{sink_path(out_dir, item, sink)}/batch_id={batch_id}"
                     write_sink(events, item.log_type, sink, path)
             finally:
                 events.unpersist()
