@@ -93,7 +93,9 @@ NETWORKS = (
 
 def threat_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listed addresses, every one of them twice."""
-    listed = spark.createDataFrame([(a,) for a in THREAT_ADDRESSES], "ip string")
+    listed = spark.range(1).select(
+        F.explode(F.array(*[F.lit(a) for a in THREAT_ADDRESSES])).alias("ip")
+    )
     suppliers = table(spark, sf_dir, "supplier").select(F.expr(SUPPLIER_ADDRESS).alias("ip"))
     once = listed.unionByName(suppliers)
     return once.unionByName(once)
@@ -121,7 +123,7 @@ def lookups(spark: SparkSession, sf_dir: str) -> tuple[ThreatLookup, GeoLookup]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _prepared:
         _prepared[key] = (
-            prepare_threat(written(threat_list(spark, sf_dir), "threat")),
+            prepare_threat(threat_list(spark, sf_dir)),
             prepare_geo(geo_networks(spark, sf_dir)),
         )
     return _prepared[key]

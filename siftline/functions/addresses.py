@@ -19,8 +19,11 @@ def ipv4_number(text: Column) -> Column:
     """The address as a BIGINT, NULL for anything that is not IPv4."""
     octets = F.split(text, r"\.")
     number = sum(
-        (octets[i].cast("bigint") * F.lit(1 << (24 - 8 * i)) for i in range(1, 4)),
-        octets[0].cast("bigint") * F.lit(1 << 24),
+        (
+            F.get(octets, F.lit(i)).cast("bigint") * F.lit(1 << (24 - 8 * i))
+            for i in range(1, 4)
+        ),
+        F.get(octets, F.lit(0)).cast("bigint") * F.lit(1 << 24),
     )
     return F.when(is_ipv4(text), number)
 

@@ -25,22 +25,24 @@ def captures(text: Column, pattern: str, groups: Sequence[int | None]) -> Column
     ``groups`` names the group for each slot, None for a slot left empty. The
     array has ``len(groups)`` entries exactly when the pattern matched. One
     replacement pass writes all groups side by side and one split takes them
-    apart. A text that holds the separator itself goes the slower way, group by
-    group.
+    apart. A text that holds the separator itself gets one of its own, longer by
+    the text's digest: it starts with the only separator character in it, so it
+    cannot run into a neighbouring group.
     """
     if len(groups) < 2:
         raise ValueError("two slots at least: the array size tells a match")
     whole = f"(?s)^.*?{searched(pattern)}.*$"
-    replacement = SEPARATOR.join("" if g is None else f"${g}" for g in groups)
-    one_pass = F.split(F.regexp_replace(text, whole, replacement), SEPARATOR, -1)
-    by_group = F.when(
-        found(text, pattern),
-        F.array(*[
-            F.lit("") if g is None else F.regexp_extract(text, searched(pattern), g)
-            for g in groups
-        ]),
-    )
-    return F.when(text.contains(SEPARATOR), by_group).otherwise(one_pass)
+    usual = SEPARATOR.join("" if g is None else f"${g}" for g in groups)
+    clashes = text.contains(SEPARATOR)
+    own = F.concat(F.lit(SEPARATOR), F.sha2(text.cast("binary"), 256))
+    replacement = F.when(clashes, F.replace(F.lit(usual), F.lit(SEPARATOR), own)).otherwise(usual)
+    separator = F.when(clashes, own).otherwise(SEPARATOR)
+    return F.split(F.regexp_replace(text, F.lit(whole), replacement), separator, -1)
+
+
+def slot(captured: Column, index: int) -> Column:
+    """One slot; NULL, not an error, where there was no match."""
+    return F.get(captured, F.lit(index))
 
 
 def complete(captured: Column, slots: int) -> Column:

@@ -11,6 +11,7 @@ _ZONED = (
     r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?"
     r"(?:Z|[+-][0-9]{2}:?[0-9]{2})\z"
 )
+_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def iso_instant(text: Column) -> Column:
@@ -20,15 +21,13 @@ def iso_instant(text: Column) -> Column:
 
 def utc_clock(instant: Column) -> Column:
     """The instant's UTC wall clock as TIMESTAMP_NTZ."""
-    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(
-        secs=(F.unix_micros(instant) / F.lit(1000000)).cast("decimal(18,6)")
-    )
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.expr(_EPOCH))
 
 
 def utc_minute(instant: Column) -> Column:
     """The UTC minute the instant lies in, as TIMESTAMP_NTZ."""
-    minutes = F.floor(F.unix_seconds(instant) / F.lit(60)).cast("int")
-    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(mins=minutes)
+    minutes = F.lit(60) * F.floor(F.unix_seconds(instant) / F.lit(60))
+    return F.timestamp_add("SECOND", minutes, F.expr(_EPOCH))
 
 
 def utc_text(instant: Column) -> Column:

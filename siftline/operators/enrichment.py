@@ -53,12 +53,9 @@ class GeoLookup:
 
 
 def prepare_threat(threat: DataFrame) -> ThreatLookup:
-    """Distinct IPv4 addresses of a list with a column ``ip``."""
-    table = (
-        threat.select(ipv4_number(F.col("ip")).alias("number"))
-        .filter(F.col("number").isNotNull())
-        .distinct()
-    )
+    """Distinct IPv4 addresses of a list with a column ``ip``, written once per list version."""
+    numbers = threat.select(ipv4_number(F.col("ip")).alias("number"))
+    table = written(numbers.filter(F.col("number").isNotNull()).distinct(), "threat")
     return ThreatLookup(table, table.count())
 
 

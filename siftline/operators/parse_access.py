@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline import fixed_values as V
-from siftline.functions.captures import captures, complete, computed_once
+from siftline.functions.captures import captures, complete, computed_once, slot
 from siftline.operators.decoding import NO_MATCH, NOT_UTF8, decoded, with_bookkeeping
 
 
@@ -20,6 +20,6 @@ def parse_access(raw: DataFrame) -> DataFrame:
     return with_bookkeeping(
         df,
         ["message"]
-        + [F.when(matched, line[i]).alias(f) for i, f in enumerate(V.ACCESS_FIELDS)],
+        + [F.when(matched, slot(line, i)).alias(f) for i, f in enumerate(V.ACCESS_FIELDS)],
         F.when(F.col("message").isNull(), NOT_UTF8).when(~matched, NO_MATCH),
     )

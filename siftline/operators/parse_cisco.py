@@ -13,7 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline import fixed_values as V
-from siftline.functions.captures import captures, complete, computed_once, found, searched
+from siftline.functions.captures import (
+    captures,
+    complete,
+    computed_once,
+    found,
+    searched,
+    slot,
+)
 from siftline.operators.decoding import NOT_UTF8, decoded, with_bookkeeping
 
 NO_HEADER = "no_header"
@@ -57,29 +64,29 @@ def parse_cisco(raw: DataFrame) -> DataFrame:
         )
         .withColumn(
             "event_type",
-            computed_once(F.when(has_header & ~debug, _event_type(header[2]))),
+            computed_once(F.when(has_header & ~debug, _event_type(slot(header, 2)))),
         )
-        .withColumn("detail", computed_once(_detail(header[2], event_type)))
+        .withColumn("detail", computed_once(_detail(slot(header, 2), event_type)))
     )
-    detailed = complete(detail, width)
     reject = (
         F.when(message.isNull(), NOT_UTF8)
         .when(~has_header, NO_HEADER)
-        .when(event_type.isNotNull() & ~detailed, NO_DETAIL)
+        .when(event_type.isNotNull() & ~complete(detail, width), NO_DETAIL)
     )
-    kept = reject.isNull()
+    df = df.withColumn("reject", computed_once(reject))
+    kept = F.col("reject").isNull()
     return with_bookkeeping(
         df,
         [
             "message",
             F.when(kept, severity).alias("severity"),
-            F.when(kept, header[1]).alias("message_id"),
-            F.when(kept & debug, header[2]).alias("message_text"),
+            F.when(kept, slot(header, 1)).alias("message_id"),
+            F.when(kept & debug, slot(header, 2)).alias("message_text"),
             F.when(kept, event_type).alias("event_type"),
         ]
         + [
-            F.when(kept & detailed, F.nullif(detail[i], F.lit(""))).alias(f)
+            F.when(kept, F.nullif(slot(detail, i), F.lit(""))).alias(f)
             for i, f in enumerate(V.CISCO_DETAIL_FIELDS)
         ],
-        reject,
+        F.col("reject"),
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline import fixed_values as V
-from siftline.functions.captures import captures, complete, computed_once
+from siftline.functions.captures import captures, complete, computed_once, slot
 from siftline.operators.decoding import NO_MATCH, NOT_UTF8, decoded, with_bookkeeping
 
 NO_DETAIL = "no_detail"
@@ -16,7 +16,7 @@ def parse_error(raw: DataFrame) -> DataFrame:
     outer, inner = len(V.ERROR_FIELDS), len(V.ERROR_DETAIL_FIELDS)
     line, detail = F.col("line"), F.col("detail")
     line_matched = complete(line, outer)
-    inner_text = F.when(line_matched, line[V.ERROR_FIELDS.index("error_message")])
+    inner_text = F.when(line_matched, slot(line, V.ERROR_FIELDS.index("error_message")))
     df = (
         decoded(raw, V.ERROR_LOG)
         .withColumn(
@@ -32,8 +32,8 @@ def parse_error(raw: DataFrame) -> DataFrame:
     return with_bookkeeping(
         df,
         ["message"]
-        + [F.when(matched, line[i]).alias(f) for i, f in enumerate(V.ERROR_FIELDS)]
-        + [F.when(matched, detail[i]).alias(f) for i, f in enumerate(V.ERROR_DETAIL_FIELDS)],
+        + [F.when(matched, slot(line, i)).alias(f) for i, f in enumerate(V.ERROR_FIELDS)]
+        + [F.when(matched, slot(detail, i)).alias(f) for i, f in enumerate(V.ERROR_DETAIL_FIELDS)],
         F.when(F.col("message").isNull(), NOT_UTF8)
         .when(~line_matched, NO_MATCH)
         .when(~matched, NO_DETAIL),

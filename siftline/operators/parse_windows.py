@@ -37,30 +37,31 @@ _CLOSED = r"</Event>\s*(?:<!--[\s\S]*?-->\s*)*\z"
 _SYSTEM_RAW_NAMES = ("EventID", "Level", "EventRecordID", "Channel", "Computer")
 
 
-def _extra(names_last_first: Column, values_last_first: Column, columns: Sequence[str]) -> Column:
-    """Normalised name to value for the Data names without a column, last one winning."""
+def _unknown(names: Column, values: Column, columns: Sequence[str]) -> Column:
+    """The (normalised name, value) entries without a column; NULL for the usual row."""
     own = F.array(*[F.lit(n) for n in columns])
-    unknown = F.filter(
-        F.arrays_zip(
-            F.transform(names_last_first, snake_case).alias("name"),
-            values_last_first.alias("value"),
-            names_last_first.alias("raw"),
+    entries = F.filter(
+        F.arrays_zip(names.alias("name"), values.alias("value")),
+        lambda d: ~F.array_contains(own, d["name"]),
+    )
+    return F.when(
+        F.size(F.array_except(names, own)) > 0,
+        F.transform(
+            entries,
+            lambda d: F.struct(snake_case(d["name"]).alias("name"), d["value"].alias("value")),
         ),
-        lambda d: ~F.array_contains(own, d["raw"]),
     )
-    # entries run last to first, so the first position of a name is its last value
+
+
+def _extra(unknown: Column) -> Column:
+    """Map of the entries, which run last to first: a name's first position is its last value."""
+    names = unknown.getField("name")
     latest = F.filter(
-        unknown,
-        lambda d, i: F.array_position(
-            F.transform(unknown, lambda x: x["name"]), d["name"]
-        ) == i + 1,
+        unknown, lambda d, i: F.array_position(names, d["name"]) == (i + 1).cast("bigint")
     )
-    has_unknown = F.size(F.array_except(names_last_first, own)) > 0
     return F.when(
-        has_unknown,
-        F.map_from_arrays(
-            F.transform(latest, lambda d: d["name"]), F.transform(latest, lambda d: d["value"])
-        ),
+        unknown.isNotNull(),
+        F.map_from_arrays(latest.getField("name"), latest.getField("value")),
     )
 
 
@@ -71,30 +72,38 @@ def parse_windows(
     names, values = F.col("data_names"), F.col("data_values")
     data = event["EventData"]["Data"]
     system = event["System"]
-    created = F.col("created")
+    created, created_text = F.col("created"), system["TimeCreated"]["_SystemTime"]
+    closed = message.endswith("</Event>") | message.rlike(_CLOSED)
 
     df = (
         decoded(raw, V.WINDOW_LOG)
         .withColumn("event", computed_once(F.from_xml(message, EVENT_SCHEMA)))
-        .withColumn("data_names", F.reverse(F.transform(data, lambda d: d["_Name"])))
-        .withColumn("data_values", F.reverse(F.transform(data, lambda d: d["_VALUE"])))
-        .withColumn("created", iso_instant(system["TimeCreated"]["_SystemTime"]))
+        .withColumn("data_names", F.reverse(data.getField("_Name")))
+        .withColumn("data_values", F.reverse(data.getField("_VALUE")))
+        .withColumn("created", iso_instant(created_text))
     )
     reject = (
         F.when(message.isNull(), NOT_UTF8)
-        .when(event["_corrupt_record"].isNotNull() | ~message.rlike(_CLOSED), BAD_XML)
+        .when(event["_corrupt_record"].isNotNull() | ~closed, BAD_XML)
         .when(system.isNull(), NO_SYSTEM)
         .when(data.isNull(), NO_DATA)
         .when(F.exists(data, lambda d: d["_Name"].isNull()), UNNAMED_DATA)
         .when(created.isNull(), BAD_TIME)
     )
-    df = df.withColumn("reject", computed_once(reject))
     kept = F.col("reject").isNull()
+    columns = (*data_names, *_SYSTEM_RAW_NAMES)
+    df = df.withColumn("reject", computed_once(reject)).withColumn(
+        "unknown", computed_once(F.when(kept, _unknown(names, values, columns)))
+    )
     system_columns = {
         "provider_name": system["Provider"]["_Name"],
         "event_id": system["EventID"],
         "level": system["Level"],
-        "time_created_system_time": utc_text(created),
+        # a UTC text is its own clock
+        "time_created_system_time": F.when(
+            created_text.endswith("Z"),
+            F.translate(F.substring(created_text, 1, 19), "T", " "),
+        ).otherwise(utc_text(created)),
         "event_record_id": system["EventRecordID"],
         "channel": system["Channel"],
         "computer": system["Computer"],
@@ -115,6 +124,6 @@ def parse_windows(
         df,
         [F.when(kept, c).alias(n) for n, c in system_columns.items()]
         + [F.when(kept, c).alias(n) for n, c in data_columns.items()]
-        + [F.when(kept, _extra(names, values, (*data_names, *_SYSTEM_RAW_NAMES))).alias("extra")],
+        + [_extra(F.col("unknown")).alias("extra")],
         F.col("reject"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftline import fixed_values as V
+from siftline.functions.captures import computed_once
 
 SAMPLE, DANGEROUS, DEDUPE = "sample", "dangerous", "dedupe"
 REJECT = "reject"
@@ -74,7 +75,7 @@ def with_route(df: DataFrame, routes: Sequence[tuple[str, Column]]) -> DataFrame
     route = exclusive_route(routes)
     if "reject_reason" in df.columns:
         route = F.when(F.col("reject_reason").isNotNull(), REJECT).otherwise(route)
-    return df.withColumn("route", route)
+    return df.withColumn("route", computed_once(route))
 
 
 def only_log_type(df: DataFrame, log_type: str) -> DataFrame:
