@@ -19,11 +19,14 @@ def dedupe_stream(
 ) -> DataFrame:
     """One row per null-safe key within the window; state is dropped behind the watermark.
 
-    Two kept rows of a key are never closer than the window, and a row with no
-    row of its key in the window before it is always kept. A first step keeps
-    one row per key and salt, so that a key with a large part of the rows is
-    worked on by many tasks; the second step then sees at most ``salts`` rows of
-    it per window. ``salts=1`` leaves the first step out.
+    Two kept rows of a key are never closer than the window. A key is forgotten
+    when the watermark, which trails the newest arrival by the window and moves
+    between batches, has passed the window after its kept row; so keep batches
+    shorter than the window when catching up (limit them at the source).
+
+    A first step keeps one row per key and salt, so that a key with a large part
+    of the rows is worked on by many tasks; the second step then sees at most
+    ``salts`` rows of it per window. ``salts=1`` leaves the first step out.
     """
     marked = df.withWatermark(time, window)
     if salts > 1:
