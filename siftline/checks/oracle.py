@@ -233,10 +233,10 @@ def _modes() -> str:
     for mode, flag, geo in (
         ("both", True, True), ("geo", False, True), ("threat", True, False), ("none", False, False),
     ):
-        threat = f"({_flag(['f.ip'])})" if flag else "CAST(NULL AS BOOLEAN)"
-        country = "p.country" if geo else "CAST(NULL AS VARCHAR)"
+        threat = f"CAST(({_flag(['f.ip'])}) AS VARCHAR)" if flag else "'not asked'"
+        country = "p.country" if geo else "'not asked'"
         parts.append(
-            f"SELECT event_id AS pos, '{mode}' AS mode, {threat} AS threat_ip, "
+            f"SELECT event_id AS pos, '{mode}' AS mode, {threat} AS threat, "
             f"{country} AS country FROM f LEFT JOIN places p ON f.ip = p.ip"
         )
     return f"WITH listed AS {LISTED}, f AS {_rows(t)}, {places} " + " UNION ALL ".join(parts)
@@ -329,7 +329,7 @@ def _stream_parse(log_type: str) -> str:
 def _stream_reduced(log_type: str) -> str:
     keys = ", ".join(V.DEDUPE_KEYS[log_type])
     return (
-        f"SELECT CASE WHEN route <> 'dedupe' THEN event_id END AS pos, route, {keys} "
+        f"SELECT CASE WHEN route <> 'dedupe' THEN event_id ELSE -1 END AS pos, route, {keys} "
         f"FROM {_kept(log_type)} k"
     )
 
@@ -427,7 +427,7 @@ def registered() -> dict[str, str]:
     out["olap_rows"] = _enriched(
         V.ERROR_LOG,
         f"'error_log' AS log_type, {LOCAL_CLOCK} AS timestamp, level, pid, f.ip, errno, file_path, "
-        f"p.country AS geo_ip_country, {threat}, CAST(NULL AS VARCHAR) AS not_sent",
+        f"p.country AS geo_ip_country, {threat}, '-' AS not_sent",
     )
     day = LOCAL_CLOCK
     out["object_store_roundtrip"] = _enriched(

@@ -224,8 +224,8 @@ def modes(spark, sf_dir):
         out.append(_pos(
             df,
             F.lit(name).alias("mode"),
-            (F.col("threat_ip") if t else F.lit(None).cast("boolean")).alias("threat_ip"),
-            (F.col("geo_ip.country") if g else F.lit(None).cast("string")).alias("country"),
+            (F.col("threat_ip").cast("string") if t else F.lit("not asked")).alias("threat"),
+            (F.col("geo_ip.country") if g else F.lit("not asked")).alias("country"),
         ))
     return merge_inputs(out)
 
@@ -261,7 +261,9 @@ def olap(spark, sf_dir):
         "geo_ip_country", "threat_ip", "not_sent",
     ]
     df = olap_rows(_enriched(spark, sf_dir, V.ERROR_LOG), V.ERROR_LOG, columns)
-    return df.withColumn("timestamp", utc_clock(F.col("timestamp")))
+    return df.withColumn("timestamp", utc_clock(F.col("timestamp"))).withColumn(
+        "not_sent", F.coalesce("not_sent", F.lit("-"))
+    )
 
 
 def object_store_roundtrip(spark, sf_dir):
@@ -477,7 +479,7 @@ def stream_reduced(spark, sf_dir, log_type):
         spark, f"{work}/parsed", LOG_TYPES[log_type], FOREVER, max_files_per_trigger=4
     )
     rows = _drained(kept, f"{work}/reduced")
-    pos = F.when(F.col("route") != DEDUPE, F.col("offset"))
+    pos = F.when(F.col("route") != DEDUPE, F.col("offset")).otherwise(-1)
     return rows.select(pos.alias("pos"), "route", *V.DEDUPE_KEYS[log_type])
 
 

@@ -18,6 +18,7 @@ ACCESS_PATTERN = (
     r'(\d{1,3}(?:\.\d{1,3}){3}) - - \[([0-9/:+\- ]+)\] '
     r'"(\w+) ([^ ]+) ([\w/.]+)" (\d+) (\d+) "([^"]+)" "([^"]+)"'
 )
+ACCESS_LITERAL = " - - ["
 ACCESS_FIELDS = (
     "ip", "timestamp", "method", "url", "protocol", "status", "bytes", "user_agent", "refer",
 )
@@ -34,16 +35,19 @@ FIRST_FAILING_STATUS = 400
 ERROR_PATTERN = (
     r'(?:^|(?<=\[))([^\[]++)\[(\w+)\] (\d+)#(\d+): \*(\d+) ([^,]++), client: (.+)'
 )
+ERROR_LITERAL = ", client: "
 ERROR_FIELDS = ("timestamp", "level", "pid", "tid", "request_id", "error_message", "ip")
 ERROR_DETAIL_PATTERN = (
     r'(?:^|(?<="))[^"\w]*+(\w++(?!")|\w+(?=\w"))[^"]*+"([^"]++)"[^(]++\((\d+).+'
 )
+ERROR_DETAIL_LITERAL = '"'
 ERROR_DETAIL_FIELDS = ("action", "file_path", "errno")
 IMPORTANT_LEVELS = ("crit", "error", "alert")
 
 # ---- fixed values: firewall log ----------------------------------------------
 CISCO_SEVERITY_PATTERN = r'%ASA-(\d+)-.+'
 CISCO_HEADER_PATTERN = r'%ASA-(\d+)-(\d+): (.+)'
+CISCO_LITERAL = "%ASA-"
 CISCO_DEBUG_SEVERITY = 7
 CISCO_DETAIL_FIELDS = (
     "protocol", "conn_id", "src_zone", "src_ip", "src_port", "dst_zone", "dst_ip", "dst_port",

@@ -19,7 +19,9 @@ def found(text: Column, pattern: str) -> Column:
     return text.rlike(searched(pattern))
 
 
-def captures(text: Column, pattern: str, groups: Sequence[int | None]) -> Column:
+def captures(
+    text: Column, pattern: str, groups: Sequence[int | None], literal: str
+) -> Column:
     """Array of the wanted groups of the first match, ``''`` for an absent one.
 
     ``groups`` names the group for each slot, None for a slot left empty. The
@@ -27,7 +29,8 @@ def captures(text: Column, pattern: str, groups: Sequence[int | None]) -> Column
     replacement pass writes all groups side by side and one split takes them
     apart. A text that holds the separator itself gets one of its own, longer by
     the text's digest: it starts with the only separator character in it, so it
-    cannot run into a neighbouring group.
+    cannot run into a neighbouring group. ``literal`` is a text every match
+    contains; where it is missing the pattern is not tried.
     """
     if len(groups) < 2:
         raise ValueError("two slots at least: the array size tells a match")
@@ -37,7 +40,8 @@ def captures(text: Column, pattern: str, groups: Sequence[int | None]) -> Column
     own = F.concat(F.lit(SEPARATOR), F.sha2(text.cast("binary"), 256))
     replacement = F.when(clashes, F.replace(F.lit(usual), F.lit(SEPARATOR), own)).otherwise(usual)
     separator = F.when(clashes, own).otherwise(SEPARATOR)
-    return F.split(F.regexp_replace(text, F.lit(whole), replacement), separator, -1)
+    groups_apart = F.split(F.regexp_replace(text, F.lit(whole), replacement), separator, -1)
+    return F.when(text.contains(literal), groups_apart)
 
 
 def slot(captured: Column, index: int) -> Column:

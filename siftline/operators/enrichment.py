@@ -130,7 +130,11 @@ def _lookup_threat(df: DataFrame, number: str, threat: ThreatLookup, hit: str) -
 
 
 def _lookup_geo(df: DataFrame, number: str, geo: GeoLookup, into: str, broadcast: bool) -> DataFrame:
-    """Adds ``into``, the entry of the longest matching level or NULL."""
+    """Adds ``into``, the entry of the longest matching level or NULL.
+
+    The two short levels have at most 256 and 65,536 entries and are always
+    broadcast; ``broadcast`` says whether the long ones are.
+    """
     found: list[str] = []
     for level, table in geo.levels.items():
         name = f"_geo{level}"
@@ -138,7 +142,7 @@ def _lookup_geo(df: DataFrame, number: str, geo: GeoLookup, into: str, broadcast
             F.col("prefix").alias(f"_prefix{level}"), F.col("geo").alias(name)
         )
         df = df.join(
-            F.broadcast(side) if broadcast else side,
+            F.broadcast(side) if broadcast or level <= 16 else side,
             _prefix(F.col(number), level) == F.col(f"_prefix{level}"),
             "left",
         ).drop(f"_prefix{level}")

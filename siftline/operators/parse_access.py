@@ -13,7 +13,7 @@ from siftline.operators.decoding import NO_MATCH, NOT_UTF8, decoded, with_bookke
 def parse_access(raw: DataFrame) -> DataFrame:
     width = len(V.ACCESS_FIELDS)
     df = decoded(raw, V.ACCESS_LOG).withColumn(
-        "line", computed_once(captures(F.col("message"), V.ACCESS_PATTERN, range(1, width + 1)))
+        "line", computed_once(captures(F.col("message"), V.ACCESS_PATTERN, range(1, width + 1), V.ACCESS_LITERAL))
     )
     line = F.col("line")
     matched = complete(line, width)

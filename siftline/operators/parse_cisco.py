@@ -40,7 +40,7 @@ def _detail(text: Column, event_type: Column) -> Column:
         slots = [
             fields.index(f) + 1 if f in fields else None for f in V.CISCO_DETAIL_FIELDS
         ]
-        chain = chain.when(event_type == name, captures(text, pattern, slots))
+        chain = chain.when(event_type == name, captures(text, pattern, slots, pattern.split(" ")[0]))
     return chain
 
 
@@ -56,11 +56,15 @@ def parse_cisco(raw: DataFrame) -> DataFrame:
         decoded(raw, V.CISCO_LOG)
         .withColumn(
             "header",
-            computed_once(captures(message, V.CISCO_HEADER_PATTERN, (1, 2, 3))),
+            computed_once(captures(message, V.CISCO_HEADER_PATTERN, (1, 2, 3), V.CISCO_LITERAL)),
         )
         # severity comes from its own, looser search: it may match earlier in the line
         .withColumn(
-            "severity", F.regexp_extract(message, searched(V.CISCO_SEVERITY_PATTERN), 1)
+            "severity",
+            F.when(
+                message.contains(V.CISCO_LITERAL),
+                F.regexp_extract(message, searched(V.CISCO_SEVERITY_PATTERN), 1),
+            ),
         )
         .withColumn(
             "event_type",

@@ -21,11 +21,13 @@ def parse_error(raw: DataFrame) -> DataFrame:
         decoded(raw, V.ERROR_LOG)
         .withColumn(
             "line",
-            computed_once(captures(F.col("message"), V.ERROR_PATTERN, range(1, outer + 1))),
+            computed_once(captures(F.col("message"), V.ERROR_PATTERN, range(1, outer + 1), V.ERROR_LITERAL)),
         )
         .withColumn(
             "detail",
-            computed_once(captures(inner_text, V.ERROR_DETAIL_PATTERN, range(1, inner + 1))),
+            computed_once(captures(
+                    inner_text, V.ERROR_DETAIL_PATTERN, range(1, inner + 1), V.ERROR_DETAIL_LITERAL
+                )),
         )
     )
     matched = line_matched & complete(detail, inner)

@@ -73,18 +73,19 @@ def parse_windows(
     data = event["EventData"]["Data"]
     system = event["System"]
     created, created_text = F.col("created"), system["TimeCreated"]["_SystemTime"]
+    # the last tag closes the root, so the root is an Event
     closed = message.endswith("</Event>") | message.rlike(_CLOSED)
 
     df = (
         decoded(raw, V.WINDOW_LOG)
-        .withColumn("event", computed_once(F.from_xml(message, EVENT_SCHEMA)))
+        .withColumn("event", computed_once(F.when(closed, F.from_xml(message, EVENT_SCHEMA))))
         .withColumn("data_names", F.reverse(data.getField("_Name")))
         .withColumn("data_values", F.reverse(data.getField("_VALUE")))
         .withColumn("created", iso_instant(created_text))
     )
     reject = (
         F.when(message.isNull(), NOT_UTF8)
-        .when(event["_corrupt_record"].isNotNull() | ~closed, BAD_XML)
+        .when(~closed | event["_corrupt_record"].isNotNull(), BAD_XML)
         .when(system.isNull(), NO_SYSTEM)
         .when(data.isNull(), NO_DATA)
         .when(F.exists(data, lambda d: d["_Name"].isNull()), UNNAMED_DATA)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftline import fixed_values as V
@@ -21,6 +23,8 @@ from siftline.session import written
 from siftline.sinks.object_store import object_folder, write_object_store
 from siftline.sinks.tables import index_name, write_index, write_olap
 
+JOBS_AT_ONCE = 4
+
 
 @dataclass(frozen=True)
 class SinkResult:
@@ -84,6 +88,12 @@ def enriched_input(
     )
 
 
+def _side_by_side(spark: SparkSession, work: Callable, items: Iterable) -> list:
+    """Independent jobs submitted together, so one's last tasks do not idle the cluster."""
+    with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), items))
+
+
 def run_batch(
     spec: RunSpec,
     raw: Mapping[str, DataFrame],
@@ -99,26 +109,37 @@ def run_batch(
     are written likewise only where more than one reader follows.
     """
     result = RunResult()
+    spark = next(iter(raw.values())).sparkSession
     uses = Counter(i.log_type for i in spec.inputs)
-    reduced: dict[str, DataFrame] = {}
-    for name, count in uses.items():
+
+    def reduce_type(name: str) -> DataFrame:
         log_type = LOG_TYPES[name]
         staged = written(log_type.staged(raw[name]), f"parsed-{name}", partition_by=("route",))
         result.staged[name] = staged
         result.rejects[name] = rejects(staged)
         kept = log_type.reduced(staged, gap_seconds)
-        reduced[name] = written(kept, f"reduced-{name}") if count > 1 else kept
-    for item in spec.inputs:
-        events = enriched_input(reduced[item.log_type], item, threat, geo).withColumn(
-            "input_id", F.lit(item.id)
-        )
-        events = written(events, f"enriched-{item.id}")
-        result.enriched[item.id] = events
+        return written(kept, f"reduced-{name}") if uses[name] > 1 else kept
+
+    def write_input(item: InputSpec) -> list[SinkResult]:
+        events = enriched[item.id]
+        if len(item.sinks) > 1:
+            events = result.enriched[item.id] = written(events, f"enriched-{item.id}")
+        out = []
         for sink in item.sinks:
             path = sink_path(out_dir, item, sink)
             counted, seen = observed(events, f"{spec.id}-{item.id}-{sink.id}")
             write_sink(counted, item.log_type, sink, path)
-            result.sinks.append(
-                SinkResult(item.id, sink.id, sink.type, path, seen.get["events"])
-            )
+            out.append(SinkResult(item.id, sink.id, sink.type, path, seen.get["events"]))
+        return out
+
+    reduced = dict(zip(uses, _side_by_side(spark, reduce_type, uses)))
+    enriched = {
+        item.id: enriched_input(reduced[item.log_type], item, threat, geo).withColumn(
+            "input_id", F.lit(item.id)
+        )
+        for item in spec.inputs
+    }
+    result.enriched.update(enriched)
+    for done in _side_by_side(spark, write_input, spec.inputs):
+        result.sinks += done
     return result

@@ -47,12 +47,15 @@ def write_indexes(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 def write_olap(
     df: DataFrame, log_type: str, path: str | None = None, columns: list[str] | None = None,
-    database: str = V.OLAP_DATABASE, mode: str = "append",
+    database: str = V.OLAP_DATABASE, url: str | None = None, mode: str = "append",
 ) -> None:
-    """Flattened rows into the log type's table, by name in the catalog or as files at ``path``."""
+    """Flattened rows into the log type's table: files at ``path``, a database, or the catalog."""
     out = olap_rows(df, log_type, columns)
     if path is not None:
         out.write.mode(mode).parquet(path)
         return
+    if url is not None:
+        out.write.mode(mode).jdbc(url, f"{database}.{log_type}")
+        return
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     out.write.mode(mode).saveAsTable(f"{database}.{log_type}")

@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = local_session(
         "8",
+        shuffle_partitions=4,
         **{
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.checkpoint.dir": str(base / "shared"),

@@ -177,13 +177,14 @@ def test_error_patterns_against_plain_search(spark, lines):
         )
         for _ in range(6000)
     ]
-    for texts, fast, plain, width in (
-        (inner, V.ERROR_DETAIL_PATTERN, r'(\w+)[^"]+"([^"]+)"[^(]+\((\d+).+', 3),
+    for texts, fast, plain, width, literal in (
+        (inner, V.ERROR_DETAIL_PATTERN, r'(\w+)[^"]+"([^"]+)"[^(]+\((\d+).+', 3,
+         V.ERROR_DETAIL_LITERAL),
         (outer, V.ERROR_PATTERN,
-         r'([^\[]+)\[(\w+)\] (\d+)#(\d+): \*(\d+) ([^,]+), client: (.+)', 7),
+         r'([^\[]+)\[(\w+)\] (\d+)#(\d+): \*(\d+) ([^,]+), client: (.+)', 7, V.ERROR_LITERAL),
     ):
         df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-        got = df.select("i", captures(F.col("t"), fast, range(1, width + 1)).alias("c"))
+        got = df.select("i", captures(F.col("t"), fast, range(1, width + 1), literal).alias("c"))
         got = {r["i"]: r["c"] for r in got.filter(complete(F.col("c"), width)).collect()}
         want = {i: list(m.groups()) for i, t in enumerate(texts) if (m := re.search(plain, t))}
         assert len(want) > 50

@@ -21,6 +21,7 @@ from siftline.operators.routing import (
 )
 from siftline.plans.catalog import LOG_TYPES
 from siftline.render import rendered
+from siftline.session import written
 
 
 def rows(spark, n=4000, hot=0.5, seed=1):
@@ -105,10 +106,10 @@ def test_dedupe_gap(spark, gap, hot):
 def test_every_row_ends_in_exactly_one_place(spark):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     for name, log_type in LOG_TYPES.items():
-        staged = log_type.staged(rendered(events, name))
+        staged = written(log_type.staged(rendered(events, name)), "test", ("route",))
         by = {r["route"]: r["count"] for r in staged.groupBy("route").count().collect()}
         assert sum(by.values()) == events.count()
-        kept = log_type.reduced(staged)
+        kept = log_type.reduced(staged).select("route", "topic", "partition", "offset").cache()
         out = {r["route"]: r["count"] for r in kept.groupBy("route").count().collect()}
         assert kept.count() == kept.select("topic", "partition", "offset").distinct().count()
         assert out.get("dangerous", 0) == by.get("dangerous", 0)

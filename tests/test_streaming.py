@@ -58,7 +58,7 @@ def test_dedupe_stream(spark, tmp_path, salts):
     src, window, step = str(tmp_path / "src"), 500, 250
     rng = random.Random(2)
     rows, offset = [], 0
-    for batch in range(16):
+    for batch in range(12):
         part = []
         for _ in range(60):
             k = "hot" if rng.random() < 0.6 else rng.choice(["a", None, "b"])
