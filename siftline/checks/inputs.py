@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from siftline import fixed_values as V
 from siftline.operators.enrichment import GeoLookup, ThreatLookup, prepare_geo, prepare_threat
-from siftline.operators.reduction import reduce_events
 from siftline.plans.catalog import LOG_TYPES
 from siftline.render import THREAT_ADDRESSES, rendered, text
 from siftline.session import written
@@ -44,11 +43,6 @@ def reduced(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
     return LOG_TYPES[log_type].reduced(stage)
 
 
-def reduced_in_one_plan(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
-    t = LOG_TYPES[log_type]
-    return reduce_events(parsed(spark, sf_dir, log_type), t.dedupe_keys)
-
-
 # ---- lookups -----------------------------------------------------------------
 SUPPLIER_ADDRESS = (
     f"{text('1 + s_suppkey % 223')} || '.' || {text('s_suppkey * 7 % 256')} || '.' || "

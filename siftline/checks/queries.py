@@ -561,7 +561,7 @@ WINDOW_EVENTS = (4624, 4625, 4634, 4723)
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Access lines parsed, routed, reduced and flagged."""
     threat, _ = I.lookups(spark, sf_dir)
-    df = enrich(I.reduced_in_one_plan(spark, sf_dir, V.ACCESS_LOG), threat, keep_metadata=True)
+    df = enrich(I.reduced(spark, sf_dir, V.ACCESS_LOG), threat, keep_metadata=True)
     return _pos(df, "route", *V.ACCESS_FIELDS, "threat_ip")
 
 

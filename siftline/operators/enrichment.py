@@ -59,6 +59,13 @@ def prepare_threat(threat: DataFrame) -> ThreatLookup:
     return ThreatLookup(table, table.count())
 
 
+def broadcastable(
+    threat: ThreatLookup | None, geo: GeoLookup | None, broadcast_rows: int = BROADCAST_ROWS
+) -> bool:
+    """Whether both lookups are small enough to send to every executor."""
+    return max(threat.rows if threat else 0, geo.rows if geo else 0) <= broadcast_rows
+
+
 def _level(length: Column) -> Column:
     return F.when(length <= 8, 8).when(length <= 16, 16).when(length <= 24, 24).otherwise(32)
 
@@ -233,7 +240,7 @@ def enrich(
     if threat is None and geo is None:
         return df if keep_metadata else drop_metadata(df)
 
-    small = max(threat.rows if threat else 0, geo.rows if geo else 0) <= broadcast_rows
+    small = broadcastable(threat, geo, broadcast_rows)
     if not names:
         out = df
     else:
@@ -271,7 +278,8 @@ def _enrich_large(
 ) -> DataFrame:
     """For lookups too large to broadcast: resolve the distinct addresses, then join back.
 
-    Counting the addresses (combined before the shuffle) shows the hot ones.
+    Counting the addresses (combined before the shuffle) shows the hot ones. The
+    rows are read for the counts and again for the joins: give it a written table.
     """
     numbers = df.select(
         F.explode(F.array_compact(F.array(*[F.col(f"_n_{n}") for n in names]))).alias("number")

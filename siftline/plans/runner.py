@@ -14,7 +14,12 @@ from pyspark.sql import functions as F
 from siftline import fixed_values as V
 from siftline.operators.accounting import observed, reduction_stats
 from siftline.operators.decoding import rejects
-from siftline.operators.enrichment import GeoLookup, ThreatLookup, enrich
+from siftline.operators.enrichment import (
+    GeoLookup,
+    ThreatLookup,
+    broadcastable,
+    enrich,
+)
 from siftline.operators.routing import only_log_type
 from siftline.operators.shaping import with_event_time
 from siftline.plans.catalog import LOG_TYPES
@@ -118,7 +123,8 @@ def run_batch(
         result.staged[name] = staged
         result.rejects[name] = rejects(staged)
         kept = log_type.reduced(staged, gap_seconds)
-        return written(kept, f"reduced-{name}") if uses[name] > 1 else kept
+        several_readers = uses[name] > 1 or not broadcastable(threat, geo)
+        return written(kept, f"reduced-{name}") if several_readers else kept
 
     def write_input(item: InputSpec) -> list[SinkResult]:
         events = enriched[item.id]

@@ -16,11 +16,12 @@ from siftline.operators.routing import DANGEROUS, DEDUPE, SAMPLE
 from siftline.operators.shaping import with_event_time
 from siftline.plans.catalog import LOG_TYPES, LogType
 from siftline.plans.runner import enriched_input, sink_path, write_sink
-from siftline.plans.spec import RunSpec
+from siftline.plans.spec import InputSpec, RunSpec
 from siftline.sources.raw import RAW_SCHEMA
 from siftline.streaming.dedupe import dedupe_stream
 
 EVERY_TEN_SECONDS = {"processingTime": V.MICRO_BATCH_INTERVAL}
+EVERY_SECOND = {"processingTime": V.OLAP_BATCH_INTERVAL}
 ALL_NOW = {"availableNow": True}
 
 
@@ -72,6 +73,12 @@ def reduced_stream(
     return straight.unionByName(repeated).drop("reject_reason", "raw_value")
 
 
+def usual_trigger(item: InputSpec) -> dict:
+    """Analytic tables are fed every second, files and indexes every ten."""
+    fast = any(s.type == "clickhouse" for s in item.sinks)
+    return EVERY_SECOND if fast else EVERY_TEN_SECONDS
+
+
 def start_run(
     spark: SparkSession,
     spec: RunSpec,
@@ -81,10 +88,11 @@ def start_run(
     threat: ThreatLookup | None = None,
     geo: GeoLookup | None = None,
     window: str = "10 minutes",
-    trigger: dict = EVERY_TEN_SECONDS,
+    trigger: dict | None = None,
 ) -> list[StreamingQuery]:
     """Starts a parse query per log type, then a query per input.
 
+    Without a trigger each query gets the usual one of its sinks.
     With the ``availableNow`` trigger the parse queries are awaited first, so
     the input queries see all of their output.
     """
@@ -93,9 +101,13 @@ def start_run(
     for name in names:
         queries.append(start_parse(
             raw(name), LOG_TYPES[name], f"{work_dir}/parsed/{name}",
-            f"{work_dir}/checkpoints/parse-{name}", trigger,
+            f"{work_dir}/checkpoints/parse-{name}",
+            trigger or min(
+                (usual_trigger(i) for i in spec.inputs if i.log_type == name),
+                key=lambda t: t is not EVERY_SECOND,
+            ),
         ))
-    if trigger.get("availableNow"):
+    if trigger is not None and trigger.get("availableNow"):
         for q in queries:
             q.awaitTermination()
     for item in spec.inputs:
@@ -118,7 +130,7 @@ def start_run(
                 "checkpointLocation", f"{work_dir}/checkpoints/input-{item.id}"
             )
             .foreachBatch(write)
-            .trigger(**trigger)
+            .trigger(**(trigger or usual_trigger(item)))
             .start()
         )
     return queries

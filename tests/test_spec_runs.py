@@ -101,3 +101,28 @@ def test_parsing_evaluates_the_pattern_once(spark, lines):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_usual_triggers():
+    from siftline.streaming.jobs import EVERY_SECOND, EVERY_TEN_SECONDS, usual_trigger
+
+    inputs = read_spec(RUN_SPEC).inputs
+    assert [usual_trigger(i) for i in inputs] == [
+        EVERY_TEN_SECONDS, EVERY_TEN_SECONDS, EVERY_SECOND,
+    ]
+
+
+def test_run_with_lookups_too_large_to_broadcast(spark, tmp_path, monkeypatch):
+    from siftline.operators import enrichment
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    threat = prepare_threat(spark.createDataFrame([(a,) for a in THREAT_ADDRESSES], "ip string"))
+    geo = prepare_geo(spark.createDataFrame([("1.0.0.0/8", "A", 1.0, 2.0)], GEO_SCHEMA))
+    huge = enrichment.GeoLookup(geo.levels, enrichment.BROADCAST_ROWS + 1)
+    spec = read_spec(changed(lambda i: i.__delitem__(slice(1, None))))
+    raw = {V.CISCO_LOG: rendered(events, V.CISCO_LOG)}
+    small = run_batch(spec, raw, str(tmp_path / "a"), threat, geo).enriched["input-1"]
+    large = run_batch(spec, raw, str(tmp_path / "b"), threat, huge).enriched["input-1"]
+    columns = [c for c in small.columns if c != "extra"]
+    assert small.count() == large.count()
+    assert small.select(columns).exceptAll(large.select(columns)).count() == 0
