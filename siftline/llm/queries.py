@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import decontaminate
+from siftline.llm import decontaminate, sharding, url_filter
+
+SHARDS = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,5 +21,17 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded_documents(table(spark, sf_dir, "documents"), SHARDS)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_decontaminate": op1_decontaminate}
+    return {
+        "op1_decontaminate": op1_decontaminate,
+        "op3_url_filter": op3_url_filter,
+        "op7_sharding": op7_sharding,
+    }
