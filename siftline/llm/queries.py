@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import decontaminate, sharding, url_filter
+from siftline.llm import decontaminate, packing, sharding, token_files, url_filter
+from siftline.session import fresh_path
 
 SHARDS = 8
+WORD_BPE = "word_bpe_49k.json"
+FILE_END_ID, PACK_END_ID = 2, 1
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,13 +29,29 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    token_files.write_tokens(
+        table(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE), FILE_END_ID
+    )
+    return token_files.checked(spark, path)
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), PACK_END_ID, with_ids=False
+    )
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op3_url_filter": op3_url_filter,
+        "op4_token_files": op4_token_files,
         "op7_sharding": op7_sharding,
+        "op10_packing": op10_packing,
     }
