@@ -7,12 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import decontaminate, packing, sharding, token_files, url_filter
+from siftline.llm import decontaminate, nearest, packing, sharding, simhash, token_files, url_filter
 from siftline.session import fresh_path
 
 SHARDS = 8
 WORD_BPE = "word_bpe_49k.json"
 FILE_END_ID, PACK_END_ID = 2, 1
+TOP = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +38,19 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checked(spark, path)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, vectors.filter("vec_id % 100 = 0"), TOP)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(
         table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), PACK_END_ID, with_ids=False
@@ -52,6 +62,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": op1_decontaminate,
         "op3_url_filter": op3_url_filter,
         "op4_token_files": op4_token_files,
+        "op5_simhash": op5_simhash,
         "op7_sharding": op7_sharding,
+        "op9_nearest": op9_nearest,
         "op10_packing": op10_packing,
     }
