@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import decontaminate, nearest, packing, sharding, simhash, token_files, url_filter
+from siftline.llm import decontaminate, nearest, packing, quality, sharding, simhash, token_files, url_filter
 from siftline.session import fresh_path
 
 SHARDS = 8
@@ -42,6 +42,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(table(spark, sf_dir, "documents"), SHARDS)
 
@@ -63,6 +67,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_url_filter": op3_url_filter,
         "op4_token_files": op4_token_files,
         "op5_simhash": op5_simhash,
+        "op6_quality": op6_quality,
         "op7_sharding": op7_sharding,
         "op9_nearest": op9_nearest,
         "op10_packing": op10_packing,
