@@ -7,7 +7,8 @@ the labelled documents gives a log-odds, which a temperature fitted on other lab
 documents turns into a calibrated probability.
 
 A term is a word's own letters if it has four bytes or fewer, else its form: the kinds of
-its first and last characters (punctuation marks each of their own kind) and its length.
+its first and last characters (punctuation marks each of their own kind) and its length. A
+word that repeats the one before it is a term of its own.
 Terms fall into a fixed number of buckets, so that vectors have a fixed size.
 """
 
@@ -26,6 +27,7 @@ from siftline.llm.textbytes import Words, blocks, mixed
 BUCKETS = 4096
 SIZE = 64
 NONZERO = 4
+AGAIN = np.uint64(1)
 REACH = 2
 #: Labelled documents that the network is fitted on, at most: those with the smallest id hashes.
 SAMPLE = 20_000
@@ -60,7 +62,9 @@ def terms(words: Words) -> np.ndarray:
     for at in (words.starts, np.minimum(words.starts + 1, words.ends - 1),
                np.maximum(words.ends - 2, words.starts), words.ends - 1):
         code = code * np.uint64(256) + KIND[words.bytes[at]]
-    code = np.where(length <= 4, words.hashes(), code)
+    whole = words.hashes()
+    code = np.where(length <= 4, whole, code)
+    code[1:][whole[1:] == whole[:-1]] = AGAIN
     return (mixed(code) % np.uint64(BUCKETS)).astype(np.int64)
 
 
