@@ -30,6 +30,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN c USING (r) LEFT JOIN k USING (r)
 """
 
+OP2 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+g AS (SELECT r, doc_id, i, w[i:i + 12] AS gram
+      FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+m AS (SELECT gram, min(doc_id) AS least FROM g GROUP BY gram),
+x AS (SELECT DISTINCT r, unnest(range(i, i + 13)) AS i FROM g JOIN m USING (gram) WHERE least < doc_id),
+k AS (SELECT d.r, string_agg(d.word, ' ' ORDER BY d.i) AS kept, count(*) AS n
+      FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) AS d
+      ANTI JOIN x ON d.r = x.r AND d.i = x.i GROUP BY d.r)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
 OP9 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x FROM embeddings
@@ -44,4 +60,4 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 
 
 def registered() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op9_nearest": OP9}
+    return {"op1_decontaminate": OP1, "op2_passages": OP2, "op9_nearest": OP9}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import decontaminate, nearest, packing, quality, sharding, simhash, token_files, url_filter
+from siftline.llm import decontaminate, nearest, packing, passages, quality, sharding, simhash, token_files, url_filter
 from siftline.session import fresh_path
 
 SHARDS = 8
@@ -26,6 +26,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.digest(table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
@@ -64,6 +68,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_passages": op2_passages,
         "op3_url_filter": op3_url_filter,
         "op4_token_files": op4_token_files,
         "op5_simhash": op5_simhash,
