@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import decontaminate, nearest, packing, passages, quality, sharding, simhash, token_files, url_filter
+from siftline.llm import decontaminate, nearest, packing, passages, quality, quotes, sharding, simhash, token_files, url_filter
 from siftline.session import fresh_path
 
 SHARDS = 8
@@ -54,6 +54,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"), bodies=False)
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return nearest.nearest(vectors, vectors.filter("vec_id % 100 = 0"), TOP)
@@ -74,6 +78,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_simhash": op5_simhash,
         "op6_quality": op6_quality,
         "op7_sharding": op7_sharding,
+        "op8_quotes": op8_quotes,
         "op9_nearest": op9_nearest,
         "op10_packing": op10_packing,
     }
