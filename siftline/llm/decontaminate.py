@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftline.llm.columns import neutral, restored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Everything between words of the lower-cased text.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -74,7 +76,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     )
     source = docs.select(
         F.monotonically_increasing_id().alias("row"),
-        F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("doc"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc"),
         words(lower_ascii(F.coalesce(docs["text"], F.lit("")))).alias("w"),
     )
     at = source.select(
@@ -141,25 +143,25 @@ def without_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
     The text travels only as far as the task that reads it: the rows kept are found by
     (doc_id, text hash), so rows equal in both share one verdict.
     """
-    keyed = docs.withColumns({"_id": F.col("doc_id"), "_hash": F.xxhash64("text")})
+    rows, names = neutral(docs)
+    keyed = rows.withColumns({"id": F.col(names["doc_id"]), "hash": F.xxhash64(names["text"])})
     bad = (
-        find_hits(keyed.select("_id", "_hash", "text"), benchmark, window)
-        .filter(contaminated()).select("doc._id", "doc._hash").distinct()
+        find_hits(keyed.select("id", "hash", F.col(names["text"]).alias("text")), benchmark, window)
+        .filter(contaminated()).select(F.col("doc.id").alias("bad_id"), F.col("doc.hash").alias("bad_hash")).distinct()
     )
-    same = keyed["_id"].eqNullSafe(bad["_id"]) & (keyed["_hash"] == bad["_hash"])
-    return keyed.join(bad, same, "left_anti").select(*docs.columns)
+    same = F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("hash") == F.col("bad_hash"))
+    return restored(keyed.join(bad, same, "left_anti"), names)
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc columns, text): every document with the words of its hits taken out.
+    """``docs``, every document with the words of its hits taken out.
 
     Kept words (digits, letters, everything beyond ASCII) are joined by one space where
     something was taken out; an untouched text stays as it is.
     """
-    own = docs.withColumn("_text", F.col("text"))
-    hits = find_hits(own, benchmark, window)
-    cased = words(F.coalesce("doc._text", F.lit("")), BETWEEN_CASED)
+    rows, names = neutral(docs)
+    hits = find_hits(rows.withColumn("text", F.col(names["text"])), benchmark, window).select("doc.*", "n_hit", "spans")
+    cased = words(F.coalesce(names["text"], F.lit("")), BETWEEN_CASED)
     kept = F.filter(cased, lambda w, i: ~F.exists("spans", lambda s: (i >= s["start"]) & (i < s["end"])))
-    rest = [F.col("doc")[c].alias(c) for c in docs.columns if c != "text"]
-    return hits.select(*rest, F.when(F.col("n_hit") == 0, F.col("doc._text"))
-                       .otherwise(F.concat_ws(" ", kept)).alias("text")).select(*docs.columns)
+    text = F.when(F.col("n_hit") == 0, F.col(names["text"])).otherwise(F.concat_ws(" ", kept))
+    return restored(hits.withColumn(names["text"], text), names)

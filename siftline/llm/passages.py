@@ -28,6 +28,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siftline.llm.columns import neutral, restored
 from siftline.llm.ranks import shuffle_partitions
 from siftline.llm.textbytes import Words, blocks, grams, mixed
 
@@ -37,6 +38,7 @@ ANCHOR = 5
 FIRST_BYTES = 8 << 20
 TEXTS = 512
 CHUNK = 20_000
+RESULT = ("n_words", "n_removed", "kept")
 
 
 def _text_words(texts: list[str | None]) -> Words:
@@ -273,22 +275,29 @@ def removals(texts: DataFrame, window: int = WINDOW) -> DataFrame:
 def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` with n_words, n_removed and kept (the words left, joined by one space).
 
+    Columns of these names are replaced.
+
     A word goes if a window of ``window`` words that covers it also starts in a document
     with a smaller doc_id; windows are judged on the texts as given. Null and empty texts
     have no words. Rows with the same doc_id don't judge each other; each is judged by its
     own text. A null doc_id is smaller than none and loses nothing. An untouched text's
     ``kept`` is its words joined by one space.
     """
+    rows, names = neutral(docs.drop(*RESULT))
+    return _judged(rows, names, window).select(*[F.col(new).alias(old) for old, new in names.items()], *RESULT)
+
+
+def _judged(docs: DataFrame, names: dict[str, str], window: int) -> DataFrame:
+    """``docs`` under neutral names, with the columns of RESULT."""
     columns = docs.columns
-    keyed = docs.withColumns({"_doc": F.col("doc_id").cast("long"), "_hash": F.xxhash64("text")})
-    named, nameless = keyed.filter("_doc IS NOT NULL"), keyed.filter("_doc IS NULL")
-    texts = named.select(F.col("_doc").alias("doc_id"), F.col("_hash").alias("hash"), "text")
-    spans = removals(texts, window).withColumnRenamed("doc_id", "_of")
-    rows = named.join(spans, F.col("_doc") == F.col("_of"), "left").select(*columns, "_hash", "spans").unionAll(
-        nameless.select(*columns, "_hash", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
-    schema = docs.withColumns({
-        "n_words": F.lit(0).cast("long"), "n_removed": F.lit(0).cast("long"), "kept": F.lit("")}).schema
-    n, at = len(columns), columns.index("text")
+    keyed = docs.withColumns({"doc_id": F.col(names["doc_id"]).cast("long"), "hash": F.xxhash64(names["text"])})
+    named, nameless = keyed.filter("doc_id IS NOT NULL"), keyed.filter("doc_id IS NULL")
+    texts = named.select("doc_id", "hash", F.col(names["text"]).alias("text"))
+    spans = removals(texts, window).withColumnRenamed("doc_id", "of")
+    rows = named.join(spans, F.col("doc_id") == F.col("of"), "left").select(*columns, "hash", "spans").unionAll(
+        nameless.select(*columns, "hash", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
+    schema = docs.withColumns(dict(zip(RESULT, (F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(""))))).schema
+    n, at = len(columns), columns.index(names["text"])
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,7 +310,7 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 totals, gone, kept = zip(*left)
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns[:n], pa.array(totals, pa.int64()), pa.array(gone, pa.int64()),
-                     pa.array(kept, pa.string())], names=[*columns, "n_words", "n_removed", "kept"])
+                     pa.array(kept, pa.string())], names=[*columns, *RESULT])
 
     return rows.mapInArrow(take, schema)
 
@@ -330,9 +339,10 @@ def without_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     Untouched texts stay as they are; documents of which nothing is left go.
     """
-    found = deduplicated(docs, window)
-    text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
-    out = found.filter("n_removed = 0 OR n_removed < n_words").withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    rows, names = neutral(docs)
+    text = names["text"]
+    out = _judged(rows, names, window).filter("n_removed = 0 OR n_removed < n_words").withColumn(
+        text, F.when(F.col("n_removed") == 0, F.col(text)).otherwise(F.col("kept")))
+    if "n_chars" in names:
+        out = out.withColumn(names["n_chars"], F.char_length(text).cast(docs.schema["n_chars"].dataType))
+    return restored(out, names)

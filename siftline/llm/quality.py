@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftline.llm.columns import neutral, restored
 from siftline.llm.textbytes import Words, blocks, mixed
 
 BUCKETS = 4096
@@ -252,9 +253,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``quality_score`` (0 to 1, higher: better) of every whole text; no shuffle.
 
+    A column of that name is replaced.
+
     A null or empty text has no terms and is scored as such.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    docs = docs.drop("quality_score")
     names = docs.columns
     at = names.index("text")
     schema = docs.withColumn("quality_score", F.lit(0.0)).schema
@@ -283,4 +287,6 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_rejected(docs: DataFrame, labels: DataFrame, least: float = PREDICTED_FROM) -> DataFrame:
     """``docs`` without the rows scored below ``least``; same columns."""
-    return scored(docs, fit(docs, labels)).filter(F.col("quality_score") >= least).drop("quality_score")
+    rows, names = neutral(docs)
+    found = scored(rows.withColumnRenamed(names["text"], "text"), fit(docs, labels)).filter(F.col("quality_score") >= least)
+    return restored(found.withColumnRenamed("text", names["text"]), names)

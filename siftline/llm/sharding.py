@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftline.llm.columns import neutral
 from siftline.llm.ranks import ranked
 
 SEED = "17"
 
 
 def interleaved(rows: DataFrame, stratum: str, key: str, shards: int, seed: str = SEED) -> DataFrame:
-    """``rows`` with ``shard`` and ``slot``: every shard has the table's mixture of strata.
+    """``rows`` with ``shard`` and ``slot`` (replaced if there): every shard has the table's mixture of strata.
 
     Inside its stratum each row gets a rank by the hash of its key and the seed. The rank
     r of n rows becomes the fraction (2r + 1) / 2n; sorted by that, any run of rows holds
@@ -23,6 +24,8 @@ def interleaved(rows: DataFrame, stratum: str, key: str, shards: int, seed: str
     step gathers a stratum in one task. Fewer rows than shards leave shards empty. Give
     the columns that are needed only: both steps write the rows.
     """
+    rows, names = neutral(rows)
+    stratum, key = names[stratum], names[key]
     keyed = rows.withColumn(
         "_shuffled", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
     )
@@ -40,7 +43,7 @@ def interleaved(rows: DataFrame, stratum: str, key: str, shards: int, seed: str
     in_longer = F.col("_place") < longer * (small + 1)
     rest = F.col("_place") - longer * (small + 1)
     return placed.select(
-        *rows.columns,
+        *[F.col(new).alias(old) for old, new in names.items() if old not in ("shard", "slot")],
         F.when(in_longer, F.floor(F.col("_place") / (small + 1)))
         .otherwise(longer + F.floor(rest / max(small, 1))).cast("int").alias("shard"),
         F.when(in_longer, F.col("_place") % (small + 1))

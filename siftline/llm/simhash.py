@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftline.llm.columns import neutral, restored
 from siftline.llm.components import components
 from siftline.llm.textbytes import blocks
 from siftline.session import written
@@ -233,12 +234,14 @@ def without_duplicates(docs: DataFrame, most: int = MOST_BITS) -> DataFrame:
     Of rows with that doc_id the one with the smallest text hash stays. Rows with a null
     doc_id in a component without any other are kept, one for each text.
     """
-    keyed = docs.withColumn("_hash", F.xxhash64("text"))
-    prints = written(fingerprints(keyed, ["doc_id", "_hash"]), "simhash-prints")
+    rows, names = neutral(docs)
+    keyed = rows.withColumn("hash", F.xxhash64(names["text"]))
+    texts = keyed.select(F.col(names["doc_id"]).cast("long").alias("doc_id"), "hash", F.col(names["text"]).alias("text"))
+    prints = written(fingerprints(texts, ["doc_id", "hash"]), "simhash-prints")
     keep = (
         grouped(prints, most).filter("doc_id <=> component_id")
-        .withColumn("one", F.when(F.col("doc_id").isNull(), F.col("_hash")))
-        .groupBy(F.col("doc_id").alias("_id"), "one").agg(F.min("_hash").alias("_least"))
+        .withColumn("text", F.when(F.col("doc_id").isNull(), F.col("hash")))
+        .groupBy(F.col("doc_id").alias("id"), "text").agg(F.min("hash").alias("least"))
     )
-    same = keyed["doc_id"].eqNullSafe(keep["_id"]) & (keyed["_hash"] == keep["_least"])
-    return keyed.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
+    same = F.col(names["doc_id"]).eqNullSafe(F.col("id")) & (F.col("hash") == F.col("least"))
+    return restored(keyed.join(keep, same, "left_semi").dropDuplicates([names["doc_id"], "hash"]), names)
