@@ -19,15 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:
-    """Rendered lines; a table in fewer pieces than there are cores is spread first.
-
-    A large table has more pieces than that and is read as it lies.
-    """
-    events = table(spark, sf_dir, "events")
-    cores = spark.sparkContext.defaultParallelism
-    if events.rdd.getNumPartitions() < cores:
-        events = events.repartition(cores, "event_id")
-    return rendered(events, log_type)
+    """Rendered lines, read as the table lies."""
+    return rendered(table(spark, sf_dir, "events"), log_type)
 
 
 def staged(spark: SparkSession, sf_dir: str, log_type: str) -> DataFrame:

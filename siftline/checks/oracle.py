@@ -12,8 +12,10 @@ from siftline.checks.queries import (
     ADDRESSES,
     CISCO_KINDS,
     DETAIL_FIELDS,
+    MAP_ADDRESSES,
     SHORT,
     WINDOW_EVENTS,
+    WINDOW_EXTRA,
 )
 from siftline.functions.names import snake_name
 from siftline.operators.parse_api_json import API_FIELDS
@@ -120,12 +122,16 @@ def _places(ips: str) -> str:
     )
 
 
+def _addresses(log_type: str) -> tuple[str, ...]:
+    return ADDRESSES[log_type] + MAP_ADDRESSES.get(log_type, ())
+
+
 def _flag(names) -> str:
     return " OR ".join(f"coalesce({n} IN (SELECT ip FROM listed), false)" for n in names)
 
 
 def _geo_query(log_type: str, before: str, flag: bool) -> str:
-    names = ADDRESSES[log_type]
+    names = _addresses(log_type)
     ips = " UNION ".join(f"SELECT {n} AS ip FROM f" for n in names)
     columns, joins = [], []
     for i, n in enumerate(names):
@@ -145,8 +151,9 @@ def _geo_query(log_type: str, before: str, flag: bool) -> str:
 def _text_query(table: str, key: str, text: str) -> str:
     return (
         f"WITH listed AS {LISTED}, f AS (SELECT {key}, unnest(range(len(a))) AS position, "
-        f"unnest(a) AS ip FROM (SELECT {key}, regexp_extract_all({text}, "
-        "'[0-9]{1,3}(?:\\.[0-9]{1,3}){3}') AS a FROM " + table + ") t), "
+        f"unnest(a) AS ip FROM (SELECT {key}, list_filter(regexp_extract_all({text}, "
+        "'[0-9]+(?:\\.[0-9]+)*'), lambda x: regexp_full_match(x, '[0-9]{1,3}(?:\\.[0-9]{1,3}){3}')) AS a "
+        "FROM " + table + ") t), "
         f"places AS {_places('SELECT ip FROM f')} "
         f"SELECT f.{key}, CAST(position AS INT) AS position, f.ip, ({_flag(['f.ip'])}) AS threat_ip, "
         "p.ip IS NOT NULL AS geo_ip_hit, p.country AS geo_ip_country, "
@@ -166,7 +173,7 @@ EVENT_TIMES = {
 
 
 def _parse(log_type: str, where: str = "true") -> str:
-    extra = ", extra_elevated" if log_type == V.WINDOW_LOG else ""
+    extra = "".join(f", {n}" for n in WINDOW_EXTRA) if log_type == V.WINDOW_LOG else ""
     return (
         f"SELECT event_id AS pos, {_fields(log_type, DETAIL_FIELDS[log_type])}{extra} "
         f"FROM {_rows(log_type)} x WHERE {where}"
@@ -285,7 +292,7 @@ def _stats() -> str:
         )
         parts.append(
             f"SELECT '{t}', route, {MINUTE} AS minute, 0, 0, count(*), "
-            f"count(*) FILTER (WHERE {_flag(ADDRESSES[t])}) FROM {_kept(t)} k GROUP BY ALL"
+            f"count(*) FILTER (WHERE {_flag(_addresses(t))}) FROM {_kept(t)} k GROUP BY ALL"
         )
     measures = ("events_in", "rejected", "kept", "threat_hits")
     sums = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in measures)
@@ -334,19 +341,6 @@ def _stream_reduced(log_type: str) -> str:
     )
 
 
-def _last_n(log_type: str) -> str:
-    keys = ", ".join(V.DEDUPE_KEYS[log_type])
-    n = V.DEDUPE_EVENTS[log_type]
-    return (
-        "WITH d AS (SELECT *, event_id % 4 AS part, row_number() OVER (PARTITION BY event_id % 4 "
-        f"ORDER BY event_id) AS i FROM {_rows(log_type)} x WHERE route = 'dedupe'), "
-        f"e AS (SELECT *, lag(i) OVER (PARTITION BY part, {keys} ORDER BY i) AS p FROM d) "
-        f"SELECT event_id AS pos, CAST(part AS INT) AS partition, {keys} FROM e WHERE p IS NULL OR "
-        f"(i - p > {n} AND (SELECT count(DISTINCT ({keys})) FROM d WHERE d.part = e.part "
-        f"AND d.i > e.p AND d.i < e.i) >= {n})"
-    )
-
-
 def registered() -> dict[str, str]:
     out = {
         "access_reduced_flagged": (
@@ -368,7 +362,7 @@ def registered() -> dict[str, str]:
         )
         out[f"reduced_{short}"] = f"SELECT event_id AS pos, route FROM {_kept(t)} k"
         out[f"threat_flag_{short}"] = (
-            f"WITH listed AS {LISTED} SELECT event_id AS pos, ({_flag(ADDRESSES[t])}) AS threat_ip "
+            f"WITH listed AS {LISTED} SELECT event_id AS pos, ({_flag(_addresses(t))}) AS threat_ip "
             f"FROM {_rows(t)} x"
         )
         out[f"geo_{short}"] = _geo_query(t, "event_id AS pos", flag=False)
@@ -394,6 +388,7 @@ def registered() -> dict[str, str]:
     out["dedupe_gap_access"] = _gap(V.ACCESS_LOG, ("method", "url"), 36_000)
     out["dedupe_gap_cisco"] = _gap(V.CISCO_LOG, ("severity", "event_type"), 600)
     out["geo_large_cisco"] = _geo_query(V.CISCO_LOG, "event_id AS pos", flag=True)
+    out["geo_large_window"] = _geo_query(V.WINDOW_LOG, "event_id AS pos", flag=True)
     out["geo_large_access"] = _geo_query(V.ACCESS_LOG, "event_id AS pos", flag=True)
     out["merged_inputs"] = _merged()
     out["per_log_type"] = " UNION ALL ".join(
@@ -459,8 +454,11 @@ def registered() -> dict[str, str]:
     out["changelog_latest"] = _changelog()
     out["stream_changelog"] = _changelog()
     out["full_match_upper"] = (
-        "SELECT c_custkey, upper(c_name) AS value FROM customer "
-        "WHERE regexp_full_match(c_name, '[^\\n]*[0-9]+[^\\n]*')"
+        "SELECT origin, id, md5(upper(value)) AS value FROM ("
+        "SELECT 'customer' AS origin, c_custkey AS id, c_name AS value FROM customer UNION ALL "
+        "SELECT 'document', doc_id, text FROM documents UNION ALL "
+        "SELECT 'nation', n_nationkey, n_name FROM nation) x "
+        "WHERE len(string_split(value, chr(10))) = 1 AND regexp_matches(value, '[0-9]')"
     )
     out["stream_reduced_access"] = _stream_reduced(V.ACCESS_LOG)
     out["stream_reduced_cisco"] = _stream_reduced(V.CISCO_LOG)
@@ -468,5 +466,4 @@ def registered() -> dict[str, str]:
         f"SELECT 'access_log' AS log_type, route, date_trunc('minute', {LOCAL_CLOCK}) AS minute, "
         f"count(*) AS events FROM {_rows(V.ACCESS_LOG)} x GROUP BY ALL"
     )
-    out["stream_dedupe_last_n"] = _last_n(V.ACCESS_LOG)
     return out

@@ -40,7 +40,6 @@ from siftline.sinks.tables import write_indexes
 from siftline.sinks.topics import as_json, write_topic
 from siftline.sources.raw import from_topic_json, read_files
 from siftline.streaming.changelog import read_changelog_table, start_changelog
-from siftline.streaming.dedupe import dedupe_last_n
 from siftline.streaming.jobs import (
     ALL_NOW,
     event_counts,
@@ -66,12 +65,19 @@ DETAIL_FIELDS = {
         *V.WINDOW_SYSTEM_FIELDS, *(snake_name(n) for n in V.WINDOW_DATA_NAMES),
     ),
 }
+# rendered field -> key of ``extra``
+WINDOW_EXTRA = {
+    "extra_elevated": "extra_elevated", "system_version": "version", "system_keywords": "keywords",
+    "system_process": "execution_process_id", "system_guid": "provider_guid",
+    "system_user": "security_user_id", "system_task": "task", "client_ip": "client_ip_address",
+}
 ADDRESSES = {
     V.ACCESS_LOG: ("ip",),
     V.ERROR_LOG: ("ip",),
     V.CISCO_LOG: ("src_ip", "dst_ip", "nat_ip"),
     V.WINDOW_LOG: ("ip_address", "ip_port"),
 }
+MAP_ADDRESSES = {V.WINDOW_LOG: ("client_ip",)}
 
 
 def _pos(df: DataFrame, *columns) -> DataFrame:
@@ -84,7 +90,7 @@ def parse(spark, sf_dir, log_type, where=None):
     if where is not None:
         df = df.filter(where)
     extra = (
-        [F.col("extra")["extra_elevated"].alias("extra_elevated")]
+        [F.col("extra")[key].alias(name) for name, key in WINDOW_EXTRA.items()]
         if log_type == V.WINDOW_LOG else []
     )
     return _pos(df, *DETAIL_FIELDS[log_type], *extra)
@@ -182,10 +188,11 @@ def threat_flag(spark, sf_dir, log_type):
     return _pos(df, "threat_ip")
 
 
-def _geo_columns(names):
+def _geo_columns(names, extra=()):
+    """Hit and place per address column; ``extra``: rendered fields that lie in the map ``extra``."""
     out = []
-    for n in names:
-        geo = F.col(f"geo_{n}")
+    for n in (*names, *extra):
+        geo = F.col("geo_extra")[WINDOW_EXTRA[n]] if n in extra else F.col(f"geo_{n}")
         out += [
             geo.isNotNull().alias(f"geo_{n}_hit"),
             geo["country"].alias(f"geo_{n}_country"),
@@ -198,7 +205,7 @@ def _geo_columns(names):
 def geo(spark, sf_dir, log_type):
     _, networks = I.lookups(spark, sf_dir)
     df = enrich(I.parsed(spark, sf_dir, log_type), geo=networks, keep_metadata=True)
-    return _pos(df, *_geo_columns(ADDRESSES[log_type]))
+    return _pos(df, *_geo_columns(ADDRESSES[log_type], MAP_ADDRESSES.get(log_type, ())))
 
 
 def geo_large(spark, sf_dir, log_type):
@@ -208,7 +215,7 @@ def geo_large(spark, sf_dir, log_type):
         I.parsed(spark, sf_dir, log_type), threat, networks,
         broadcast_rows=0, keep_metadata=True,
     )
-    return _pos(df, "threat_ip", *_geo_columns(ADDRESSES[log_type]))
+    return _pos(df, "threat_ip", *_geo_columns(ADDRESSES[log_type], MAP_ADDRESSES.get(log_type, ())))
 
 
 def modes(spark, sf_dir):
@@ -427,8 +434,14 @@ def changelog_latest(spark, sf_dir):
 
 
 def full_match_upper(spark, sf_dir):
-    df = I.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("value"))
-    return matching_upper(df)
+    """Names, which have digits, and addresses of pages, of which only some end in one line."""
+    names = I.table(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("origin"), F.col("c_custkey").alias("id"), F.col("c_name").alias("value"))
+    texts = I.table(spark, sf_dir, "documents").select(
+        F.lit("document").alias("origin"), F.col("doc_id").alias("id"), F.col("text").alias("value"))
+    urls = I.table(spark, sf_dir, "nation").select(
+        F.lit("nation").alias("origin"), F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("value"))
+    return matching_upper(merge_inputs([names, texts, urls])).withColumn("value", F.md5("value"))
 
 
 # ---- streaming ---------------------------------------------------------------
@@ -540,19 +553,6 @@ def stream_changelog(spark, sf_dir):
     return read_changelog_table(spark, f"{work}/updates")
 
 
-def stream_last_n(spark, sf_dir):
-    """Count-bounded memory per input partition."""
-    work = _parsed_stream(spark, sf_dir, V.ACCESS_LOG)
-    t = LOG_TYPES[V.ACCESS_LOG]
-    rows = read_staged(spark, f"{work}/parsed", t, (DEDUPE,)).select(
-        "topic", "partition", "offset", *t.dedupe_keys
-    )
-    return _pos(
-        _drained(dedupe_last_n(rows, t.dedupe_keys, t.dedupe_events), f"{work}/last-n"),
-        "partition", *t.dedupe_keys,
-    )
-
-
 # ---- registration ------------------------------------------------------------
 CISCO_KINDS = tuple(e[0] for e in V.CISCO_EVENTS)
 WINDOW_EVENTS = (4624, 4625, 4634, 4723)
@@ -599,6 +599,7 @@ def registered() -> dict[str, Query]:
         gap_per_key, log_type=V.CISCO_LOG, keys=("severity", "event_type"), gap_seconds=600
     )
     out["geo_large_cisco"] = partial(geo_large, log_type=V.CISCO_LOG)
+    out["geo_large_window"] = partial(geo_large, log_type=V.WINDOW_LOG)
     out["geo_large_access"] = partial(geo_large, log_type=V.ACCESS_LOG)
     out["merged_inputs"] = merged
     out["per_log_type"] = per_log_type
@@ -625,5 +626,4 @@ def registered() -> dict[str, Query]:
     out["stream_spec_run"] = stream_enriched
     out["stream_event_counts"] = stream_counts
     out["stream_changelog"] = stream_changelog
-    out["stream_dedupe_last_n"] = stream_last_n
     return out

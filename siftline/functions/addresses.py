@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 IPV4 = rf"\A{_OCTET}(?:\.{_OCTET}){{3}}\z"
-DOTTED_QUAD = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
+# not a part of a longer dotted number
+DOTTED_QUAD = r"(?<![0-9])(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])(?!\.[0-9])"
 
 
 def is_ipv4(text: Column) -> Column:
@@ -28,6 +29,12 @@ def ipv4_number(text: Column) -> Column:
     return F.when(is_ipv4(text), number)
 
 
+def address_maps(schema: T.StructType) -> list[str]:
+    """Top-level columns that map text to text; keys containing ``ip`` hold addresses."""
+    text_map = T.MapType(T.StringType(), T.StringType())
+    return [f.name for f in schema.fields if f.dataType == text_map]
+
+
 def address_columns(schema: T.StructType) -> list[str]:
     """Top-level string columns whose name contains ``ip``.
 

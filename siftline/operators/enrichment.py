@@ -14,25 +14,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from siftline import fixed_values as V
 from siftline.functions.addresses import (
     DOTTED_QUAD,
     address_columns,
+    address_maps,
     ipv4_number,
     is_ipv4,
 )
+from siftline.operators.reduction import POSITION
 from siftline.session import written
 
 LEVELS = (32, 24, 16, 8)
 # Largest lookup sent whole to every executor: five million entries of about
 # 100 bytes stay near 500 MB. A larger one is joined by shuffling.
 BROADCAST_ROWS = 5_000_000
-# An address with more than this share of all occurrences is joined apart;
-# fewer than HOT_SHARE such addresses can exist, whatever the data size.
-HOT_SHARE = 1_000
-
 GEO_TYPE = "struct<country:string,latitude:double,longitude:double>"
 
 
@@ -127,12 +124,14 @@ def _geo_name(column: str) -> str:
     return f"geo_{column}"
 
 
-def _lookup_threat(df: DataFrame, number: str, threat: ThreatLookup, hit: str) -> DataFrame:
-    table = threat.table.select(F.col("number").alias("_listed"))
+def _lookup_threat(
+    df: DataFrame, number: str, threat: ThreatLookup, hit: str, broadcast: bool = True
+) -> DataFrame:
+    table = threat.table.select(F.col("number").alias("_on_list"))
     return (
-        df.join(F.broadcast(table), F.col(number) == F.col("_listed"), "left")
-        .withColumn(hit, F.col("_listed").isNotNull())
-        .drop("_listed")
+        df.join(F.broadcast(table) if broadcast else table, F.col(number) == F.col("_on_list"), "left")
+        .withColumn(hit, F.col("_on_list").isNotNull())
+        .drop("_on_list")
     )
 
 
@@ -159,62 +158,6 @@ def _lookup_geo(df: DataFrame, number: str, geo: GeoLookup, into: str, broadcast
     return df.withColumn(into, F.coalesce(*[F.col(c) for c in found])).drop(*found)
 
 
-def _resolved(numbers: DataFrame, threat: ThreatLookup | None, geo: GeoLookup | None) -> DataFrame:
-    """``number, occurrences, listed, geo`` for the distinct addresses that hit a lookup."""
-    df = numbers.groupBy("number").agg(F.count("*").alias("occurrences"))
-    if threat is None:
-        df = df.withColumn("listed", F.lit(False))
-    else:
-        table = threat.table.select("number", F.lit(True).alias("_hit"))
-        df = (
-            df.join(table, "number", "left")
-            .withColumn("listed", F.coalesce("_hit", F.lit(False)))
-            .drop("_hit")
-        )
-    if geo is None:
-        df = df.withColumn("geo", F.lit(None).cast(GEO_TYPE))
-    else:
-        df = _lookup_geo(df, "number", geo, "geo", broadcast=False)
-    return df
-
-
-def _row_identity(df: DataFrame) -> list[Column]:
-    position = [c for c in ("topic", "partition", "offset") if c in df.columns]
-    names = position or [
-        f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)
-    ]
-    return [F.col(c) for c in names]
-
-
-def _join_resolved(
-    df: DataFrame, number: str, hot: DataFrame, cold: DataFrame, listed: str, geo: str
-) -> DataFrame:
-    """Hot addresses from the bounded broadcast side, the others by shuffling.
-
-    Rows the shuffle has nothing to look up for (no address, or a hot one) get
-    keys of their own, so they spread over all tasks.
-    """
-    def side(table: DataFrame, tag: str) -> DataFrame:
-        return table.select(
-            F.col("number").alias(f"_{tag}"),
-            F.col("listed").alias(f"_{tag}_listed"),
-            F.col("geo").alias(f"_{tag}_geo"),
-        )
-
-    df = df.join(F.broadcast(side(hot, "hot")), F.col(number) == F.col("_hot"), "left")
-    looked_up = F.col(number).isNotNull() & F.col("_hot").isNull()
-    own = -1 - F.pmod(F.xxhash64(*_row_identity(df)), F.lit(2**31))
-    df = df.withColumn("_join", F.when(looked_up, F.col(number)).otherwise(own))
-    df = df.join(side(cold, "cold"), F.col("_join") == F.col("_cold"), "left")
-    return (
-        df.withColumn(
-            listed, F.coalesce("_hot_listed", "_cold_listed", F.lit(False))
-        )
-        .withColumn(geo, F.coalesce("_hot_geo", "_cold_geo"))
-        .drop("_join", *[f"_{t}{s}" for t in ("hot", "cold") for s in ("", "_listed", "_geo")])
-    )
-
-
 def drop_metadata(df: DataFrame) -> DataFrame:
     return df.drop(*V.BROKER_METADATA)
 
@@ -229,69 +172,140 @@ def enrich(
 ) -> DataFrame:
     """Enriches by the lookups given: both, one or none; then drops broker metadata.
 
-    ``threat_ip`` is one flag per row over all address columns; ``geo_<column>``
-    is NULL unless the address hit. Rows are never added or lost.
+    ``threat_ip`` is one flag per row over all address columns and over the keys
+    containing ``ip`` of map columns; ``geo_<column>`` is NULL unless the address hit,
+    for a map column it is the map from key to place. Rows are never added or lost.
     """
     names = address_columns(df.schema) if columns is None else columns
     kept = [c for c in df.columns if c != "threat_ip" or threat is None]
     if geo is not None:
-        kept = [c for c in kept if c not in {_geo_name(n) for n in names}]
+        looked_up = (*names, *(address_maps(df.schema) if columns is None else ()))
+        kept = [c for c in kept if c not in {_geo_name(n) for n in looked_up}]
     df = df.select(*kept)
     if threat is None and geo is None:
         return df if keep_metadata else drop_metadata(df)
 
-    small = broadcastable(threat, geo, broadcast_rows)
-    if not names:
-        out = df
+    maps = address_maps(df.schema) if columns is None else []
+    if broadcastable(threat, geo, broadcast_rows):
+        out = _enrich_small(df, names, maps, threat, geo)
     else:
-        for n in names:
-            df = df.withColumn(f"_n_{n}", ipv4_number(F.col(n)))
-        out = _enrich_small(df, names, threat, geo) if small else _enrich_large(
-            df, names, threat, geo
-        )
+        out = _enrich_large(df, names, maps, threat, geo)
     added: list[Column] = []
     if threat is not None:
-        flags = [F.col(f"_t_{n}") for n in names] or [F.lit(False)]
-        any_flag = flags[0]
-        for f in flags[1:]:
-            any_flag = any_flag | f
-        added.append(any_flag.alias("threat_ip"))
+        added.append(F.coalesce("_listed", F.lit(False)).alias("threat_ip"))
     if geo is not None:
-        added += [F.col(f"_g_{n}").alias(_geo_name(n)) for n in names]
+        added += [F.col(f"_g_{n}").alias(_geo_name(n)) for n in (*names, *maps)]
     out = out.select(*kept, *added)
     return out if keep_metadata else drop_metadata(out)
 
 
+def _position(df: DataFrame) -> list[str]:
+    missing = [c for c in POSITION if c not in df.columns]
+    if missing:
+        raise ValueError(f"rows need their position to be looked up by shuffling: no {missing}")
+    return list(POSITION)
+
+
+def _map_entries(maps: list[str]) -> Column:
+    """(slot, number) of the addresses under keys containing ``ip`` in the map columns."""
+    def of(name: str) -> Column:
+        entries = F.map_entries(F.coalesce(F.col(name), F.create_map().cast("map<string,string>")))
+        addresses = F.filter(entries, lambda e: e["key"].contains("ip") & is_ipv4(e["value"]))
+        return F.transform(addresses, lambda e: F.struct(
+            F.concat(F.lit(f"{name}."), e["key"]).alias("slot"), ipv4_number(e["value"]).alias("number")
+        ))
+
+    return F.concat(*[of(m) for m in maps])
+
+
+def _map_places(found: Column, name: str) -> Column:
+    """Of the map ``slot -> place`` the part of one map column, by its own keys; NULL if empty."""
+    own = F.map_filter(found, lambda slot, _: slot.startswith(f"{name}."))
+    keys = F.transform(F.map_keys(own), lambda k: F.substring(k, len(name) + 2, 1 << 30))
+    return F.when(F.size(own) > 0, F.map_from_arrays(keys, F.map_values(own)))
+
+
+def _found(
+    entries: DataFrame, by: list[str], threat: ThreatLookup | None, geo: GeoLookup | None,
+    broadcast: bool, *more: Column,
+) -> DataFrame:
+    """Per ``by``: whether an address is listed, and the map from slot to place."""
+    if threat is not None:
+        entries = _lookup_threat(entries, "number", threat, "hit", broadcast)
+    if geo is not None:
+        entries = _lookup_geo(entries, "number", geo, "place", broadcast)
+    hit = F.col("hit") if threat is not None else F.lit(False)
+    place = F.col("place") if geo is not None else F.lit(None).cast(GEO_TYPE)
+    placed = F.when(place.isNotNull(), F.struct(F.col("slot"), place.alias("place")))
+    return entries.groupBy(*by).agg(
+        F.max(hit).alias("_found_listed"),
+        F.map_from_entries(F.collect_set(placed)).alias("_found_places"), *more,
+    )
+
+
 def _enrich_small(
-    df: DataFrame, names: list[str], threat: ThreatLookup | None, geo: GeoLookup | None
+    df: DataFrame, names: list[str], maps: list[str],
+    threat: ThreatLookup | None, geo: GeoLookup | None,
 ) -> DataFrame:
+    """Lookups sent to every executor: rows stay where they are.
+
+    Only rows with addresses in a map are exploded and gathered again; with map columns the table is read twice, so give it a written one.
+    """
+    if maps:
+        entries = _map_entries(maps)
+        usual = df.filter(F.size(entries) == 0)
+        exploded = df.filter(F.size(entries) > 0).select(
+            F.monotonically_increasing_id().alias("_id"), F.struct("*").alias("_row"),
+            F.explode(entries).alias("_entry"),
+        ).select("*", "_entry.*").drop("_entry")
+        found = _found(exploded, ["_id"], threat, geo, True, F.first("_row").alias("_row")).select(
+            "_row.*", "_found_listed", "_found_places")
+        df = usual.unionByName(found, allowMissingColumns=True)
+    listed = F.coalesce("_found_listed", F.lit(False)) if maps else F.lit(False)
     for n in names:
+        df = df.withColumn("_number", ipv4_number(F.col(n)))
         if threat is not None:
-            df = _lookup_threat(df, f"_n_{n}", threat, f"_t_{n}")
+            df = _lookup_threat(df, "_number", threat, f"_t_{n}")
+            listed = listed | F.col(f"_t_{n}")
         if geo is not None:
-            df = _lookup_geo(df, f"_n_{n}", geo, f"_g_{n}", broadcast=True)
-    return df
+            df = _lookup_geo(df, "_number", geo, f"_g_{n}", broadcast=True)
+    if geo is not None:
+        df = df.withColumns({f"_g_{m}": _map_places(F.col("_found_places"), m) for m in maps})
+    return df.withColumn("_listed", listed)
 
 
 def _enrich_large(
-    df: DataFrame, names: list[str], threat: ThreatLookup | None, geo: GeoLookup | None
+    df: DataFrame, names: list[str], maps: list[str],
+    threat: ThreatLookup | None, geo: GeoLookup | None,
 ) -> DataFrame:
-    """For lookups too large to broadcast: resolve the distinct addresses, then join back.
+    """Lookups too large to broadcast: narrow (position, slot, address) rows are looked up.
 
-    Counting the addresses (combined before the shuffle) shows the hot ones. The
-    rows are read for the counts and again for the joins: give it a written table.
+    What they hit is gathered by position and joined back: the rows themselves are
+    shuffled once. A frequent address is split by the skew handling of the join.
+    The rows are read twice: give it a written table.
     """
-    numbers = df.select(
-        F.explode(F.array_compact(F.array(*[F.col(f"_n_{n}") for n in names]))).alias("number")
+    position = _position(df)
+    columns = F.array(*[
+        F.struct(F.lit(n).alias("slot"), ipv4_number(F.col(n)).alias("number")) for n in names
+    ]) if names else F.array().cast("array<struct<slot:string,number:bigint>>")
+    slots = F.filter(columns, lambda e: e["number"].isNotNull())
+    slots = F.concat(slots, _map_entries(maps)) if maps else slots
+    entries = df.select(
+        *[F.col(c).alias(f"_p_{c}") for c in position], F.explode(slots).alias("_entry")
+    ).select("*", "_entry.*").drop("_entry")
+    found = _found(entries, [f"_p_{c}" for c in position], threat, geo, False).filter(
+        F.col("_found_listed") | (F.size("_found_places") > 0)
     )
-    resolved = written(_resolved(numbers, threat, geo), "resolved")
-    total = resolved.agg(F.sum("occurrences")).first()[0] or 0
-    hits = resolved.filter(F.col("listed") | F.col("geo").isNotNull())
-    is_hot = F.col("occurrences") * HOT_SHARE > total
-    hot, cold = resolved.filter(is_hot), hits.filter(~is_hot)
-    for n in names:
-        df = _join_resolved(df, f"_n_{n}", hot, cold, f"_t_{n}", f"_g_{n}")
-    return df
+    same = F.lit(True)
+    for c in position:
+        same &= F.col(c).eqNullSafe(F.col(f"_p_{c}"))
+    df = df.join(found, same, "left")
+    if geo is not None:
+        df = df.withColumns({
+            **{f"_g_{n}": F.col("_found_places")[n] for n in names},
+            **{f"_g_{m}": _map_places(F.col("_found_places"), m) for m in maps},
+        })
+    return df.withColumn("_listed", F.coalesce("_found_listed", F.lit(False)))
 
 
 def text_addresses(df: DataFrame, text: str, keep: list[str]) -> DataFrame:

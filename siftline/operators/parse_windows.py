@@ -2,8 +2,9 @@
 
 Data values become columns by name, the last of a repeated name winning; System
 columns win over a Data value of the same name. Names outside the known list
-go, normalised, to the map column ``extra``; pass them in ``data_names`` to get
-columns of their own (which enrichment then sees).
+go, normalised, to the map column ``extra``, and so do the further System elements
+and attributes, which win there too; pass Data names in ``data_names`` to get
+columns of their own.
 """
 
 from __future__ import annotations
@@ -26,15 +27,28 @@ UNNAMED_DATA = "unnamed_data"
 BAD_TIME = "bad_time"
 
 EVENT_SCHEMA = (
-    "System struct<Provider:struct<_Name:string>,EventID:string,Level:string,"
-    "TimeCreated:struct<_SystemTime:string>,EventRecordID:string,Channel:string,"
-    "Computer:string>,"
+    "System struct<Provider:struct<_Name:string,_Guid:string,_EventSourceName:string>,"
+    "EventID:string,Level:string,Version:string,Task:string,Opcode:string,Keywords:string,"
+    "TimeCreated:struct<_SystemTime:string>,EventRecordID:string,"
+    "Correlation:struct<_ActivityID:string,_RelatedActivityID:string>,"
+    "Execution:struct<_ProcessID:string,_ThreadID:string,_ProcessorID:string,_SessionID:string,"
+    "_KernelTime:string,_UserTime:string,_ProcessorTime:string>,"
+    "Channel:string,Computer:string,Security:struct<_UserID:string>>,"
     "EventData struct<Data:array<struct<_Name:string,_VALUE:string>>>,"
     "_corrupt_record string"
 )
 _CLOSED = r"</Event>\s*(?:<!--[\s\S]*?-->\s*)*\z"
 # System elements that may share a name with a Data value
 _SYSTEM_RAW_NAMES = ("EventID", "Level", "EventRecordID", "Channel", "Computer")
+# the rest of System: elements, and attributes of elements
+_SYSTEM_REST = (
+    ("Version",), ("Task",), ("Opcode",), ("Keywords",),
+    ("Provider", "Guid"), ("Provider", "EventSourceName"),
+    ("Correlation", "ActivityID"), ("Correlation", "RelatedActivityID"),
+    ("Execution", "ProcessID"), ("Execution", "ThreadID"), ("Execution", "ProcessorID"),
+    ("Execution", "SessionID"), ("Execution", "KernelTime"), ("Execution", "UserTime"),
+    ("Execution", "ProcessorTime"), ("Security", "UserID"),
+)
 
 
 def _unknown(names: Column, values: Column, columns: Sequence[str]) -> Column:
@@ -53,14 +67,32 @@ def _unknown(names: Column, values: Column, columns: Sequence[str]) -> Column:
     )
 
 
-def _extra(unknown: Column) -> Column:
-    """Map of the entries, which run last to first: a name's first position is its last value."""
-    names = unknown.getField("name")
+def _system_rest(system: Column) -> Column:
+    """(normalised name, value) of the System parts that are there and have no column."""
+    parts = []
+    for element, *attribute in _SYSTEM_REST:
+        value = system[element][f"_{attribute[0]}"] if attribute else system[element]
+        parts.append(F.when(value.isNotNull(), F.struct(
+            F.lit("_".join(snake_name(n) for n in (element, *attribute))).alias("name"),
+            value.alias("value"),
+        )))
+    return F.array_compact(F.array(*parts))
+
+
+def _extra(system: Column, unknown: Column) -> Column:
+    """Map of System's rest and the unknown Data; NULL for a row with neither.
+
+    The Data entries run last to first, after those of System: a name's first
+    position is the value that wins.
+    """
+    none = F.array().cast("array<struct<name:string,value:string>>")
+    entries = F.concat(F.coalesce(system, none), F.coalesce(unknown, none))
+    names = entries.getField("name")
     latest = F.filter(
-        unknown, lambda d, i: F.array_position(names, d["name"]) == (i + 1).cast("bigint")
+        entries, lambda d, i: F.array_position(names, d["name"]) == (i + 1).cast("bigint")
     )
     return F.when(
-        unknown.isNotNull(),
+        F.size(entries) > 0,
         F.map_from_arrays(latest.getField("name"), latest.getField("value")),
     )
 
@@ -125,6 +157,6 @@ def parse_windows(
         df,
         [F.when(kept, c).alias(n) for n, c in system_columns.items()]
         + [F.when(kept, c).alias(n) for n, c in data_columns.items()]
-        + [_extra(F.col("unknown")).alias("extra")],
+        + [F.when(kept, _extra(_system_rest(system), F.col("unknown"))).alias("extra")],
         F.col("reject"),
     )

@@ -12,7 +12,7 @@ from siftline import fixed_values as V
 from siftline.operators.routing import DEDUPE, REJECT, SAMPLE
 
 POSITION = ("topic", "partition", "offset")
-ARRIVAL = ("ingest_time", "partition", "offset")
+ARRIVAL = ("ingest_time", "topic", "partition", "offset")
 
 
 def sampled(key: Column, ratio: float = V.SAMPLE_RATIO) -> Column:
@@ -65,32 +65,26 @@ def dedupe_gap(
     """Rows whose previous row of the same key is absent or more than the gap older.
 
     Two rows of a key in one gap-wide slice of time are never more than the gap
-    apart, so only the first row of a slice can be kept. First row and last time
-    of each (key, slice) are aggregated before the shuffle; the look back then
-    walks slices, of which even a hot key has few, not rows.
+    apart, so only the first row of a slice can be kept. First and last time of
+    each (key, slice) are aggregated before the shuffle; the look back then walks
+    slices, of which even a hot key has few, not rows. The first rows themselves
+    are found by rank, limited before the shuffle too.
     """
     if gap_seconds <= 0:
         raise ValueError("the gap must be positive")
     gap = F.lit(gap_seconds * 1_000_000)
     at = F.unix_micros(F.col(time).cast("timestamp"))
-    slices = (
-        df.withColumn("_at", at)
-        .groupBy(*keys, F.floor(at / gap).alias("_slice"))
-        .agg(
-            F.min_by(F.struct(*df.columns), F.struct(*order)).alias("_row"),
-            F.min("_at").alias("_start"),
-            F.max("_at").alias("_end"),
-        )
-    )
+    timed = df.withColumn("_at", at).withColumn("_slice", F.floor(at / gap))
+    ends = timed.groupBy(*keys, "_slice").agg(F.min("_at").alias("_start"), F.max("_at").alias("_end"))
     previous_end = F.lag("_end").over(Window.partitionBy(*keys).orderBy("_slice"))
-    return (
-        slices.withColumn("_previous_end", previous_end)
-        .filter(
-            F.col("_previous_end").isNull()
-            | (F.col("_start") - F.col("_previous_end") > gap)
-        )
-        .select("_row.*")
-    )
+    kept = ends.withColumn("_previous_end", previous_end).filter(
+        F.col("_previous_end").isNull() | (F.col("_start") - F.col("_previous_end") > gap)
+    ).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_slice").alias("_of"))
+    first = dedupe_first(timed, (*keys, "_slice"), order)
+    same = F.col("_slice") == F.col("_of")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return first.join(kept, same, "left_semi").select(*df.columns)
 
 
 def reduce_events(

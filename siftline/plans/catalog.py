@@ -28,7 +28,6 @@ class LogType:
     parse: Callable[[DataFrame], DataFrame]
     routes: Callable[[], list[tuple[str, Column]]]
     dedupe_keys: tuple[str, ...]
-    dedupe_events: int
 
     def staged(self, raw: DataFrame) -> DataFrame:
         """Parsed rows and rejects with their route, in one narrow pass."""
@@ -40,7 +39,7 @@ class LogType:
 
 
 def _entry(name: str, parse, routes) -> LogType:
-    return LogType(name, parse, routes, V.DEDUPE_KEYS[name], V.DEDUPE_EVENTS[name])
+    return LogType(name, parse, routes, V.DEDUPE_KEYS[name])
 
 
 LOG_TYPES = {

@@ -227,13 +227,24 @@ WINDOW = Rendering(
         "failure_reason": _on((1,), "'Unknown user name or bad password.'"),
         "logon_id": _on((2,), "'0x' || lower(hex(event_id))"),
         "extra_elevated": "CASE WHEN event_id % 13 = 0 THEN 'yes' END",
+        "system_version": "CASE WHEN event_id % 3 = 0 THEN '2' END",
+        "system_keywords": "CASE WHEN event_id % 3 = 0 THEN '0x8020000000000000' END",
+        "system_process": f"CASE WHEN event_id % 3 = 0 THEN {text('500 + event_id % 90')} END",
+        "system_guid": "CASE WHEN event_id % 5 = 0 THEN '{54849625-5478-4994}' END",
+        "system_user": f"CASE WHEN event_id % 7 = 0 THEN 'S-1-5-' || {text('user_id')} END",
+        "system_task": "CASE WHEN event_id % 3 = 0 THEN '12544' WHEN event_id % 11 = 0 THEN 'data task' END",
+        "client_ip": f"CASE WHEN event_id % 19 = 0 THEN ({ADDRESS}) END",
     },
     line=(
         "CASE WHEN event_id % 97 = 0 THEN '<bad' ELSE "
         "'<Event xmlns=\"http://schemas.microsoft.com/win/2004/08/events/event\">' || chr(10) || "
         "CASE WHEN event_id % 103 = 0 THEN '' ELSE "
-        "'  <System><Provider Name=\"' || provider_name || '\"/><EventID>' || win_event_id || "
-        "'</EventID><Level>' || level || '</Level><TimeCreated SystemTime=\"' || "
+        "'  <System><Provider Name=\"' || provider_name || '\"' || CASE WHEN system_guid IS NULL THEN '' ELSE ' Guid=\"' || system_guid || '\"' END || '/><EventID>' || win_event_id || "
+        "'</EventID>' || CASE WHEN event_id % 3 = 0 THEN '<Version>' || system_version || '</Version><Task>' || "
+        "system_task || '</Task><Keywords>' || system_keywords || '</Keywords><Execution ProcessID=\"' || "
+        "system_process || '\" ThreadID=\"8\"/>' ELSE '' END || "
+        "CASE WHEN system_user IS NULL THEN '' ELSE '<Security UserID=\"' || system_user || '\"/>' END || "
+        "'<Level>' || level || '</Level><TimeCreated SystemTime=\"' || "
         "CASE WHEN event_id % 107 = 0 THEN 'yesterday' ELSE "
         f"replace(time_created_system_time, ' ', 'T') || '.' || {MILLIS} || 'Z' END || "
         "'\"/><EventRecordID>' || event_record_id || '</EventRecordID><Channel>' || channel || "
@@ -263,6 +274,8 @@ WINDOW = Rendering(
         + " || CASE WHEN event_id % 13 = 0 THEN '<Data Name=\"ExtraElevated\">no</Data>"
         "<Data Name=\"ExtraElevated\">yes</Data>' ELSE '' END || "
         "CASE WHEN event_id % 17 = 0 THEN '<Data Name=\"Computer\">other</Data>' ELSE '' END || "
+        "CASE WHEN event_id % 11 = 0 THEN '<Data Name=\"Task\">data task</Data>' ELSE '' END || "
+        "CASE WHEN client_ip IS NULL THEN '' ELSE '<Data Name=\"ClientIpAddress\">' || client_ip || '</Data>' END || "
         "'</EventData>' END || chr(10) || '</Event>' END"
     ),
     reject=(

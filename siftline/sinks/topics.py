@@ -1,4 +1,4 @@
-"""Rows onto a topic, and onto the console for a look."""
+"""Rows onto a topic."""
 
 from __future__ import annotations
 
@@ -32,9 +32,3 @@ def write_topic(
         out.write.mode(mode).parquet(f"{path.rstrip('/')}/topic={topic}")
     else:
         raise ValueError("a topic needs a broker or a path")
-
-
-def print_json(df: DataFrame, rows: int = 20) -> None:
-    """The first rows as JSON lines; a debugging aid."""
-    for r in as_json(df).select("value").take(rows):
-        print(r["value"])
