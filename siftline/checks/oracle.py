@@ -66,12 +66,12 @@ def _rows(log_type: str) -> str:
     )
 
 
-def _kept(log_type: str, extra: str = "") -> str:
+def _kept(log_type: str, where: str = "true") -> str:
     keys = ", ".join(V.DEDUPE_KEYS[log_type])
     sampled = SAMPLED.format(t=log_type)
     return (
         f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY route, {keys} "
-        f"ORDER BY ts, event_id % 4, event_id) AS rn FROM {_rows(log_type)} x) y "
+        f"ORDER BY ts, event_id % 4, event_id) AS rn FROM {_rows(log_type)} x WHERE {where}) y "
         f"WHERE route = 'dangerous' OR (route = 'sample' AND {sampled}) "
         "OR (route = 'dedupe' AND rn = 1))"
     )
@@ -257,27 +257,48 @@ def _enriched(log_type: str, select: str) -> str:
     )
 
 
-def _spec_counts(observed: bool, sinks) -> str:
+def _place(ip: str) -> str:
+    return f"(SELECT country FROM places p WHERE p.ip = k.{ip})"
+
+
+def _sink_rows(inputs, kept, columns=("a", "b", "c", "flag", "place")) -> str:
+    """Rows of (input, sink, log type, a, b, c, flag, place); ``kept`` gives a log type's rows."""
+    ips = " UNION ".join(f"SELECT {ip} AS ip FROM ({kept(t)}) k" for t, ip in (
+        (V.CISCO_LOG, "src_ip"), (V.ACCESS_LOG, "ip"), (V.ERROR_LOG, "ip")))
     parts = []
-    for input_id, sink_id, log_type, names in sinks:
-        hits = f"count(*) FILTER (WHERE {_flag(names)})" if names else "CAST(0 AS BIGINT)"
-        more = f", {hits} AS threat_hits, count(*) AS events_observed" if observed else ""
+    for input_id, sink_id, t, a, b, c, flag, place in inputs:
+        values = dict(a=a, b=b, c=f"CAST({c} AS VARCHAR)",
+                      flag=f"({_flag(_addresses(t))})" if flag else "CAST(NULL AS BOOLEAN)",
+                      place=_place(place) if place else "CAST(NULL AS VARCHAR)")
         parts.append(
-            f"SELECT '{input_id}' AS input_id, '{sink_id}' AS sink_id, count(*) AS events{more} "
-            f"FROM {_kept(log_type)} k"
+            f"SELECT '{input_id}' AS input_id, '{sink_id}' AS sink_id, "
+            + ", ".join(f"{values[n]} AS {n}" for n in columns) + f" FROM ({kept(t)}) k"
         )
-    return f"WITH listed AS {LISTED} " + " UNION ALL ".join(parts)
+    return f"WITH listed AS {LISTED}, places AS {_places(ips)} " + " UNION ALL ".join(parts)
 
 
-# the index sink of a log type without a mapping keeps the flag; so do the other sinks
-_SINKS = (
-    ("input-1", "sink-1", V.CISCO_LOG, ADDRESSES[V.CISCO_LOG]),
-    ("input-1", "sink-2", V.CISCO_LOG, ADDRESSES[V.CISCO_LOG]),
-    ("input-2", "sink-3", V.CISCO_LOG, ADDRESSES[V.CISCO_LOG]),
-    ("input-3", "sink-4", V.ACCESS_LOG, ()),
+_RUN_SINKS = (
+    ("perimeter", "search", V.CISCO_LOG, "src_ip", "event_type", "dst_ip", True, "src_ip"),
+    ("perimeter", "archive", V.CISCO_LOG, "src_ip", "event_type", "dst_ip", True, "src_ip"),
+    ("perimeter-flags", "flags", V.CISCO_LOG, "src_ip", "event_type", "dst_ip", True, None),
+    ("edge", "analytics", V.ACCESS_LOG, "ip", "url", "status", False, "ip"),
+    ("edge-errors", "search", V.ERROR_LOG, "ip", "level", "errno", True, "ip"),
+    ("hosts", "archive", V.WINDOW_LOG, "computer", "win_event_id", "target_user_name", True, None),
+)
+_STREAM_SINKS = (
+    ("perimeter", "search", V.CISCO_LOG, "src_ip", "event_type", "dst_ip", False, "src_ip"),
+    ("perimeter", "archive", V.CISCO_LOG, "src_ip", "event_type", "dst_ip", False, "src_ip"),
+    ("edge", "analytics", V.ACCESS_LOG, "ip", "url", "status", True, "ip"),
 )
 
 
+def _kept_halves(log_type: str) -> str:
+    """The rows that a run over the even events and one over the odd ones keep."""
+    return " UNION ALL ".join(
+        f"SELECT * FROM {_kept(log_type, f'event_id % 2 = {half}')} k{half}" for half in (0, 1)
+    )
+
+
 def _stats() -> str:
     parts = []
     for t in PIPELINE_TYPES:
@@ -443,8 +464,38 @@ def registered() -> dict[str, str]:
     out["topic_roundtrip"] = (
         f"SELECT event_id AS pos, event_type, src_ip, dst_ip FROM {_rows(V.CISCO_LOG)} x"
     )
-    out["spec_run"] = _spec_counts(True, _SINKS)
-    out["stream_spec_run"] = _spec_counts(False, _SINKS)
+    whole = lambda t: f"SELECT * FROM {_kept(t)} k0"
+    out["spec_run"] = _sink_rows(_RUN_SINKS, whole)
+    out["spec_two_runs"] = _sink_rows(_RUN_SINKS, _kept_halves)
+    out["stream_spec_run"] = _sink_rows(_STREAM_SINKS, whole, ("a", "b", "flag", "place"))
+    out["stream_large_lookup"] = out["stream_spec_run"]
+    out["spec_rejects"] = " UNION ALL ".join(
+        f"SELECT *, CASE WHEN pos % 2 = 0 THEN 'half-0' ELSE 'half-1' END AS run_id FROM ({_reject(t)}) r"
+        for t in (V.ACCESS_LOG, V.WINDOW_LOG)
+    )
+    out["listed_files"] = (
+        f"WITH s AS (SELECT s_suppkey, {SUPPLIER_ADDRESS} AS ip, 'S' || s_suppkey AS country FROM supplier), "
+        "f AS (SELECT *, split_part(ip, '.', 1) || '.' || split_part(ip, '.', 2) || '.' || "
+        "split_part(ip, '.', 3) || '.0' AS other FROM s) "
+        "SELECT s_suppkey AS pos, true OR other = '' AS threat_ip, "
+        "(SELECT min(country) FROM s WHERE s.ip = f.ip) AS country, "
+        "(SELECT min(country) FROM s WHERE s.ip = f.other) AS other_country FROM f"
+    )
+    out["offset_range"] = (
+        f"SELECT event_id AS pos, '{V.CISCO_LOG}' AS topic, CAST(event_id % 4 AS INT) AS partition, "
+        f"CAST({_bytes()} AS INT) AS value_bytes FROM ({fields_sql(V.CISCO_LOG)}) r "
+        "WHERE event_id BETWEEN 100 AND 699"
+    )
+    out["two_topics"] = (
+        "SELECT event_id AS pos, 'a_access_log' AS topic, method, status FROM (SELECT *, row_number() "
+        "OVER (PARTITION BY method, status ORDER BY ts, event_id % 4, event_id) AS rn "
+        f"FROM {_rows(V.ACCESS_LOG)} x) y WHERE rn = 1"
+    )
+    out["stream_dedupe_late"] = (
+        f"SELECT DISTINCT {', '.join(V.DEDUPE_KEYS[V.ACCESS_LOG])}, true AS kept "
+        f"FROM {_rows(V.ACCESS_LOG)} x WHERE route = 'dedupe'"
+    )
+    out["stream_topic"] = out["topic_roundtrip"]
     out["reduction_stats"] = _stats()
     out["bytes_received"] = _received()
     out["metric_filter"] = (
@@ -462,6 +513,7 @@ def registered() -> dict[str, str]:
     )
     out["stream_reduced_access"] = _stream_reduced(V.ACCESS_LOG)
     out["stream_reduced_cisco"] = _stream_reduced(V.CISCO_LOG)
+    out["stream_restart"] = out["stream_reduced_cisco"]
     out["stream_event_counts"] = (
         f"SELECT 'access_log' AS log_type, route, date_trunc('minute', {LOCAL_CLOCK}) AS minute, "
         f"count(*) AS events FROM {_rows(V.ACCESS_LOG)} x GROUP BY ALL"

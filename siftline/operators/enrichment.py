@@ -70,11 +70,11 @@ def _level(length: Column) -> Column:
 def geo_entries(networks: DataFrame) -> DataFrame:
     """``(level, prefix, geo)`` from rows of network (CIDR text), country, latitude, longitude.
 
-    Of equal networks the smallest (country, latitude, longitude) is taken. A
-    row whose network is no IPv4 CIDR gives nothing.
+    Of equal networks the smallest (country, latitude, longitude) is taken. A bare
+    address is a network of its own. A row whose network is no IPv4 CIDR gives nothing.
     """
     parts = F.split("network", "/")
-    length = F.get(parts, F.lit(1)).try_cast("int")
+    length = F.when(F.size(parts) == 1, 32).otherwise(F.get(parts, F.lit(1)).try_cast("int"))
     sized = (
         networks.select(
             ipv4_number(parts[0]).alias("number"),

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
@@ -24,9 +24,10 @@ from siftline.operators.routing import only_log_type
 from siftline.operators.shaping import with_event_time
 from siftline.plans.catalog import LOG_TYPES
 from siftline.plans.spec import InputSpec, RunSpec, SinkSpec
-from siftline.session import written
+from siftline.session import Stages
 from siftline.sinks.object_store import object_folder, write_object_store
-from siftline.sinks.tables import index_name, write_index, write_olap
+from siftline.sinks.runs import Run, of_run
+from siftline.sinks.tables import index_name, store_options, write_index, write_olap
 
 JOBS_AT_ONCE = 4
 
@@ -42,6 +43,13 @@ class SinkResult:
 
 @dataclass
 class RunResult:
+    """What a run wrote, and its stages; ``close`` removes exactly the stages.
+
+    ``rejects`` reads the output. ``staged``, ``enriched`` and ``stats`` read the stages,
+    so use them before closing; or use the result in a ``with`` statement.
+    """
+
+    stages: Stages
     sinks: list[SinkResult] = field(default_factory=list)
     rejects: dict[str, DataFrame] = field(default_factory=dict)
     staged: dict[str, DataFrame] = field(default_factory=dict)
@@ -50,6 +58,40 @@ class RunResult:
     def stats(self, input_id: str, log_type: str) -> DataFrame:
         return reduction_stats(self.staged[log_type], self.enriched[input_id])
 
+    def close(self) -> None:
+        self.stages.close()
+
+    def __enter__(self) -> RunResult:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+
+def rejects_path(out_dir: str, log_type: str) -> str:
+    return f"{out_dir.rstrip('/')}/rejects/log_type={log_type}"
+
+
+def write_rejects(staged: DataFrame, out_dir: str, log_type: str, run: Run) -> DataFrame:
+    """The rows that did not parse, beside those of other runs; returns this run's."""
+    writer, folders = of_run(rejects(staged).drop("log_type"), [], run, "overwrite")
+    path = rejects_path(out_dir, log_type)
+    writer.partitionBy(*folders).parquet(path)
+    return read_rejects(staged.sparkSession, out_dir, log_type).filter(F.col(run.column) == run.value)
+
+
+REJECT_SCHEMA = (
+    "value binary, reason string, topic string, partition int, offset bigint, ingest_time timestamp"
+)
+
+
+def read_rejects(
+    spark: SparkSession, out_dir: str, log_type: str, run_column: str = "run_id"
+) -> DataFrame:
+    """The reject table of a log type over all runs."""
+    rows = spark.read.schema(f"{REJECT_SCHEMA}, {run_column} string").parquet(rejects_path(out_dir, log_type))
+    return rows.withColumn("log_type", F.lit(log_type))
+
 
 def sink_path(out_dir: str, item: InputSpec, sink: SinkSpec) -> str:
     """The folder of one sink's rows.
@@ -65,27 +107,48 @@ def sink_path(out_dir: str, item: InputSpec, sink: SinkSpec) -> str:
     return f"{path}/{V.OLAP_DATABASE}/{item.log_type}"
 
 
+FILES, CONNECTOR = "files", "connector"
+
+
 def write_sink(
-    events: DataFrame, log_type: str, sink: SinkSpec, path: str, mode: str = "overwrite"
+    events: DataFrame, log_type: str, sink: SinkSpec, path: str, run: Run, deliver: str = FILES
 ) -> None:
+    """One sink's rows of one run: as files at ``path``, or to the place the sink names."""
     rows = only_log_type(events, log_type)
+    if deliver not in (FILES, CONNECTOR):
+        raise ValueError(f"deliver must be {FILES!r} or {CONNECTOR!r}")
     if sink.type == "aws_s3":
         rows = with_event_time(rows, log_type).drop("route")
-        write_object_store(rows, path, sink.key_prefix, mode=mode)
+        if deliver == CONNECTOR:
+            settings = events.sparkSession._jsc.hadoopConfiguration()
+            for key, value in store_options(sink.endpoint, sink.region, sink.auth).items():
+                # per bucket, so that sinks of several stores do not meet
+                settings.set(key.replace("fs.s3a.", f"fs.s3a.bucket.{sink.bucket}.", 1), value)
+            path = object_folder(f"s3a://{sink.bucket}", sink.key_prefix)
+        write_object_store(rows, path, sink.key_prefix, log_type=log_type, run=run)
     elif sink.type == "elasticsearch":
         # this sink leaves the raw message out
-        write_index(rows, log_type, path, keep_message=False, mode=mode)
+        if deliver == CONNECTOR:
+            write_index(rows, log_type, index=sink.index, endpoint=sink.endpoint, keep_message=False)
+        else:
+            write_index(rows, log_type, path, keep_message=False, run=run)
+    elif deliver == CONNECTOR:
+        write_olap(rows, log_type, url=sink.endpoint)
     else:
-        write_olap(rows, log_type, path, mode=mode)
+        write_olap(rows, log_type, path, run=run)
 
 
-def enriched_input(
-    reduced: DataFrame, item: InputSpec, threat: ThreatLookup | None, geo: GeoLookup | None
-) -> DataFrame:
+def check_lookups(item: InputSpec, threat: ThreatLookup | None, geo: GeoLookup | None) -> None:
     if item.enrich_threatip and threat is None:
         raise ValueError(f"input {item.id} wants the threat lookup, none was given")
     if item.enrich_geoip and geo is None:
         raise ValueError(f"input {item.id} wants the geographic lookup, none was given")
+
+
+def enriched_input(
+    reduced: DataFrame, item: InputSpec, threat: ThreatLookup | None, geo: GeoLookup | None
+) -> DataFrame:
+    check_lookups(item, threat, geo)
     return enrich(
         reduced,
         threat if item.enrich_threatip else None,
@@ -93,12 +156,6 @@ def enriched_input(
     )
 
 
-def _side_by_side(spark: SparkSession, work: Callable, items: Iterable) -> list:
-    """Independent jobs submitted together, so one's last tasks do not idle the cluster."""
-    with ThreadPoolExecutor(max_workers=JOBS_AT_ONCE) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
-
-
 def run_batch(
     spec: RunSpec,
     raw: Mapping[str, DataFrame],
@@ -106,46 +163,64 @@ def run_batch(
     threat: ThreatLookup | None = None,
     geo: GeoLookup | None = None,
     gap_seconds: int | None = None,
+    *,
+    run_id: str,
+    deliver: str = FILES,
 ) -> RunResult:
-    """Runs every input over the raw table of its log type.
+    """Runs every input over the raw table of its log type and adds the rows to its sinks.
+
+    Rows of other runs stay; a run repeated under its ``run_id`` replaces its own.
+    ``deliver`` says whether sinks are folders under ``out_dir`` or the places the
+    specification names (through connectors the cluster provides; those only add).
 
     A log type is parsed once, into a table split by route in the shared folder,
-    however many inputs use it. Its reduced rows and an input's enriched rows
-    are written likewise only where more than one reader follows.
+    however many inputs use it; its rejects go to the output at once. Its reduced
+    rows and an input's enriched rows are written likewise only where more than one
+    reader follows. Log types, inputs and sinks do not wait for each other.
     """
-    result = RunResult()
+    run = Run("run_id", run_id)
     spark = next(iter(raw.values())).sparkSession
+    result = RunResult(Stages(spark))
     uses = Counter(i.log_type for i in spec.inputs)
+    readers = 1 if broadcastable(threat, geo) else 2
+    windows = any(i.log_type == V.WINDOW_LOG for i in spec.inputs)
+    for item in spec.inputs:
+        check_lookups(item, threat, geo)
 
-    def reduce_type(name: str) -> DataFrame:
+    def run_type(name: str) -> list[Future]:
         log_type = LOG_TYPES[name]
-        staged = written(log_type.staged(raw[name]), f"parsed-{name}", partition_by=("route",))
+        staged = result.stages.written(log_type.staged(raw[name]), f"parsed-{name}", ("route",))
         result.staged[name] = staged
-        result.rejects[name] = rejects(staged)
+        written_rejects = sink_jobs.submit(target(write_rejects), staged, out_dir, name, run)
         kept = log_type.reduced(staged, gap_seconds)
-        several_readers = uses[name] > 1 or not broadcastable(threat, geo)
-        return written(kept, f"reduced-{name}") if several_readers else kept
-
-    def write_input(item: InputSpec) -> list[SinkResult]:
-        events = enriched[item.id]
+        # a lookup by shuffling, and one of addresses in a map, read their rows twice
+        if uses[name] > 1 or readers > 1 or windows and name == V.WINDOW_LOG:
+            kept = result.stages.written(kept, f"reduced-{name}")
+        inputs = [input_jobs.submit(target(run_input), i, kept) for i in spec.inputs if i.log_type == name]
+        result.rejects[name] = written_rejects.result()
+        return inputs
+
+    def run_input(item: InputSpec, reduced: DataFrame) -> list[Future]:
+        events = enriched_input(reduced, item, threat, geo).withColumn("input_id", F.lit(item.id))
         if len(item.sinks) > 1:
-            events = result.enriched[item.id] = written(events, f"enriched-{item.id}")
-        out = []
-        for sink in item.sinks:
-            path = sink_path(out_dir, item, sink)
-            counted, seen = observed(events, f"{spec.id}-{item.id}-{sink.id}")
-            write_sink(counted, item.log_type, sink, path)
-            out.append(SinkResult(item.id, sink.id, sink.type, path, seen.get["events"]))
-        return out
-
-    reduced = dict(zip(uses, _side_by_side(spark, reduce_type, uses)))
-    enriched = {
-        item.id: enriched_input(reduced[item.log_type], item, threat, geo).withColumn(
-            "input_id", F.lit(item.id)
-        )
-        for item in spec.inputs
-    }
-    result.enriched.update(enriched)
-    for done in _side_by_side(spark, write_input, spec.inputs):
-        result.sinks += done
+            events = result.stages.written(events, f"enriched-{item.id}")
+        result.enriched[item.id] = events
+        return [sink_jobs.submit(target(run_sink), events, item, sink) for sink in item.sinks]
+
+    def run_sink(events: DataFrame, item: InputSpec, sink: SinkSpec) -> SinkResult:
+        path = sink_path(out_dir, item, sink)
+        counted, seen = observed(events, f"{spec.id}-{run_id}-{item.id}-{sink.id}")
+        write_sink(counted, item.log_type, sink, path, run, deliver)
+        return SinkResult(item.id, sink.id, sink.type, path, seen.get["events"])
+
+    target = inheritable_thread_target(spark)
+    with (
+        ThreadPoolExecutor(JOBS_AT_ONCE) as type_jobs,
+        ThreadPoolExecutor(JOBS_AT_ONCE) as input_jobs,
+        ThreadPoolExecutor(JOBS_AT_ONCE) as sink_jobs,
+    ):
+        types = [type_jobs.submit(target(run_type), name) for name in uses]
+        sinks = [s for t in types for i in t.result() for s in i.result()]
+        done = {(s.input_id, s.sink_id): s for s in (f.result() for f in sinks)}
+    result.sinks = [done[i.id, s.id] for i in spec.inputs for s in i.sinks]
     return result

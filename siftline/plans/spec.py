@@ -86,14 +86,17 @@ def read_spec(config: Mapping[str, Any]) -> RunSpec:
     for i, item in enumerate(full.get("inputs", [])):
         name = str(item.get("id", f"input-{i + 1}"))
         where = f"input {name}"
+        sinks = item.get("sinks", [])
         log_type = log_type_named(_required(item, "log_type", where)).name
         inputs.append(InputSpec(
             name,
             log_type,
             _flag(item, "enrich_geoip", where),
             _flag(item, "enrich_threatip", where),
-            tuple(_sink(s, log_type, where) for s in item.get("sinks", [])),
+            tuple(_sink(s, log_type, where) for s in sinks),
         ))
+        if len({s.id for s in inputs[-1].sinks}) != len(sinks):
+            raise ValueError(f"{where}: sink ids must differ; a sink without one is named by its type")
     if not inputs:
         raise ValueError("at least one input is required")
     if len({i.id for i in inputs}) != len(inputs):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,7 +44,8 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    # local-cluster has executors with folders of their own
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="siftline-")
     spark.conf.set(CHECKPOINT_DIR, own)
@@ -61,10 +63,41 @@ def written(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Dat
     a re-read of files, and later branches read only the columns and partitions
     they need.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
+    return write_stage(df, fresh_path(df.sparkSession, name), partition_by)
+
+
+def write_stage(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever store it lies."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+class Stages:
+    """Written stages of one job, removed together when it is done with them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def written(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        path = fresh_path(self.spark, name)
+        self.paths.append(path)
+        return write_stage(df, path, partition_by)
+
+    def close(self) -> None:
+        while self.paths:
+            remove_folder(self.spark, self.paths.pop())
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siftline import fixed_values as V
 from siftline.functions.times import utc_clock
+from siftline.sinks.runs import Run, of_run
 
 # ---- fixed values: date codes of a key prefix and where they stand in a clock text
 _DATE_CODES = {"%Y": (1, 4), "%m": (6, 2), "%d": (9, 2), "%H": (12, 2)}
@@ -56,20 +57,26 @@ def object_folder(path: str, key_prefix: str) -> str:
 def write_object_store(
     df: DataFrame, path: str, key_prefix: str = V.DEFAULT_KEY_PREFIX,
     mode: str = "overwrite", max_records_per_file: int = 1_000_000,
+    log_type: str | None = None, run: Run | None = None,
 ) -> None:
-    """Gzip JSON under ``<path>/<dates>/log_type=<type>/``.
+    """Gzip JSON under ``<path>/<dates>/[key_tail=<tail>/]log_type=<type>/[<run>/]``.
 
-    The log type is a named folder so that readers prune by it. Rows are
-    rebalanced by folder before writing: few files per folder, and a folder
-    holding most of the data is written by many tasks.
+    The log type is a named folder so that readers prune by it; a tail of the
+    prefix that is not the log type is one too. Rows are rebalanced by folder
+    before writing: few files per folder, and a folder holding most of the data
+    is written by many tasks. With a run only that run's rows are replaced.
     """
     prefix = split_prefix(key_prefix.replace("{log_type}", ""))
-    folders = [name for name, _ in prefix.dates] + ["log_type"]
+    folders = [name for name, _ in prefix.dates]
     out = with_date_folders(df, prefix).drop("ingest_time")
+    if prefix.tail and prefix.tail != log_type:
+        out = out.withColumn("key_tail", F.lit(prefix.tail))
+        folders.append("key_tail")
+    folders.append("log_type")
+    out = out.hint("rebalance", *[F.col(f) for f in folders])
+    writer, folders = of_run(out, folders, run, mode)
     (
-        out.hint("rebalance", *[F.col(f) for f in folders])
-        .write.mode(mode)
-        .option("compression", "gzip")
+        writer.option("compression", "gzip")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*folders)
         .json(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 
 def as_json(df: DataFrame, key: str | None = None) -> DataFrame:
@@ -32,3 +33,23 @@ def write_topic(
         out.write.mode(mode).parquet(f"{path.rstrip('/')}/topic={topic}")
     else:
         raise ValueError("a topic needs a broker or a path")
+
+
+def start_topic(
+    rows: DataFrame, topic: str, checkpoint: str, bootstrap_servers: str | None = None,
+    path: str | None = None, acks: str = "1", trigger: dict | None = None,
+) -> StreamingQuery:
+    """The same for a stream of ``key, value`` text rows: each row once in files, at least once on a broker."""
+    out = rows.select(F.col("key").cast("string"), F.col("value").cast("string"))
+    if bootstrap_servers is not None:
+        writer = (
+            out.writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("kafka.acks", acks)
+            .option("topic", topic)
+        )
+    elif path is not None:
+        writer = out.withColumn("topic", F.lit(topic)).writeStream.format("parquet").partitionBy("topic").option("path", path)
+    else:
+        raise ValueError("a topic needs a broker or a path")
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

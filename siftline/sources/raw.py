@@ -56,8 +56,12 @@ def read_topics(
 def read_files(
     spark: SparkSession, path: str, topics: Sequence[str] = (),
     stream: bool = False, max_files_per_trigger: int | None = None,
+    offsets: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Parquet files with the raw columns, all topics or the named ones."""
+    """Parquet files with the raw columns, all topics or the named ones.
+
+    ``offsets`` bounds them in each partition: the first, and the one after the last.
+    """
     if stream:
         reader = spark.readStream.schema(RAW_SCHEMA)
         if max_files_per_trigger is not None:
@@ -65,6 +69,8 @@ def read_files(
     else:
         reader = spark.read.schema(RAW_SCHEMA)
     raw = reader.parquet(path)
+    if offsets is not None:
+        raw = raw.filter((F.col("offset") >= offsets[0]) & (F.col("offset") < offsets[1]))
     return raw.filter(F.col("topic").isin(*topics)) if topics else raw
 
 

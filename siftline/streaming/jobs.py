@@ -6,17 +6,20 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from siftline import fixed_values as V
 from siftline.functions.times import not_after
 from siftline.operators.enrichment import GeoLookup, ThreatLookup
 from siftline.operators.reduction import position_key, sampled
-from siftline.operators.routing import DANGEROUS, DEDUPE, SAMPLE
+from siftline.operators.routing import DANGEROUS, DEDUPE, REJECT, SAMPLE
 from siftline.operators.shaping import with_event_time
 from siftline.plans.catalog import LOG_TYPES, LogType
-from siftline.plans.runner import enriched_input, sink_path, write_sink
+from siftline.plans.runner import FILES, check_lookups, enriched_input, sink_path, write_rejects, write_sink
 from siftline.plans.spec import InputSpec, RunSpec
+from siftline.session import Stages
+from siftline.sinks.runs import Run
 from siftline.sources.raw import RAW_SCHEMA
 from siftline.streaming.dedupe import dedupe_stream
 
@@ -73,6 +76,49 @@ def reduced_stream(
     return straight.unionByName(repeated).drop("reject_reason", "raw_value")
 
 
+def start_reduce(
+    spark: SparkSession, log_type: LogType, work_dir: str, trigger: dict,
+    window: str = "10 minutes", salts: int = 16, max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """The reduced rows of a log type, once for all inputs that use it."""
+    kept = reduced_stream(
+        spark, f"{work_dir}/parsed/{log_type.name}", log_type, window, salts, max_files_per_trigger
+    )
+    return (
+        kept.writeStream.format("parquet")
+        .option("path", f"{work_dir}/reduced/{log_type.name}")
+        .option("checkpointLocation", f"{work_dir}/checkpoints/reduce-{log_type.name}")
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def read_reduced(
+    spark: SparkSession, log_type: LogType, work_dir: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    schema = T.StructType([
+        f for f in staged_schema(spark, log_type).fields if f.name not in ("reject_reason", "raw_value")
+    ])
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(f"{work_dir}/reduced/{log_type.name}")
+
+
+def start_rejects(
+    spark: SparkSession, log_type: LogType, work_dir: str, out_dir: str, trigger: dict
+) -> StreamingQuery:
+    """The rejects of a log type into the output, a folder for each batch."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_rejects(batch, out_dir, log_type.name, Run("batch_id", str(batch_id)))
+
+    return (
+        read_staged(spark, f"{work_dir}/parsed/{log_type.name}", log_type, (REJECT,))
+        .writeStream.option("checkpointLocation", f"{work_dir}/checkpoints/rejects-{log_type.name}")
+        .foreachBatch(write).trigger(**trigger).start()
+    )
+
+
 def usual_trigger(item: InputSpec) -> dict:
     """Analytic tables are fed every second, files and indexes every ten."""
     fast = any(s.type == "clickhouse" for s in item.sinks)
@@ -89,51 +135,73 @@ def start_run(
     geo: GeoLookup | None = None,
     window: str = "10 minutes",
     trigger: dict | None = None,
+    *,
+    salts: int = 16,
+    max_files_per_trigger: int | None = None,
+    stage_trigger: dict | None = None,
+    deliver: str = FILES,
 ) -> list[StreamingQuery]:
-    """Starts a parse query per log type, then a query per input.
+    """Starts for each log type the queries that parse, keep rejects and reduce, then one per input.
+
+    Without a trigger an input has the usual one of its sinks, and the stages of a log
+    type the shortest of its inputs; ``stage_trigger`` sets that of the stages apart
+    (a longer one writes fewer files). With the ``availableNow`` trigger each step is awaited
+    before the next, so that it sees all of its output. ``max_files_per_trigger`` bounds
+    the batches of a catch-up.
 
-    Without a trigger each query gets the usual one of its sinks.
-    With the ``availableNow`` trigger the parse queries are awaited first, so
-    the input queries see all of their output.
+    An input's batch is written once to the shared folder, enriched and sent to all sinks
+    from there, and removed; its rows lie in a last folder ``batch_id=<n>`` of each sink,
+    which a batch run again replaces.
     """
-    queries: list[StreamingQuery] = []
     names = list(dict.fromkeys(i.log_type for i in spec.inputs))
-    for name in names:
-        queries.append(start_parse(
-            raw(name), LOG_TYPES[name], f"{work_dir}/parsed/{name}",
-            f"{work_dir}/checkpoints/parse-{name}",
-            trigger or min(
-                (usual_trigger(i) for i in spec.inputs if i.log_type == name),
-                key=lambda t: t is not EVERY_SECOND,
-            ),
-        ))
-    if trigger is not None and trigger.get("availableNow"):
-        for q in queries:
-            q.awaitTermination()
+    at_once = bool(trigger and trigger.get("availableNow"))
     for item in spec.inputs:
-        def write(batch: DataFrame, batch_id: int, item=item) -> None:
-            events = enriched_input(batch, item, threat, geo)
-            events = events.withColumn("input_id", F.lit(item.id)).persist()
-            try:
+        check_lookups(item, threat, geo)
+
+    def stage_of(name: str) -> dict:
+        usual = (usual_trigger(i) for i in spec.inputs if i.log_type == name)
+        return trigger or stage_trigger or min(usual, key=lambda t: t is not EVERY_SECOND)
+
+    def started(*steps: Callable[[], StreamingQuery]) -> list[StreamingQuery]:
+        running = [step() for step in steps]
+        if at_once:
+            for q in running:
+                q.awaitTermination()
+        return running
+
+    queries = started(*[
+        lambda name=name: start_parse(
+            raw(name), LOG_TYPES[name], f"{work_dir}/parsed/{name}",
+            f"{work_dir}/checkpoints/parse-{name}", stage_of(name),
+        ) for name in names
+    ])
+    queries += started(*[
+        lambda name=name: start_reduce(
+            spark, LOG_TYPES[name], work_dir, stage_of(name), window, salts, max_files_per_trigger
+        ) for name in names
+    ], *[
+        lambda name=name: start_rejects(spark, LOG_TYPES[name], work_dir, out_dir, stage_of(name))
+        for name in names
+    ])
+
+    def start_input(item: InputSpec) -> StreamingQuery:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            run = Run("batch_id", str(batch_id))
+            with Stages(batch.sparkSession) as stages:
+                rows = stages.written(batch, f"batch-{item.id}")
+                events = enriched_input(rows, item, threat, geo).withColumn("input_id", F.lit(item.id))
+                if len(item.sinks) > 1:
+                    events = stages.written(events, f"enriched-{item.id}")
                 for sink in item.sinks:
-                    # a batch run again replaces its own folder
-                    path = f"{sink_path(out_dir, item, sink)}/batch_id={batch_id}"
-                    write_sink(events, item.log_type, sink, path)
-            finally:
-                events.unpersist()
-
-        reduced = reduced_stream(
-            spark, f"{work_dir}/parsed/{item.log_type}", LOG_TYPES[item.log_type], window
-        )
-        queries.append(
-            reduced.writeStream.option(
-                "checkpointLocation", f"{work_dir}/checkpoints/input-{item.id}"
-            )
-            .foreachBatch(write)
-            .trigger(**(trigger or usual_trigger(item)))
-            .start()
+                    write_sink(events, item.log_type, sink, sink_path(out_dir, item, sink), run, deliver)
+
+        return (
+            read_reduced(spark, LOG_TYPES[item.log_type], work_dir, max_files_per_trigger)
+            .writeStream.option("checkpointLocation", f"{work_dir}/checkpoints/input-{item.id}")
+            .foreachBatch(write).trigger(**(trigger or usual_trigger(item))).start()
         )
-    return queries
+
+    return queries + [start_input(item) for item in spec.inputs]
 
 
 def event_counts(staged: DataFrame, log_type: str, lateness: str = "5 hours") -> DataFrame:
