@@ -1,9 +1,11 @@
 """Substring dedup: recurring passages found by anchors, confirmed by sharded phrase automata.
 
-1. Anchors. Of every 13 consecutive words the run of ANCHOR words with the least order value
-   is chosen (longer runs first, then by hash). Equal windows choose equal anchors, so a
-   passage of 13 words that two documents share shows as an anchor that both have.
-2. Recurring anchors: those of two or more documents, by aggregation of (anchor, document).
+0. Copies. Of documents with equal texts all but the smallest lose every window; they need no
+   further look, and do not make a passage recur.
+1. Anchors. Of every 13 consecutive words the run of ANCHOR words with the least hash is
+   chosen. Equal windows choose equal anchors, so a passage of 13 words that two texts
+   share shows as an anchor that both have.
+2. Recurring anchors: those of two or more texts, by the hashes of anchors and texts.
 3. Segments. A document's windows whose anchor recurs are cut out as short runs of words,
    one run for each place of an anchor, and dealt out by anchor.
 4. Automata. Each shard takes its segments by anchor and document; the windows of a chunk of
@@ -38,6 +40,7 @@ ANCHOR = 5
 FIRST_BYTES = 8 << 20
 TEXTS = 512
 CHUNK = 20_000
+ALL = -1
 RESULT = ("n_words", "n_removed", "kept")
 
 
@@ -54,12 +57,7 @@ def chosen(words: Words, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np
     if len(words) < window:
         return none, none, np.empty(0, np.uint64)
     h = grams(words.hashes(), anchor)
-    upto = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
-    size = upto[anchor:] - upto[:-anchor]  # of the words alone: white space may differ
-    # longer runs first: they recur by chance less often
-    order = (np.uint64(255) - np.minimum(size, 255).astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
-    span = window - anchor + 1
-    least = sliding_window_view(order, span).argmin(1)
+    least = sliding_window_view(h, window - anchor + 1).argmin(1)
     first = np.arange(len(least))
     text = np.repeat(np.arange(len(words.per_text)), words.per_text)
     inside = text[first] == text[first + window - 1]
@@ -67,11 +65,11 @@ def chosen(words: Words, window: int = WINDOW, anchor: int = ANCHOR) -> tuple[np
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(key, anchor, doc_id, again): the anchors of every document, dealt out by ``key``.
+    """(key, anchor, hash, again): the anchors of every text (by its hash), dealt out by ``key``.
 
-    Of a block of texts the smallest document with an anchor comes under the anchor as key
-    (and null anchor), the others under keys of their own. ``again``: the anchor recurs for
-    certain, as the block has it in two documents.
+    Of a block of texts one with an anchor comes under the anchor as key (and null
+    anchor), the others under keys of their own. ``again``: the anchor recurs for certain,
+    as the block has it in two texts.
     """
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +90,7 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
             key = np.where(first, a, mixed(a ^ mixed(d.view(np.uint64))))
             return pa.RecordBatch.from_arrays(
                 [pa.array(key.view(np.int64)), pa.array(a.view(np.int64), mask=first), pa.array(d), pa.array(recurs)],
-                names=["key", "anchor", "doc_id", "again"])
+                names=["key", "anchor", "hash", "again"])
 
         for batch in batches:
             for k in range(0, batch.num_rows, TEXTS):
@@ -110,19 +108,19 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
                         held, size = [], 0
         yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(
-        find, "key bigint, anchor bigint, doc_id bigint, again boolean")
+    return docs.select("hash", "text").mapInArrow(
+        find, "key bigint, anchor bigint, hash bigint, again boolean")
 
 
 def _recurring(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, anchors): the recurring anchors of each document that has some."""
+    """(hash, anchors): the recurring anchors of each text that has some."""
     found = _anchors(docs, window).withColumn("settled", F.col("anchor").isNotNull())
     group = Window.partitionBy("key", "settled")  # a row for each block of texts at most
     return (
-        found.withColumns({"least": F.min("doc_id").over(group), "most": F.max("doc_id").over(group),
+        found.withColumns({"least": F.min("hash").over(group), "most": F.max("hash").over(group),
                            "ever": F.max("again").over(group)})
         .filter("ever OR least <> most")
-        .groupBy("doc_id").agg(F.collect_set(F.coalesce("anchor", "key")).alias("anchors"))
+        .groupBy("hash").agg(F.collect_set(F.coalesce("anchor", "key")).alias("anchors"))
     )
 
 
@@ -139,11 +137,13 @@ def _segments(rows: DataFrame, window: int) -> DataFrame:
             for k in range(0, batch.num_rows, TEXTS):
                 yield _cut_block(batch.slice(k, TEXTS), window)
 
-    return rows.select("doc_id", "hash", "text", "anchors").mapInArrow(cut, schema)
+    return rows.select("doc_id", "hash", "text", "anchors", "of").mapInArrow(cut, schema)
 
 
 def _cut_block(some: pa.RecordBatch, window: int) -> pa.RecordBatch:
     ids, hashes, texts = some.column(0).to_numpy(), some.column(1).to_numpy(), some.column(2).to_pylist()
+    # the anchors of another text with the same doc_id are no use
+    texts = [t if own else None for t, own in zip(texts, hashes == some.column(4).to_numpy())]
     lists = some.column(3)
     bounds = lists.offsets.to_numpy()
     wanted = lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
@@ -263,12 +263,19 @@ def _located(segments: DataFrame, window: int) -> DataFrame:
 
 
 def removals(texts: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(doc_id, spans): by document the runs (hash, at, until) of windows to take out.
+    """(id, spans): by document the runs (hash, at, until) of windows to take out.
 
-    ``texts`` has doc_id, hash and text; ``hash`` tells rows with the same doc_id apart.
+    ``texts`` has doc_id, hash and text; ``hash`` tells rows with the same doc_id apart. A
+    copy of a smaller document has the run from 0 to ALL.
     """
-    segments = _segments(texts.join(_recurring(texts, window), "doc_id"), window)
-    return _located(segments, window).groupBy("doc_id").agg(
+    exact = texts.select("doc_id", "hash", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha"))
+    first = exact.groupBy("sha", "hash").agg(F.min("doc_id").alias("first"))
+    copies = exact.distinct().join(first, ["sha", "hash"]).filter("doc_id > first").select(
+        "doc_id", "hash", F.lit(0).alias("at"), F.lit(ALL).alias("until"))
+    anchors = _recurring(texts, window).join(first, "hash").select(
+        F.col("first").alias("id"), F.col("hash").alias("of"), "anchors")
+    segments = _segments(texts.join(anchors, F.col("doc_id") == F.col("id")), window)
+    return _located(segments, window).unionAll(copies).groupBy(F.col("doc_id").alias("id")).agg(
         F.collect_list(F.struct("hash", "at", "until")).alias("spans"))
 
 
@@ -290,12 +297,18 @@ def deduplicated(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 def _judged(docs: DataFrame, names: dict[str, str], window: int) -> DataFrame:
     """``docs`` under neutral names, with the columns of RESULT."""
     columns = docs.columns
-    keyed = docs.withColumns({"doc_id": F.col(names["doc_id"]).cast("long"), "hash": F.xxhash64(names["text"])})
+    others = [c for c in columns if c not in (names["doc_id"], names["text"])]
+    keyed = docs.select(
+        F.col(names["doc_id"]).cast("long").alias("doc_id"), F.xxhash64(names["text"]).alias("hash"),
+        F.col(names["text"]).alias("text"), *others,
+    )
     named, nameless = keyed.filter("doc_id IS NOT NULL"), keyed.filter("doc_id IS NULL")
-    texts = named.select("doc_id", "hash", F.col(names["text"]).alias("text"))
-    spans = removals(texts, window).withColumnRenamed("doc_id", "of")
-    rows = named.join(spans, F.col("doc_id") == F.col("of"), "left").select(*columns, "hash", "spans").unionAll(
-        nameless.select(*columns, "hash", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")))
+    spans = removals(named.select("doc_id", "hash", "text"), window)
+    # both joins with the texts are by doc_id alone, so that without other columns they share one exchange
+    rows = named.join(spans, F.col("doc_id") == F.col("id"), "left").drop("id").unionAll(
+        nameless.withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
+    ).select(F.col("doc_id").cast(docs.schema[names["doc_id"]].dataType).alias(names["doc_id"]),
+             F.col("text").alias(names["text"]), *others, "hash", "spans").select(*columns, "hash", "spans")
     schema = docs.withColumns(dict(zip(RESULT, (F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(""))))).schema
     n, at = len(columns), columns.index(names["text"])
 
@@ -317,7 +330,9 @@ def _judged(docs: DataFrame, names: dict[str, str], window: int) -> DataFrame:
 
 def _rest(text: str | None, spans: list[dict], window: int) -> tuple[int, int, str]:
     words = (text or "").encode("utf-8", "surrogatepass").split()
-    if spans:
+    if any(s["until"] == ALL for s in spans):
+        kept = words if len(words) < window else []
+    elif spans:
         edge = np.zeros(len(words) + 1, np.int64)
         for s in spans:
             edge[s["at"]] += 1
