@@ -69,7 +69,7 @@ def main() -> None:
         consume(access.reduced(stage))
 
     def whole_run():
-        run_batch(spec, raw, fresh_path(spark, "bench-run"), threat, geo)
+        run_batch(spec, raw, fresh_path(spark, "bench-run"), threat, geo, run_id="bench").close()
 
     jobs = {
         **{

@@ -22,6 +22,6 @@ def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query(spark, con, name):
     assert difference(spark, con, SF, QUERIES[name], SQL[name]) is None
