@@ -469,6 +469,9 @@ def registered() -> dict[str, str]:
     out["spec_two_runs"] = _sink_rows(_RUN_SINKS, _kept_halves)
     out["stream_spec_run"] = _sink_rows(_STREAM_SINKS, whole, ("a", "b", "flag", "place"))
     out["stream_large_lookup"] = out["stream_spec_run"]
+    out["stream_accounts"] = (
+        f"SELECT input_id, sink_id, CAST(count(*) AS BIGINT) AS events FROM ({out['stream_spec_run']}) r GROUP BY ALL"
+    )
     out["spec_rejects"] = " UNION ALL ".join(
         f"SELECT *, CASE WHEN pos % 2 = 0 THEN 'half-0' ELSE 'half-1' END AS run_id FROM ({_reject(t)}) r"
         for t in (V.ACCESS_LOG, V.WINDOW_LOG)

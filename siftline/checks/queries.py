@@ -45,6 +45,7 @@ from siftline.streaming.changelog import read_changelog_table, start_changelog
 from siftline.streaming.jobs import (
     ALL_NOW,
     event_counts,
+    read_accounts,
     read_staged,
     reduced_stream,
     start_parse,
@@ -594,6 +595,13 @@ def stream_enriched(spark, sf_dir):
     return _all_sinks(spark, spec, out).select("input_id", "sink_id", "a", "b", "flag", "place")
 
 
+def stream_accounts(spark, sf_dir):
+    """Events that the sinks of a streaming run were sent, counted while they were."""
+    spec = read_spec(STREAM_SPEC)
+    out = _spec_stream(spark, sf_dir, spec, window=FOREVER)
+    return read_accounts(spark, out).groupBy("input_id", "sink_id").agg(F.sum("events").alias("events"))
+
+
 def stream_large_lookup(spark, sf_dir):
     """The same with lookups too large to be sent to every executor."""
     _, geo = I.lookups(spark, sf_dir)
@@ -673,9 +681,9 @@ def stream_changelog(spark, sf_dir):
         .parquet(f"{work}/changes")
     )
     start_changelog(
-        stream, f"{work}/updates", f"{work}/checkpoint", contains="c"
+        stream, f"{work}/table", f"{work}/checkpoint", contains="c", compact_every=2
     ).awaitTermination()
-    return read_changelog_table(spark, f"{work}/updates")
+    return read_changelog_table(spark, f"{work}/table")
 
 
 # ---- registration ------------------------------------------------------------
@@ -754,6 +762,7 @@ def registered() -> dict[str, Query]:
     out["stream_reduced_access"] = partial(stream_reduced, log_type=V.ACCESS_LOG)
     out["stream_reduced_cisco"] = partial(stream_reduced, log_type=V.CISCO_LOG)
     out["stream_spec_run"] = stream_enriched
+    out["stream_accounts"] = stream_accounts
     out["stream_large_lookup"] = stream_large_lookup
     out["stream_dedupe_late"] = stream_dedupe_late
     out["stream_restart"] = stream_restart

@@ -80,6 +80,24 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Renames a written folder into its place."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    store = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target.getParent())
+    if not store.rename(source, target):
+        raise OSError(f"{path} could not become {to}")
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(hadoop):
+        return []
+    return [s.getPath().getName() for s in store.listStatus(hadoop) if s.isDirectory()]
+
+
 class Stages:
     """Written stages of one job, removed together when it is done with them."""
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from siftline.operators.changelog import latest_per_key
+from siftline.session import folder_names, move_folder, remove_folder
 
 UPDATE_SCHEMA = "key string, value string, batch_id bigint"
 
@@ -18,18 +21,22 @@ def latest_values(changes: DataFrame) -> DataFrame:
 
 def start_changelog(
     changes: DataFrame, path: str, checkpoint: str, contains: str = "value",
-    trigger: dict | None = None,
+    trigger: dict | None = None, compact_every: int = 100,
 ) -> StreamingQuery:
     """Appends each batch's updates to ``path``; a NULL value deletes the key.
 
     A key whose latest value is NULL or no longer contains the text is deleted.
     A batch run again replaces its own folder, so a restart repeats no update.
+    After every ``compact_every`` batches their updates become the table's base, so
+    that a reader meets that many update folders at most.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         value = F.when(F.col("value").contains(contains), F.upper("value"))
         batch.select("key", value.alias("value")).write.mode("overwrite").parquet(
-            f"{path}/batch_id={batch_id}"
+            f"{path}/updates/batch_id={batch_id}"
         )
+        if (batch_id + 1) % compact_every == 0:
+            compact_changelog(batch.sparkSession, path, batch_id)
 
     return (
         latest_values(changes)
@@ -41,11 +48,44 @@ def start_changelog(
     )
 
 
+def _numbers(spark: SparkSession, path: str, column: str) -> list[int]:
+    prefix = f"{column}="
+    return sorted(int(n[len(prefix):]) for n in folder_names(spark, path) if n.startswith(prefix))
+
+
+def _current(spark: SparkSession, path: str, upto: int | None = None) -> DataFrame:
+    """The last base and the updates after it (up to a batch), one row per key."""
+    bases = _numbers(spark, f"{path}/base", "upto")
+    after = bases[-1] if bases else -1
+    rows = spark.createDataFrame([], UPDATE_SCHEMA)
+    if _numbers(spark, f"{path}/updates", "batch_id"):
+        updates = spark.read.schema(UPDATE_SCHEMA).parquet(f"{path}/updates").filter(F.col("batch_id") > after)
+        rows = updates if upto is None else updates.filter(F.col("batch_id") <= upto)
+    if bases:
+        base = spark.read.schema("key string, value string").parquet(f"{path}/base/upto={after}")
+        rows = rows.unionByName(base.withColumn("batch_id", F.lit(after).cast("bigint")))
+    return latest_per_key(rows, ("key",), ("batch_id",)).filter(F.col("value").isNotNull()).select("key", "value")
+
+
+def compact_changelog(spark: SparkSession, path: str, upto: int) -> None:
+    """Makes the rows after batch ``upto`` the base and removes what it replaces.
+
+    The new base is whole before anything goes, so a failure leaves a right table.
+    Readers that began before may have to begin again.
+    """
+    if upto in _numbers(spark, f"{path}/base", "upto"):
+        return
+    building = f"{path}/building-{uuid.uuid4().hex}"
+    _current(spark, path, upto).write.parquet(building)
+    move_folder(spark, building, f"{path}/base/upto={upto}")
+    for batch in _numbers(spark, f"{path}/updates", "batch_id"):
+        if batch <= upto:
+            remove_folder(spark, f"{path}/updates/batch_id={batch}")
+    for base in _numbers(spark, f"{path}/base", "upto"):
+        if base < upto:
+            remove_folder(spark, f"{path}/base/upto={base}")
+
+
 def read_changelog_table(spark: SparkSession, path: str) -> DataFrame:
     """Current rows: the last update per key, without the deleted keys."""
-    updates = spark.read.schema(UPDATE_SCHEMA).parquet(path)
-    return (
-        latest_per_key(updates, ("key",), ("batch_id",))
-        .filter(F.col("value").isNotNull())
-        .select("key", "value")
-    )
+    return _current(spark, path)

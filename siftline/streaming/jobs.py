@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siftline import fixed_values as V
 from siftline.functions.times import not_after
+from siftline.operators.accounting import observed
 from siftline.operators.enrichment import GeoLookup, ThreatLookup
 from siftline.operators.reduction import position_key, sampled
 from siftline.operators.routing import DANGEROUS, DEDUPE, REJECT, SAMPLE
@@ -19,7 +20,7 @@ from siftline.plans.catalog import LOG_TYPES, LogType
 from siftline.plans.runner import FILES, check_lookups, enriched_input, sink_path, write_rejects, write_sink
 from siftline.plans.spec import InputSpec, RunSpec
 from siftline.session import Stages
-from siftline.sinks.runs import Run
+from siftline.sinks.runs import Run, of_run
 from siftline.sources.raw import RAW_SCHEMA
 from siftline.streaming.dedupe import dedupe_stream
 
@@ -76,6 +77,18 @@ def reduced_stream(
     return straight.unionByName(repeated).drop("reject_reason", "raw_value")
 
 
+ACCOUNT_SCHEMA = "input_id string, sink_id string, events bigint"
+
+
+def accounts_path(out_dir: str) -> str:
+    return f"{out_dir.rstrip('/')}/accounts"
+
+
+def read_accounts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Events sent to each sink, by batch."""
+    return spark.read.schema(f"{ACCOUNT_SCHEMA}, batch_id bigint").parquet(accounts_path(out_dir))
+
+
 def start_reduce(
     spark: SparkSession, log_type: LogType, work_dir: str, trigger: dict,
     window: str = "10 minutes", salts: int = 16, max_files_per_trigger: int | None = None,
@@ -150,7 +163,7 @@ def start_run(
     the batches of a catch-up.
 
     An input's batch is written once to the shared folder, enriched and sent to all sinks
-    from there, and removed; its rows lie in a last folder ``batch_id=<n>`` of each sink,
+    from there, counted, and removed; its rows lie in a last folder ``batch_id=<n>`` of each sink,
     which a batch run again replaces.
     """
     names = list(dict.fromkeys(i.log_type for i in spec.inputs))
@@ -192,8 +205,15 @@ def start_run(
                 events = enriched_input(rows, item, threat, geo).withColumn("input_id", F.lit(item.id))
                 if len(item.sinks) > 1:
                     events = stages.written(events, f"enriched-{item.id}")
+                counts = []
                 for sink in item.sinks:
-                    write_sink(events, item.log_type, sink, sink_path(out_dir, item, sink), run, deliver)
+                    counted, seen = observed(events, f"{spec.id}-{item.id}-{sink.id}-{batch_id}")
+                    write_sink(counted, item.log_type, sink, sink_path(out_dir, item, sink), run, deliver)
+                    counts.append((item.id, sink.id, seen.get["events"]))
+                if counts:
+                    rows = batch.sparkSession.createDataFrame(counts, ACCOUNT_SCHEMA).coalesce(1)
+                    writer, folders = of_run(rows, ["input_id"], run, "overwrite")
+                    writer.partitionBy(*folders).parquet(accounts_path(out_dir))
 
         return (
             read_reduced(spark, LOG_TYPES[item.log_type], work_dir, max_files_per_trigger)

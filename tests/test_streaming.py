@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from siftline import fixed_values as V
 from siftline.plans.catalog import LOG_TYPES
 from siftline.render import rendered
+from siftline.session import folder_names
 from siftline.sources.raw import read_files
 from siftline.streaming.changelog import read_changelog_table, start_changelog
 from siftline.streaming.dedupe import dedupe_stream
@@ -98,9 +99,12 @@ def test_changelog_stream(spark, tmp_path):
             "append"
         ).parquet(src)
         stream = spark.readStream.schema(schema).parquet(src)
-        start_changelog(stream, path, check).awaitTermination()
+        start_changelog(stream, path, check, compact_every=2).awaitTermination()
         table = read_changelog_table(spark, path).collect()
         seen.append(sorted(tuple(r) for r in table))
     assert seen == [
         [("a", "VALUE1")], [("b", "VALUE2")], [("b", "VALUE2"), ("d", "VALUE4")],
     ]
+    # two batches became the base, the third is an update to it
+    assert folder_names(spark, f"{path}/base") == ["upto=1"]
+    assert folder_names(spark, f"{path}/updates") == ["batch_id=2"]
