@@ -2,8 +2,8 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Log lines are rendered from the ``events`` table once, outside the timing, into
-Parquet files with the raw topic columns; the jobs then read those files. Every
+Log lines, BENCH_COPIES of each event, are rendered from the ``events`` table once, outside
+the timing, into Parquet files with the raw topic columns; the jobs then read those files. Every
 job runs twice: ``queries`` holds the second (warm) time, ``cold`` the first.
 """
 
@@ -32,9 +32,12 @@ from siftline.plans.runner import run_batch  # noqa: E402
 from siftline.plans.spec import read_spec  # noqa: E402
 from siftline.render import rendered  # noqa: E402
 from siftline.session import fresh_path, local_session, written  # noqa: E402
+from siftline.sources.raw import read_files  # noqa: E402
+from siftline.streaming.jobs import ALL_NOW, start_parse, start_reduce  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
+COPIES = int(os.environ.get("BENCH_COPIES", "4"))
 
 
 def consume(df) -> None:
@@ -47,7 +50,11 @@ def main() -> None:
         CPUS, shuffle_partitions=int(CPUS) if CPUS.isdigit() else 8,
         **{"spark.checkpoint.dir": f"{scratch}/shared"},
     )
-    events = I.table(spark, SF_DIR, "events")
+    # several lines of each event, with ids of their own
+    ids = I.table(spark, SF_DIR, "events").agg(F.max("event_id")).first()[0] + 1
+    events = I.table(spark, SF_DIR, "events").withColumn(
+        "event_id", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))) * ids + F.col("event_id")
+    )
     raw, lines, size = {}, {}, {}
     for name in LOG_TYPES:
         path = f"{scratch}/raw/{name}"
@@ -71,7 +78,14 @@ def main() -> None:
     def whole_run():
         run_batch(spec, raw, fresh_path(spark, "bench-run"), threat, geo, run_id="bench").close()
 
+    def stream():
+        work, name = fresh_path(spark, "bench-stream"), V.ACCESS_LOG
+        source = read_files(spark, f"{scratch}/raw/{name}", stream=True, max_files_per_trigger=8)
+        start_parse(source, access, f"{work}/parsed/{name}", f"{work}/checkpoint", ALL_NOW).awaitTermination()
+        start_reduce(spark, access, work, ALL_NOW).awaitTermination()
+
     jobs = {
+        "stream_parse_reduce_access": stream,
         **{
             f"parse_{Q.SHORT[name]}": lambda t=t, name=name: consume(t.staged(raw[name]))
             for name, t in LOG_TYPES.items()

@@ -1,9 +1,10 @@
 """Threat flag and geographic enrichment of IPv4 columns.
 
 Both lookups are keyed by the address as a number. A geographic network is
-prepared as entries at four prefix levels (8, 16, 24, 32 bits): a network
-becomes at most 256 entries of the next level, the longest network wins inside
-a level, and a hit at a longer level wins over a shorter one. That is the
+prepared as entries at three prefix levels (16, 24, 32 bits): a network becomes
+at most 256 entries of the next level (one of under 8 bits up to 65,536, all that
+the level can have), the longest network wins inside a level, and a hit at a
+longer level wins over a shorter one. That is the
 longest-prefix rule as plain equality joins on unique keys: no range scan of a
 bucket, no window over the whole list.
 """
@@ -26,7 +27,7 @@ from siftline.functions.addresses import (
 from siftline.operators.reduction import POSITION
 from siftline.session import written
 
-LEVELS = (32, 24, 16, 8)
+LEVELS = (32, 24, 16)
 # Largest lookup sent whole to every executor: five million entries of about
 # 100 bytes stay near 500 MB. A larger one is joined by shuffling.
 BROADCAST_ROWS = 5_000_000
@@ -64,7 +65,7 @@ def broadcastable(
 
 
 def _level(length: Column) -> Column:
-    return F.when(length <= 8, 8).when(length <= 16, 16).when(length <= 24, 24).otherwise(32)
+    return F.when(length <= 16, 16).when(length <= 24, 24).otherwise(32)
 
 
 def geo_entries(networks: DataFrame) -> DataFrame:
@@ -138,8 +139,8 @@ def _lookup_threat(
 def _lookup_geo(df: DataFrame, number: str, geo: GeoLookup, into: str, broadcast: bool) -> DataFrame:
     """Adds ``into``, the entry of the longest matching level or NULL.
 
-    The two short levels have at most 256 and 65,536 entries and are always
-    broadcast; ``broadcast`` says whether the long ones are.
+    The short level has at most 65,536 entries and is always broadcast;
+    ``broadcast`` says whether the long ones are.
     """
     found: list[str] = []
     for level, table in geo.levels.items():

@@ -139,7 +139,7 @@ def test_no_address_column_is_no_threat(spark, tables):
 def test_small_lookups_are_broadcast_and_large_ones_are_not(tables):
     _, events, _, _, threat, geo = tables
     text = enrich(events, threat, geo)._jdf.queryExecution().executedPlan().toString()
-    assert text.count("BroadcastHashJoin") == 10 and "SortMergeJoin" not in text
+    assert text.count("BroadcastHashJoin") == 8 and "SortMergeJoin" not in text
 
 
 def test_text_addresses(spark):
