@@ -183,7 +183,6 @@ def run_batch(
     result = RunResult(Stages(spark))
     uses = Counter(i.log_type for i in spec.inputs)
     readers = 1 if broadcastable(threat, geo) else 2
-    windows = any(i.log_type == V.WINDOW_LOG for i in spec.inputs)
     for item in spec.inputs:
         check_lookups(item, threat, geo)
 
@@ -194,7 +193,7 @@ def run_batch(
         written_rejects = sink_jobs.submit(target(write_rejects), staged, out_dir, name, run)
         kept = log_type.reduced(staged, gap_seconds)
         # a lookup by shuffling, and one of addresses in a map, read their rows twice
-        if uses[name] > 1 or readers > 1 or windows and name == V.WINDOW_LOG:
+        if uses[name] > 1 or readers > 1 or name == V.WINDOW_LOG:
             kept = result.stages.written(kept, f"reduced-{name}")
         inputs = [input_jobs.submit(target(run_input), i, kept) for i in spec.inputs if i.log_type == name]
         result.rejects[name] = written_rejects.result()
@@ -214,13 +213,17 @@ def run_batch(
         return SinkResult(item.id, sink.id, sink.type, path, seen.get["events"])
 
     target = inheritable_thread_target(spark)
-    with (
-        ThreadPoolExecutor(JOBS_AT_ONCE) as type_jobs,
-        ThreadPoolExecutor(JOBS_AT_ONCE) as input_jobs,
-        ThreadPoolExecutor(JOBS_AT_ONCE) as sink_jobs,
-    ):
-        types = [type_jobs.submit(target(run_type), name) for name in uses]
-        sinks = [s for t in types for i in t.result() for s in i.result()]
-        done = {(s.input_id, s.sink_id): s for s in (f.result() for f in sinks)}
+    try:
+        with (
+            ThreadPoolExecutor(JOBS_AT_ONCE) as type_jobs,
+            ThreadPoolExecutor(JOBS_AT_ONCE) as input_jobs,
+            ThreadPoolExecutor(JOBS_AT_ONCE) as sink_jobs,
+        ):
+            types = [type_jobs.submit(target(run_type), name) for name in uses]
+            sinks = [s for t in types for i in t.result() for s in i.result()]
+            done = {(s.input_id, s.sink_id): s for s in (f.result() for f in sinks)}
+    except BaseException:
+        result.close()
+        raise
     result.sinks = [done[i.id, s.id] for i in spec.inputs for s in i.sinks]
     return result

@@ -127,6 +127,7 @@ def test_batch_run(spark, tmp_path, small):
         run_batch(spec, raw, str(tmp_path), None, geo, run_id="two")
     with pytest.raises(ValueError):
         run_batch(spec, raw, str(tmp_path), threat, geo, run_id="two", deliver="somehow")
+    assert stage_folders(spark) == before  # a run that fails leaves none either
 
 
 def test_runs_add_and_a_repeated_run_replaces(spark, tmp_path, small):
