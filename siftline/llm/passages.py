@@ -137,7 +137,8 @@ def _segments(rows: DataFrame, window: int) -> DataFrame:
             for k in range(0, batch.num_rows, TEXTS):
                 yield _cut_block(batch.slice(k, TEXTS), window)
 
-    return rows.select("doc_id", "hash", "text", "anchors", "of").mapInArrow(cut, schema)
+    first = ["doc_id", "hash", "text", "anchors", "of"]
+    return rows.select(*first, *[c for c in rows.columns if c not in first]).mapInArrow(cut, schema)
 
 
 def _cut_block(some: pa.RecordBatch, window: int) -> pa.RecordBatch:
@@ -265,7 +266,7 @@ def _located(segments: DataFrame, window: int) -> DataFrame:
 def removals(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     """(id, spans): by document the runs (hash, at, until) of windows to take out.
 
-    ``texts`` has doc_id, hash and text; ``hash`` tells rows with the same doc_id apart. A
+    ``texts`` has doc_id, hash, text and maybe others; ``hash`` tells rows with the same doc_id apart. A
     copy of a smaller document has the run from 0 to ALL.
     """
     exact = texts.select("doc_id", "hash", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("sha"))
@@ -274,7 +275,7 @@ def removals(texts: DataFrame, window: int = WINDOW) -> DataFrame:
         "doc_id", "hash", F.lit(0).alias("at"), F.lit(ALL).alias("until"))
     anchors = _recurring(texts, window).join(first, "hash").select(
         F.col("first").alias("id"), F.col("hash").alias("of"), "anchors")
-    segments = _segments(texts.join(anchors, F.col("doc_id") == F.col("id")), window)
+    segments = _segments(texts.join(anchors, F.col("doc_id") == F.col("id")).drop("id"), window)
     return _located(segments, window).unionAll(copies).groupBy(F.col("doc_id").alias("id")).agg(
         F.collect_list(F.struct("hash", "at", "until")).alias("spans"))
 
@@ -303,8 +304,8 @@ def _judged(docs: DataFrame, names: dict[str, str], window: int) -> DataFrame:
         F.col(names["text"]).alias("text"), *others,
     )
     named, nameless = keyed.filter("doc_id IS NOT NULL"), keyed.filter("doc_id IS NULL")
-    spans = removals(named.select("doc_id", "hash", "text"), window)
-    # both joins with the texts are by doc_id alone, so that without other columns they share one exchange
+    # both joins with the texts are by doc_id alone and take all columns, so that they share one exchange
+    spans = removals(named, window)
     rows = named.join(spans, F.col("doc_id") == F.col("id"), "left").drop("id").unionAll(
         nameless.withColumn("spans", F.lit(None).cast(spans.schema["spans"].dataType))
     ).select(F.col("doc_id").cast(docs.schema[names["doc_id"]].dataType).alias(names["doc_id"]),
