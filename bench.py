@@ -53,8 +53,8 @@ def main() -> None:
     # several lines of each event, with ids of their own
     ids = I.table(spark, SF_DIR, "events").agg(F.max("event_id")).first()[0] + 1
     events = I.table(spark, SF_DIR, "events").withColumn(
-        "event_id", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))) * ids + F.col("event_id")
-    )
+        "copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1)))
+    ).withColumn("event_id", F.col("copy") * ids + F.col("event_id")).drop("copy")
     raw, lines, size = {}, {}, {}
     for name in LOG_TYPES:
         path = f"{scratch}/raw/{name}"
