@@ -6,10 +6,16 @@ and deviation of its terms' vectors, rarer terms weighing more. A small network
 the labelled documents gives a log-odds, which a temperature fitted on other labelled
 documents turns into a calibrated probability.
 
-A term is a word's own letters if it has four bytes or fewer, else its form: the kinds of
-its first and last characters (punctuation marks each of their own kind) and its length. A
-word that repeats the one before it is a term of its own.
-Terms fall into a fixed number of buckets, so that vectors have a fixed size.
+Two sorts of terms are pooled beside each other:
+
+- Every distinct word, by 64 bits of its letters. Its sums are gathered by word over the
+  corpus and go back to the blocks of documents that have it, so the table of words grows
+  with the corpus and never meets in one place.
+- The form of a word: its own letters if it has four bytes or fewer, else the kinds of its
+  first and last characters (punctuation marks each of their own kind) and its length.
+  Forms fall into a fixed number of buckets.
+
+A word that repeats the one before it is a term of its own in both.
 """
 
 from __future__ import annotations
@@ -24,14 +30,22 @@ from pyspark.sql import functions as F
 
 from siftline.llm.columns import neutral, restored
 from siftline.llm.textbytes import Words, blocks, mixed
+from siftline.session import written
 
 BUCKETS = 4096
 SIZE = 64
 NONZERO = 4
 AGAIN = np.uint64(1)
 REACH = 2
+#: Bytes of text whose words are summed before they are sent; words of the corpus for each part of the table.
+CHUNK_BYTES = 32 << 20
+PART_WORDS = 1_000_000
+#: Rows of vectors that a step takes at once.
+SLAB = 50_000
 #: Labelled documents that the network is fitted on, at most: those with the smallest id hashes.
 SAMPLE = 20_000
+#: Rejected rows that are broadcast, counted before; more are joined as Spark chooses.
+BROADCAST_ROWS = 1_000_000
 HIDDEN = 24
 PREDICTED_FROM = 0.3
 FOLDS = 5
@@ -54,8 +68,28 @@ def index_vectors(seed: int = 6) -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice([-1.0, 1.0], (BUCKETS, NONZERO))
 
 
+def own_vectors(codes: np.ndarray) -> np.ndarray:
+    """The index vector of each word, NONZERO components from the bits of its code."""
+    bits = mixed(codes ^ np.uint64(0x9E3779B97F4A7C15))
+    out = np.zeros((len(codes), SIZE), np.int8)
+    rows = np.arange(len(codes))
+    for i in range(NONZERO):
+        place = (bits >> np.uint64(8 * i)) % np.uint64(SIZE)
+        sign = (bits >> np.uint64(40 + i)) & np.uint64(1)
+        out[rows, place.astype(np.int64)] += np.where(sign == 1, 1, -1).astype(np.int8)
+    return out
+
+
+def word_codes(words: Words) -> np.ndarray:
+    """64 bits of each word, AGAIN if it repeats the one before."""
+    whole = words.hashes()
+    code = whole.copy()
+    code[1:][whole[1:] == whole[:-1]] = AGAIN
+    return code
+
+
 def terms(words: Words) -> np.ndarray:
-    """The bucket of each word."""
+    """The bucket of each word's form."""
     if not len(words):
         return np.empty(0, np.int64)
     length = (words.ends - words.starts).astype(np.int64)
@@ -122,32 +156,196 @@ def context_table(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table, counts
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers of up to 64 bits, small ones in few bytes."""
+    v = values.astype(np.int64).ravel()
+    v = ((v << 1) ^ (v >> 63)).view(np.uint64)
+    width = next(w for w in (1, 2, 4, 8) if w == 8 or int(v.max(initial=0)) < 1 << 8 * w)
+    planes = v.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+    return len(v).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), data[8]
+    planes = pa.decompress(data[9:], n * width, "zstd", asbytes=True)
+    v = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.uint64)
+    return (v >> np.uint64(1)).view(np.int64) ^ -(v & np.uint64(1)).view(np.int64)
+
+
+def _context_sums(codes: np.ndarray, which: np.ndarray, n: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Of each word: the sum of the index vectors beside its places. ``which``: the word at each place."""
+    own = own_vectors(codes)
+    order = np.argsort(which, kind="stable")
+    begins = np.cumsum(n) - n
+    out = np.zeros((len(codes), SIZE), np.int32)
+    for k in range(0, len(order), SLAB):
+        at = order[k:k + SLAB]
+        near = np.zeros((len(at), SIZE), np.int8)
+        for step in (*range(-REACH, 0), *range(1, REACH + 1)):
+            other = np.clip(at + step, 0, len(text) - 1)
+            beside = (other == at + step) & (text[other] == text[at])
+            near += own[which[other]] * beside[:, None].astype(np.int8)
+        a, b = np.searchsorted(begins, (k, k + len(at)), side="right") - 1
+        some = np.arange(a, b + 1 if begins[b] < k + len(at) else b)
+        out[some] += np.add.reduceat(near, np.maximum(begins[some] - k, 0), axis=0, dtype=np.int32)
+    return out
+
+
+FRAMES = "key bigint, block bigint, part int, a binary, b binary, c binary"
+
+
+def _frames(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+    columns = list(zip(*rows)) if rows else [()] * 6
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "block", "part", "a", "b", "c"])
+
+
+def _chunk(block: int, ids: list, hashes: list, texts: list[bytes], parts: int) -> Iterator[tuple]:
+    """Rows of FRAMES: of each part of the table the chunk's words, their counts and sums, and
+    under a key of its own (below 0) which words every document has."""
+    codes, buckets, sizes = [], [], []
+    for a, b in blocks(map(len, texts)):
+        words = Words(texts[a:b])
+        codes.append(word_codes(words))
+        buckets.append(terms(words))
+        sizes.append(words.per_text)
+    sizes = np.concatenate(sizes)
+    found, first, which, n = np.unique(
+        np.concatenate(codes), return_index=True, return_inverse=True, return_counts=True)
+    bucket = np.concatenate(buckets)[first]
+    del codes, buckets
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    sums = _context_sums(found, which, n, text)
+    part = ((found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    for p in np.unique(part).tolist():
+        own = slice(edges[p], edges[p + 1])
+        steps = np.diff(found[own], prepend=np.uint64(0)).view(np.int64)
+        yield p, block, p, _packed(steps), _packed(n[own]), _packed(sums[own])
+    # frequent words get small numbers
+    place = np.empty(len(found), np.int64)
+    place[np.argsort(-n, kind="stable")] = np.arange(len(found))
+    pairs, times = np.unique(text * max(len(found), 1) + place[which], return_counts=True)
+    per_text = np.bincount(pairs // max(len(found), 1), minlength=len(sizes))
+    data = [_packed(x) for x in (per_text, pairs % max(len(found), 1), times, n, bucket, np.array(hashes, np.int64),
+                                 np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids]))]
+    lengths = np.array([len(x) for x in data], "<i8").tobytes()
+    yield -1 - block, block, -1, lengths, b"".join(data), None
+
+
+def _answered(rows: pa.Table) -> pa.Table:
+    """Of each block's words of one part: their counts and context vectors over the corpus."""
+    rows = rows.to_pylist()
+    if rows[0]["part"] < 0:
+        return pa.Table.from_batches([_frames([tuple(r.values()) for r in rows])])
+    asked = [np.cumsum(_unpacked(r["a"]).view(np.uint64)) for r in rows]
+    found, which = np.unique(np.concatenate(asked), return_inverse=True)
+    n, sums, at = np.zeros(len(found), np.int64), np.zeros((len(found), SIZE), np.int64), 0
+    for r, codes in zip(rows, asked):  # a block has a word once
+        own = which[at:at + len(codes)]
+        n[own] += _unpacked(r["b"])
+        sums[own] += _unpacked(r["c"]).reshape(-1, SIZE)
+        at += len(codes)
+    # only the direction counts: large sums in steps of a 127th of the largest
+    most = np.maximum(np.abs(sums).max(1, keepdims=True), 1)
+    sums = np.where(most > 127, np.rint(sums * (127 / most)), sums).astype(np.int8)
+    out, at = [], 0
+    for r, codes in zip(rows, asked):
+        own = which[at:at + len(codes)]
+        out.append((r["key"], r["block"], r["part"], None, _packed(n[own]), _packed(sums[own])))
+        at += len(codes)
+    return pa.Table.from_batches([_frames(out)])
+
+
+def _mean_and_deviation(vectors, of, weight, per_text) -> np.ndarray:
+    """Of each text: the weighted mean and deviation of its terms' vectors."""
+    size = vectors.shape[1]
+    out = np.zeros((len(per_text), 2 * size), np.float32)
+    upto = np.cumsum(per_text)
+    at = 0
+    while at < len(per_text):
+        before = upto[at] - per_text[at]
+        end = max(at + 1, int(np.searchsorted(upto, before + SLAB, side="right")))
+        some = at + np.flatnonzero(per_text[at:end])
+        if len(some):
+            own = slice(before, upto[end - 1])
+            begins = upto[some] - per_text[some] - before
+            w, x = weight[own][:, None], vectors[of[own]]
+            total = np.add.reduceat(w, begins, axis=0)
+            mean = np.add.reduceat(w * x, begins, axis=0) / total
+            square = np.add.reduceat(w * x * x, begins, axis=0) / total
+            out[some] = np.hstack([mean, np.sqrt(np.maximum(square - mean ** 2, 0))])
+        at = end
+    return out
+
+
+def _rarity(share: np.ndarray) -> np.ndarray:
+    return (0.002 / (0.002 + share)).astype(np.float32)
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """(doc_id bigint, hash, x): of every row of ``docs`` (doc_id, text) the pooled vectors, as float16.
+
+    ``hash`` is of the text. Written once.
+    """
+    context, counts = context_table(docs)
+    norm = np.linalg.norm(context, axis=1, keepdims=True)
+    places, signs = index_vectors()
+    own = np.zeros((BUCKETS, SIZE))
+    np.put_along_axis(own, places, signs / np.sqrt(NONZERO), 1)
+    total = max(counts.sum(), 1)
+    forms = np.hstack([context / np.maximum(norm, 1e-9), own]).astype(np.float32)
+    sent = docs.sparkSession.sparkContext.broadcast((forms, _rarity(counts / total)))
+    parts = 16 + int(total) // PART_WORDS
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        block, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                data = (row[2] or "").encode("utf-8", "surrogatepass")
+                held.append((*row[:2], data))
+                size += len(data)
+                if size >= CHUNK_BYTES:
+                    yield _frames(list(_chunk(block, *map(list, zip(*held)), parts)))
+                    block, held, size = block + 1, [], 0
+        if held:
+            yield _frames(list(_chunk(block, *map(list, zip(*held)), parts)))
+
+    def pooled(rows: pa.Table) -> pa.Table:
+        forms, form_weights = sent.value
+        held = sorted(rows.select(["part", "a", "b", "c"]).to_pylist(), key=lambda r: r["part"])
+        ends = np.cumsum(np.frombuffer(held[0]["a"], "<i8")).tolist()
+        per_text, pairs, times, n, bucket, hashes, ids, nameless = (
+            _unpacked(held[0]["b"][a:b]) for a, b in zip([0, *ends], ends))
+        count = np.concatenate([_unpacked(r["b"]) for r in held[1:]] or [np.empty(0)])
+        sums = np.concatenate([_unpacked(r["c"]).astype(np.int8) for r in held[1:]] or [np.empty(0, np.int8)])
+        if len(count) != len(n):
+            raise RuntimeError("a block's words and their answers differ")
+        vectors = sums.reshape(-1, SIZE).astype(np.float32)
+        vectors /= np.maximum(np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), 1e-9)[:, None]
+        word = np.argsort(-n, kind="stable")[pairs]
+        x = np.hstack([
+            _mean_and_deviation(forms, bucket[word], form_weights[bucket[word]] * times, per_text),
+            np.log1p(np.bincount(np.repeat(np.arange(len(per_text)), per_text), times, len(per_text)))[:, None],
+            _mean_and_deviation(vectors, word, _rarity(count / total)[word] * times, per_text),
+        ]).astype("<f2")
+        return pa.table({
+            "doc_id": pa.array(ids, mask=nameless.astype(bool)), "hash": pa.array(hashes),
+            "x": pa.array([row.tobytes() for row in x], pa.binary())})
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
+    answers = rows.mapInArrow(asked, FRAMES).groupBy("key").applyInArrow(_answered, FRAMES)
+    return written(answers.groupBy("block").applyInArrow(pooled, "doc_id bigint, hash bigint, x binary"), "quality-features")
+
+
 @dataclass
 class Model:
-    vectors: np.ndarray  # of each bucket: unit context vector, and its own index vector beside it
-    weights: np.ndarray  # of each bucket: the rarer, the more
     network: tuple | None = None  # centre, scale, first layer, second layer, temperature
     base: float = 0.5
 
-    def pooled(self, column: pa.Array) -> np.ndarray:
-        out = []
-        for _, _, words in _text_blocks(column):
-            b = terms(words)
-            n = len(words.per_text)
-            rows = np.zeros((n, 2 * self.vectors.shape[1] + 1), np.float32)
-            some = np.flatnonzero(words.per_text)
-            if len(some):
-                begins = (np.cumsum(words.per_text) - words.per_text)[some]
-                w = self.weights[b][:, None]
-                x = self.vectors[b]
-                total = np.add.reduceat(w, begins, axis=0)
-                mean = np.add.reduceat(w * x, begins, axis=0) / total
-                square = np.add.reduceat(w * x * x, begins, axis=0) / total
-                rows[some] = np.concatenate(
-                    [mean, np.sqrt(np.maximum(square - mean ** 2, 0)), np.log1p(words.per_text[some])[:, None]], 1)
-            out.append(rows)
-        return np.concatenate(out) if out else np.zeros((0, 2 * self.vectors.shape[1] + 1), np.float32)
-
     def scores(self, x: np.ndarray) -> np.ndarray:
         if self.network is None:
             return np.full(len(x), self.base)
@@ -202,24 +400,19 @@ def fold(doc_id: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))) % FOLDS
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model of a corpus (doc_id, text) and labels (doc_id, quality).
+def _vectors(column) -> np.ndarray:
+    found = column.to_pylist()
+    return np.frombuffer(b"".join(found), "<f2").reshape(len(found), -1).astype(float)
+
 
-    Vectors are made from all documents. The network sees labels of rows outside fold 0
+def fit(pooled: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+    """The model of a corpus, by its ``features``, and labels (doc_id, quality).
+
+    The network sees labels of rows outside fold 0
     only, at most ``sample`` of them (the smallest id hashes). Labels other than 0 and 1,
     ids with both labels and labels without a document are passed over; with fewer than ten
     rows of either label every score is the share of label 1 (one half without any).
     """
-    context, counts = context_table(docs)
-    norm = np.linalg.norm(context, axis=1, keepdims=True)
-    places, signs = index_vectors()
-    own = np.zeros((BUCKETS, SIZE))
-    np.put_along_axis(own, places, signs / np.sqrt(NONZERO), 1)
-    share = counts / max(counts.sum(), 1)
-    model = Model(
-        np.hstack([context / np.maximum(norm, 1e-9), own]).astype(np.float32),
-        (0.002 / (0.002 + share)).astype(np.float32),
-    )
     clear = (
         labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").filter(fold() != 0)
         .groupBy(F.col("doc_id").cast("long").alias("_id"))
@@ -227,50 +420,35 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         .filter("label = _other").select("_id", "label")
         .orderBy(F.xxhash64("_id"), "_id").limit(sample)
     )
-    rows = docs.select("doc_id", "text").join(
+    rows = pooled.join(
         F.broadcast(clear), F.col("doc_id") == F.col("_id")  # at most ``sample`` rows
-    ).select(F.col("_id").alias("doc_id"), "label", "text")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = sent.value.pooled(batch.column(2))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array([row.tobytes() for row in x], pa.binary())],
-                names=["doc_id", "label", "x"])
-
-    found = rows.mapInArrow(features, "doc_id bigint, label int, x binary").toPandas()
+    ).select("doc_id", "label", "x")
+    model = Model()
+    found = rows.toPandas()
     found = found.sort_values(["doc_id", "x"], kind="stable")
     y = found["label"].to_numpy(float)
     if min((y == 0).sum(), (y == 1).sum()) < 10:
         model.base = float(y.mean()) if len(y) else 0.5
         return model
-    x = np.stack([np.frombuffer(v, np.float32) for v in found["x"]]).astype(float)
-    model.network = train(x, y)
+    model.network = train(_vectors(pa.array(found["x"], pa.binary())), y)
     return model
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``quality_score`` (0 to 1, higher: better) of every whole text; no shuffle.
-
-    A column of that name is replaced.
+def scored(pooled: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, hash, quality_score) of every row of ``features``: 0 to 1, higher is better; no shuffle.
 
     A null or empty text has no terms and is scored as such.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("quality_score")
-    names = docs.columns
-    at = names.index("text")
-    schema = docs.withColumn("quality_score", F.lit(0.0)).schema
+    sent = pooled.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
                 some = batch.slice(k, 512)
-                p = sent.value.scores(sent.value.pooled(some.column(at)).astype(float))
-                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(p)], names=[*names, "quality_score"])
+                p = sent.value.scores(_vectors(some.column(2)))
+                yield pa.RecordBatch.from_arrays([*some.columns[:2], pa.array(p)], names=["doc_id", "hash", "quality_score"])
 
-    return docs.mapInArrow(score, schema)
+    return pooled.select("doc_id", "hash", "x").mapInArrow(score, "doc_id bigint, hash bigint, quality_score double")
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -279,8 +457,10 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Repeated rows are scored alike, one by one. A null doc_id counts as an empty one for
     held_out. Other columns are left behind.
     """
-    return scored(docs.select("doc_id", "text"), fit(docs, labels)).select(
-        "doc_id", (fold() == 0).alias("held_out"), F.col("quality_score").alias("score"),
+    pooled = features(docs)
+    return scored(pooled, fit(pooled, labels)).select(
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"),
+        (fold() == 0).alias("held_out"), F.col("quality_score").alias("score"),
         (F.col("quality_score") >= PREDICTED_FROM).cast("int").alias("predicted"),
     )
 
@@ -288,5 +468,12 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_rejected(docs: DataFrame, labels: DataFrame, least: float = PREDICTED_FROM) -> DataFrame:
     """``docs`` without the rows scored below ``least``; same columns."""
     rows, names = neutral(docs)
-    found = scored(rows.withColumnRenamed(names["text"], "text"), fit(docs, labels)).filter(F.col("quality_score") >= least)
-    return restored(found.withColumnRenamed("text", names["text"]), names)
+    doc_id, text = names["doc_id"], names["text"]
+    pooled = features(rows.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    rejected = written(scored(pooled, fit(pooled, labels)).filter(F.col("quality_score") < least).select(
+        F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct(), "quality-rejected")
+    if rejected.count() <= BROADCAST_ROWS:
+        rejected = F.broadcast(rejected)
+    found = rows.join(
+        rejected, F.col(doc_id).cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")), "left_anti")
+    return restored(found, names)

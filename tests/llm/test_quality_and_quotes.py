@@ -36,6 +36,35 @@ def test_held_out_accuracy(corpus):
     assert len(held) > 100 and sum(r.predicted == truth[r.doc_id] for r in held) > 0.97 * len(held)
 
 
+def test_words_of_one_form_have_vectors_of_their_own(spark):
+    rng = random.Random(3)
+    words = list({"".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(400)})
+    truth = {k: rng.randrange(2) for k in range(500)}
+    rows = [(k, " ".join(rng.choice(words[v::2]) for _ in range(rng.randrange(30, 60)))) for k, v in truth.items()]
+    got = Q.judged(spark.createDataFrame(rows, "doc_id int, text string").repartition(3),
+                   spark.createDataFrame(list(truth.items()), "doc_id int, quality int"))
+    assert dict(got.dtypes)["doc_id"] == "int"
+    held = [r for r in got.collect() if r.held_out]
+    assert len(held) > 60 and sum((r.score >= 0.5) == truth[r.doc_id] for r in held) > 0.95 * len(held)
+
+
+def test_word_sums_of_blocks_add_up(monkeypatch):
+    rng = random.Random(9)
+    texts = [text(rng, rng.randrange(0, 30)).encode() for _ in range(60)] + [b"", b"one"]
+    monkeypatch.setattr(Q, "SLAB", 7)
+    words = Q.Words(texts)
+    codes, which, n = Q.np.unique(Q.word_codes(words), return_inverse=True, return_counts=True)
+    of = Q.np.repeat(Q.np.arange(len(texts)), words.per_text)
+    own, want = Q.own_vectors(codes).astype(int), Q.np.zeros((len(codes), Q.SIZE), int)
+    for i in range(len(which)):
+        for j in range(max(0, i - 2), min(len(which), i + 3)):
+            if i != j and of[i] == of[j]:
+                want[which[i]] += own[which[j]]
+    assert (Q._context_sums(codes, which, n, of) == want).all()
+    for v in (want, Q.np.array([], int), Q.np.array([2**63 - 1, -(2**63), 0])):
+        assert (Q._unpacked(Q._packed(v)) == v.ravel()).all()
+
+
 def test_held_out_labels_do_not_count(spark, corpus):
     docs, labels, rows, truth = corpus
     turned = labels.selectExpr("doc_id", "CASE WHEN crc32(cast(doc_id AS string)) % 5 = 0 THEN 1 - quality ELSE quality END AS quality")
