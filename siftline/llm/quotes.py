@@ -1,9 +1,10 @@
 """Quotation linking: quoted passages joined to the messages they come from.
 
 A message's lines are split by their quote level (leading '>' marks). Each run of lines of
-one level, and each of its lines, is normalised and hashed; so are a message's own text, its
-paragraphs and its lines. A quoted passage comes from the first message that wrote it, in
-the same conversation if there is one before, else in any before. A message answers the
+one level, each of its paragraphs and each of its lines is normalised and hashed; so is a
+message's own text as a whole. A quoted passage comes from the first message that wrote it, in
+the same conversation if there is one before, else in any before. Short parts of a text are
+looked for in the same conversation only. A message answers the
 one that its outermost quotes come from; without any, the first of its conversation.
 Answers always point backwards, so following them gives threads, which may join several
 conversations, and (conv_id, turn) puts every message after the one it answers.
@@ -25,12 +26,14 @@ from siftline.session import written
 
 MARKS = re.compile(r"^(?:[ \t]*>)+[ \t]?")
 SAID = re.compile(r"\bwrote:\s*$", re.IGNORECASE)
-#: Lines and paragraphs of fewer words link nothing by themselves.
+#: Parts of a text of fewer words link inside their conversation only.
 LEAST_WORDS = 3
+#: Letters of scripts without spaces between words; each counts as a word.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 PARSED = (
-    "body string, n_words bigint, body_sha256 string, n_quotes bigint, own array<binary>, "
-    "quoted array<struct<level:int,whole:boolean,hash:binary>>"
+    "body string, n_words bigint, body_sha256 string, n_quotes bigint, own array<struct<hash:binary,far:boolean>>, "
+    "quoted array<struct<level:int,run:binary,whole:boolean,paragraph:boolean,far:boolean,hash:binary>>"
 )
 
 
@@ -59,33 +62,52 @@ def _hash(text: str) -> bytes:
     return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
 
 
+def _long(words: str) -> bool:
+    """Whether a normalised text is long enough to link to other conversations."""
+    return words.count(" ") + 1 >= LEAST_WORDS or len(UNSPACED.findall(words)) >= LEAST_WORDS
+
+
+def _paragraphs(lines: list[str]) -> set[str]:
+    """The normalised paragraphs of some lines; empty lines part them."""
+    out, held = set(), []
+    for line in [*lines, ""]:
+        if line.strip():
+            held.append(line)
+        else:
+            out.add(normal(" ".join(held)))
+            held = []
+    return out - {""}
+
+
 def parse(text: str | None) -> tuple:
-    """A row of PARSED."""
+    """A row of PARSED.
+
+    ``far``: the passage may link to another conversation.
+    """
     lines = levels(text or "")
     own_lines = [line.rstrip() for level, line in lines if level == 0]
     body = re.sub(r"\n{3,}", "\n\n", "\n".join(own_lines)).strip()
-    own = {normal(body)}
-    for part in [*re.split(r"\n\s*\n", body), *body.split("\n")]:
-        if part.count(" ") + 1 >= LEAST_WORDS and normal(part).count(" ") + 1 >= LEAST_WORDS:
-            own.add(normal(part))
+    own = {*_paragraphs(own_lines), *map(normal, own_lines)}
     quoted, runs, i = [], 0, 0
     while i < len(lines):
         level, j = lines[i][0], i
         while j < len(lines) and lines[j][0] == level:
             j += 1
-        if level:
-            run = normal(" ".join(line for _, line in lines[i:j]))
-            if run:
-                runs += 1
-                quoted.append((level, True, _hash(run)))
-                for line in {normal(x) for _, x in lines[i:j]} - {run}:
-                    if line.count(" ") + 1 >= LEAST_WORDS:
-                        quoted.append((level, False, _hash(line)))
+        part = [line for _, line in lines[i:j]]
+        run, paragraphs = normal(" ".join(part)), _paragraphs(part)
+        if not level:
+            own |= {run, *paragraphs}
+        elif run:
+            runs += 1
+            quoted.append((level, _hash(run), True, True, True, _hash(run)))
+            for one in sorted({*paragraphs, *map(normal, part)} - {run, ""}):
+                quoted.append((level, _hash(run), False, one in paragraphs, _long(one), _hash(one)))
         i = j
+    whole = normal(body)
     return (
         body, len(body.split()), hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest(), runs,
-        [_hash(t) for t in sorted(own - {""})],
-        [{"level": a, "whole": b, "hash": c} for a, b, c in quoted],
+        [{"hash": _hash(t), "far": t == whole or _long(t)} for t in sorted({*own, whole} - {""})],
+        [dict(zip(("level", "run", "whole", "paragraph", "far", "hash"), q)) for q in quoted],
     )
 
 
@@ -114,29 +136,33 @@ def parsed(messages: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def origins(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, whole, from_conv, from_turn): the quoted passages with an origin.
+    """(conv_id, turn, level, run, whole, paragraph, far, hash, from_conv, from_turn): the quoted passages with an origin.
 
     Firsts are found by aggregation, so a passage that many messages have is one row of
-    the join for each conversation at most.
+    the join for each conversation that quotes it, and one for all others.
     """
     known = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
     keys = ["conv_id", "turn"]
     quoted = parsed(known, keys).select(*keys, F.explode("quoted").alias("q")).select(*keys, "q.*").distinct()
-    asked = quoted.select("hash").distinct()
     first = (
-        parsed(known, keys).select(*keys, F.explode("own").alias("hash"))
-        .groupBy("hash", F.col("conv_id").alias("c")).agg(F.min("turn").alias("t"))
-        .join(asked, "hash", "left_semi")
+        parsed(known, keys).select(*keys, F.explode("own").alias("o")).select(*keys, "o.*")
+        .groupBy("hash", F.col("conv_id").alias("c")).agg(
+            F.min("turn").alias("t"), F.min(F.when(F.col("far"), F.col("turn"))).alias("far_t"))
+    )
+    here = first.join(quoted.select("hash", F.col("conv_id").alias("c")).distinct(), ["hash", "c"], "left_semi").select(
+        F.col("hash").alias("_g"), F.col("c").alias("_c"), F.col("t").alias("_t"))
+    anywhere = (
+        first.filter("far_t IS NOT NULL").groupBy(F.col("hash").alias("_h"))
+        .agg(F.min(F.struct("c", F.col("far_t").alias("t"))).alias("one"))
+        .join(quoted.filter("far").select(F.col("hash").alias("_h")).distinct(), "_h", "left_semi")
     )
-    anywhere = first.groupBy(F.col("hash").alias("_h")).agg(F.min(F.struct("c", "t")).alias("one"))
-    here = first.select(F.col("hash").alias("_g"), F.col("c").alias("_c"), F.col("t").alias("_t"))
     before = F.struct(F.col("conv_id").alias("c"), F.col("turn").alias("t"))
     return (
         quoted
         .join(here, (F.col("hash") == F.col("_g")) & (F.col("conv_id") == F.col("_c")) & (F.col("_t") < F.col("turn")), "left")
-        .join(anywhere, (F.col("hash") == F.col("_h")) & (F.col("one") < before), "left")
+        .join(anywhere, F.col("far") & (F.col("hash") == F.col("_h")) & (F.col("one") < before), "left")
         .filter("_t IS NOT NULL OR one IS NOT NULL")
-        .select(*keys, "level", "whole", "hash",
+        .select(*keys, "level", "run", "whole", "paragraph", "far", "hash",
                 F.when(F.col("_t").isNotNull(), F.col("_c")).otherwise(F.col("one.c")).alias("from_conv"),
                 F.coalesce("_t", "one.t").alias("from_turn"))
     )
@@ -149,8 +175,9 @@ def threads(messages: DataFrame) -> DataFrame:
     """
     found = origins(messages)
     outer = found.filter("level = 1").groupBy("conv_id", "turn").agg(F.max(F.struct(
-        "whole", (F.col("from_conv") == F.col("conv_id")).alias("own"), "from_conv", "from_turn")).alias("best"))
-    linked = found.filter("whole").groupBy("conv_id", "turn").agg(F.count("*").alias("n_linked"))
+        "whole", "far", "paragraph", (F.col("from_conv") == F.col("conv_id")).alias("own"), "from_conv", "from_turn")).alias("best"))
+    linked = (found.filter("whole OR paragraph").select("conv_id", "turn", "level", "run").distinct()
+              .groupBy("conv_id", "turn").agg(F.count("*").alias("n_linked")))
     ids = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn").agg(F.lit(1).alias("_"))
     heads = ids.groupBy("conv_id").agg(F.min("turn").alias("head"))
     hung = (
@@ -180,7 +207,7 @@ def conversations(messages: DataFrame, bodies: bool = True) -> DataFrame:
 
     Per row conv_id, turn, role, body (own text, without quotes; left out if ``bodies`` is
     false), n_words and body_sha256 of the body, n_quotes (quoted passages), n_linked
-    (those with an origin), reply_conv and reply_turn. Positions count from 0 in a thread,
+    (those with an origin, of the whole or of a paragraph), reply_conv and reply_turn. Positions count from 0 in a thread,
     by conv_id, turn and body. Rows with the same conv_id and turn are one message for
     links, and keep their own rows. Rows without conv_id or turn, and null texts, stay: the
     former without thread, reply and position, the latter with an empty body. Other columns

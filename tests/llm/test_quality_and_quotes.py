@@ -146,3 +146,33 @@ def test_long_reply_chains(spark):
 def test_levels():
     assert C.levels("a\n> b\n>> c\n > > d\nX wrote:\n> e\nhe wrote:") == [
         (0, "a"), (1, "b"), (2, "c"), (2, "d"), (1, "e"), (0, "he wrote:")]
+
+
+def test_short_parts_and_paragraphs_link(spark):
+    three = "first part of it\nis here\n\nsecond part comes\nnow\n\nthird and last part"
+    rows = [
+        (1, 0, "shopping list for today\n\napples\npears\nplums\n\n你好世界再见朋友\n你们\n\nbye"),
+        (1, 1, "unrelated words between these"),
+        (1, 2, "> apples\n> pears plums\nsure"),
+        (1, 3, "other words again, unrelated"),
+        (1, 4, "> bye\nso soon?"),  # a short paragraph, in its conversation
+        (1, 5, "> 你们\nhm"),
+        (2, 0, "hello there all\n\nbye\n\nsee you"),
+        (2, 1, "> bye\nnot from conversation 1"),
+        (3, 0, "nothing of note"), (3, 1, "> bye\nsaid elsewhere only, in a part"),
+        (4, 0, "> 你好世界再见朋友\nfrom another conversation"),  # long without spaces
+        (5, 0, three), (5, 1, "words unlike all others"),
+        (5, 2, "> second part\n> comes now\n>\n> third and\n> last part\nyes"),
+        (6, 0, "no relation whatsoever"), (6, 1, "> who knows\nmy own answer runs\nover two lines\n> who else\nand it goes on below"),
+        (6, 2, "filler message without quotes"), (6, 3, "> my own answer runs over\n> two lines\nindeed"),
+    ]
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id int, turn int, role string, text string").repartition(3)
+    got = {(r.conv_id, r.turn): r for r in C.conversations(df).collect()}
+    reply = {k: (r.reply_conv, r.reply_turn) for k, r in got.items()}
+    assert reply[(1, 2)] == (1, 0) and reply[(1, 4)] == (1, 0) and reply[(1, 5)] == (1, 0)
+    assert [got[(1, t)].n_linked for t in (1, 2, 4, 5)] == [0, 1, 1, 1]
+    assert got[(2, 1)].n_linked == 1 and reply[(2, 1)] == (2, 0)
+    assert got[(3, 1)].n_linked == 0 and reply[(3, 1)] == (3, 0)
+    assert reply[(4, 0)] == (1, 0)
+    assert reply[(5, 2)] == (5, 0) and got[(5, 2)].n_linked == 1
+    assert reply[(6, 3)] == (6, 1) and got[(6, 3)].n_linked == 1
