@@ -55,7 +55,7 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotes.conversations(table(spark, sf_dir, "conversations"), bodies=False)
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
 
 
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:

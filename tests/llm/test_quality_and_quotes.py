@@ -176,3 +176,13 @@ def test_short_parts_and_paragraphs_link(spark):
     assert reply[(4, 0)] == (1, 0)
     assert reply[(5, 2)] == (5, 0) and got[(5, 2)].n_linked == 1
     assert reply[(6, 3)] == (6, 1) and got[(6, 3)].n_linked == 1
+
+
+def test_registered_query_returns_the_bodies(spark, tmp_path):
+    from siftline.llm.queries import registered
+
+    df = spark.createDataFrame(MESSAGES, "conv_id bigint, turn bigint, role string, text string")
+    df.write.parquet(f"{tmp_path}/conversations.parquet")
+    got = registered()["op8_quotes"](spark, str(tmp_path)).collect()
+    assert len(got) == len(MESSAGES) and all(r.body_sha256 == hashlib.sha256(r.body.encode()).hexdigest() for r in got)
+    assert "That works, great." in {r.body for r in got}
