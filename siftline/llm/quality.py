@@ -80,12 +80,18 @@ def own_vectors(codes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _repeated(words: Words, whole: np.ndarray) -> np.ndarray:
+    """Whether each word is the one before it in the same text."""
+    out = np.zeros(len(whole), bool)
+    text = np.repeat(np.arange(len(words.per_text)), words.per_text)
+    out[1:] = (whole[1:] == whole[:-1]) & (text[1:] == text[:-1])
+    return out
+
+
 def word_codes(words: Words) -> np.ndarray:
     """64 bits of each word, AGAIN if it repeats the one before."""
-    whole = words.hashes()
-    code = whole.copy()
-    code[1:][whole[1:] == whole[:-1]] = AGAIN
-    return code
+    code = words.hashes()
+    return np.where(_repeated(words, code), AGAIN, code)
 
 
 def terms(words: Words) -> np.ndarray:
@@ -98,8 +104,7 @@ def terms(words: Words) -> np.ndarray:
                np.maximum(words.ends - 2, words.starts), words.ends - 1):
         code = code * np.uint64(256) + KIND[words.bytes[at]]
     whole = words.hashes()
-    code = np.where(length <= 4, whole, code)
-    code[1:][whole[1:] == whole[:-1]] = AGAIN
+    code = np.where(_repeated(words, whole), AGAIN, np.where(length <= 4, whole, code))
     return (mixed(code) % np.uint64(BUCKETS)).astype(np.int64)
 
 

@@ -65,6 +65,15 @@ def test_word_sums_of_blocks_add_up(monkeypatch):
         assert (Q._unpacked(Q._packed(v)) == v.ravel()).all()
 
 
+def test_words_repeat_inside_a_text_only():
+    texts = [b"lonely", b"lonely", b"lonely lonely end", b"", b"end of it"]
+    together = Q.Words(texts)
+    alone = [Q.Words([t]) for t in texts]
+    for of in (Q.word_codes, Q.terms):
+        assert of(together).tolist() == [x for w in alone for x in of(w).tolist()]
+    assert (Q.word_codes(together) == Q.AGAIN).sum() == 1
+
+
 def test_held_out_labels_do_not_count(spark, corpus):
     docs, labels, rows, truth = corpus
     turned = labels.selectExpr("doc_id", "CASE WHEN crc32(cast(doc_id AS string)) % 5 = 0 THEN 1 - quality ELSE quality END AS quality")
