@@ -414,7 +414,8 @@ def fit(pooled: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of a corpus, by its ``features``, and labels (doc_id, quality).
 
     The network sees labels of rows outside fold 0
-    only, at most ``sample`` of them (the smallest id hashes). Labels other than 0 and 1,
+    only, at most ``sample`` of them (the smallest id hashes), and of rows with one doc_id
+    the one of the smallest text hash. Labels other than 0 and 1,
     ids with both labels and labels without a document are passed over; with fewer than ten
     rows of either label every score is the share of label 1 (one half without any).
     """
@@ -427,10 +428,9 @@ def fit(pooled: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     )
     rows = pooled.join(
         F.broadcast(clear), F.col("doc_id") == F.col("_id")  # at most ``sample`` rows
-    ).select("doc_id", "label", "x")
+    ).groupBy("doc_id", "label").agg(F.min_by("x", "hash").alias("x"))
     model = Model()
-    found = rows.toPandas()
-    found = found.sort_values(["doc_id", "x"], kind="stable")
+    found = rows.toPandas().sort_values("doc_id", kind="stable")
     y = found["label"].to_numpy(float)
     if min((y == 0).sum(), (y == 1).sum()) < 10:
         model.base = float(y.mean()) if len(y) else 0.5

@@ -74,6 +74,15 @@ def test_words_repeat_inside_a_text_only():
     assert (Q.word_codes(together) == Q.AGAIN).sum() == 1
 
 
+def test_a_document_id_trains_once(spark, monkeypatch):
+    rows = [(k, f"some text number {k}") for k in range(60)] + [(1, f"another text {k}") for k in range(80)]
+    labels = [(k, k % 2) for k in range(60)]
+    seen, train = [], Q.train
+    monkeypatch.setattr(Q, "train", lambda x, y: seen.append(len(x)) or train(x, y))
+    Q.judged(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    assert zlib.crc32(b"1") % 5 and seen == [sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(60))]
+
+
 def test_held_out_labels_do_not_count(spark, corpus):
     docs, labels, rows, truth = corpus
     turned = labels.selectExpr("doc_id", "CASE WHEN crc32(cast(doc_id AS string)) % 5 = 0 THEN 1 - quality ELSE quality END AS quality")
