@@ -181,10 +181,13 @@ def _cut_block(some: pa.RecordBatch, window: int) -> pa.RecordBatch:
         least = min(found)[0]
         for doc, hashed, anchor, f, l in found:
             if doc > least:
-                out.append((anchor ^ (doc << 20) ^ f, doc, hashed, f, l, None))
+                out.append((anchor, doc, hashed, f, l, None))
             else:
                 out.append((anchor, doc, hashed, f, l, run.decode("utf-8", "surrogatepass")))
     columns = list(zip(*out)) if out else [()] * 6
+    anchor, doc, at = (np.array(columns[i], np.int64).view(np.uint64) for i in (0, 1, 3))
+    settled = np.array([c is None for c in columns[5]], bool)
+    columns[0] = np.where(settled, mixed(anchor ^ mixed(doc ^ mixed(at))), anchor).view(np.int64)
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string())
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, kinds)],

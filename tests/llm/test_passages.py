@@ -41,6 +41,14 @@ def test_few_words_many_repeats(spark, monkeypatch):
     assert rows_of(P.digest(docs), *COLUMNS) == brute(rows)
 
 
+def test_ids_of_64_bits(spark):
+    shared = " ".join(f"word{k}" for k in range(20))
+    ids = [2**63 - 1, 2**43, -(2**63), -5, 2**62 + 1, 2**50]
+    rows = [(i, f"own start {k} {shared} own end {k}") for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    assert rows_of(P.digest(docs), *COLUMNS) == brute(rows)
+
+
 def test_small_chunks_give_the_same(document_rows):
     """An anchor's segments over several chunks: the shard keeps what it needs."""
     rng = random.Random(3)
