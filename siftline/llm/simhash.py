@@ -2,7 +2,8 @@
 
 The distinct fingerprints are leaves of a binary trie, most significant bit first. The
 first levels are walked by Spark: every node of one depth meets the nodes that differ from
-it in few enough bits, each pair of nodes is a group of its own. From there a task walks
+it in few enough bits, each pair of nodes is a group of its own; a node with too many
+fingerprints is cut into blocks that each meet the other node's. From there a task walks
 down both nodes together: four pairs of children, one more bit of the error budget spent
 where they differ, and a pair is dropped as soon as the budget is exceeded.
 """
@@ -145,39 +146,70 @@ class Groups:
                 self.root = up
 
 
-def depth_for(prints: DataFrame, node: int) -> int:
-    """The first depth, up to LEVELS, at which no trie node has more than ``node`` fingerprints.
+def levels_for(prints: DataFrame, node: int, most: int = MOST_BITS) -> tuple[int, dict[int, int]]:
+    """(depth, blocks): Spark's levels, and into how many blocks each node of more than ``node`` is cut.
 
+    The depth is the first, up to LEVELS, at which no node is cut, unless another sends less
+    than half as many rows: a few full nodes don't drive the depth of the table.
     From the counts of the nodes at LEVELS (65,536 at most).
     """
     counts = np.zeros(1 << LEVELS, np.int64)
     top = F.shiftrightunsigned("fingerprint", 64 - LEVELS)
     for row in prints.groupBy(top.alias("node")).count().collect():
         counts[row["node"]] = row["count"]
-    for depth in range(LEVELS):
-        if counts.reshape(1 << depth, -1).sum(1).max() <= node:
-            return depth
-    return LEVELS
-
-
-def links(prints: DataFrame, most: int = MOST_BITS, node: int = NODE) -> DataFrame:
-    """(a, b): edges that connect all ids whose fingerprints differ in ``most`` bits or fewer.
-
-    ``prints`` has distinct fingerprints, each with one id. A pair of nodes gives at most
-    one edge for each fingerprint (a spanning forest of its links), not all pairs.
+    sent, cut = [], []
+    for depth in range(LEVELS + 1):
+        of = counts.reshape(1 << depth, -1).sum(1)
+        cut.append(np.maximum(-(-of // node), 1))
+        places = np.arange(1 << depth)
+        sent.append(sum(int(of @ cut[-1][places ^ m]) for m in range(1 << depth) if m.bit_count() <= most))
+        if of.max() <= node:
+            break
+    depth = len(sent) - 1
+    if 2 * min(sent) < sent[depth]:
+        depth = int(np.argmin(sent))
+    return depth, {int(k): int(cut[depth][k]) for k in np.flatnonzero(cut[depth] > 1)}
+
+
+def dealt(prints: DataFrame, most: int = MOST_BITS, node: int = NODE) -> tuple[int, DataFrame]:
+    """(depth, rows): every fingerprint under each pair of node blocks (p, i) and (q, j) that it is to meet in.
+
+    A node of more than ``node`` fingerprints is cut into blocks by hash; each of its blocks
+    meets each block of the other node, so no group has more than about two blocks.
     """
-    depth = depth_for(prints, node)
+    depth, blocks_of = levels_for(prints, node, most)
     masks = [m for m in range(1 << depth) if m.bit_count() <= most]
     here = (F.shiftrightunsigned("fingerprint", 64 - depth) if depth else F.lit(0)).cast("long")
     placed = prints.select(
         "fingerprint", "id", here.alias("here"), F.explode(F.lit(masks).cast("array<bigint>")).alias("mask")
-    ).withColumn("there", F.col("here").bitwiseXOR(F.col("mask"))).select(
+    ).withColumn("there", F.col("here").bitwiseXOR(F.col("mask")))
+    cut = prints.sparkSession.createDataFrame(list(blocks_of.items()), "_node bigint, _blocks bigint")
+    for side in ("here", "there"):  # the cut nodes: one for each ``node`` fingerprints at most
+        own = F.broadcast(cut.select(F.col("_node").alias(f"_{side}"), F.col("_blocks").alias(f"{side}_blocks")))
+        placed = placed.join(own, F.col(side) == F.col(f"_{side}"), "left") if blocks_of else placed.withColumn(
+            f"{side}_blocks", F.lit(1).cast("long"))
+    placed = placed.withColumn(
+        "mine", F.pmod(F.xxhash64("fingerprint"), F.coalesce("here_blocks", F.lit(1)))
+    ).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("there_blocks", F.lit(1)) - 1)))
+    second = (F.col("here") > F.col("there")) | ((F.col("here") == F.col("there")) & (F.col("mine") > F.col("other")))
+    return depth, placed.withColumn("second", second).select(
         F.least("here", "there").alias("p"), F.greatest("here", "there").alias("q"),
-        (F.col("here") > F.col("there")).alias("second"), "fingerprint", "id",
+        F.when(F.col("second"), F.col("other")).otherwise(F.col("mine")).alias("i"),
+        F.when(F.col("second"), F.col("mine")).otherwise(F.col("other")).alias("j"),
+        "second", "fingerprint", "id",
     )
 
+
+def links(prints: DataFrame, most: int = MOST_BITS, node: int = NODE) -> DataFrame:
+    """(a, b): edges that connect all ids whose fingerprints differ in ``most`` bits or fewer.
+
+    ``prints`` has distinct fingerprints, each with one id. A pair of blocks gives at most
+    one edge for each fingerprint (a spanning forest of its links), not all pairs.
+    """
+    depth, placed = dealt(prints, most, node)
+
     def join(key: tuple, rows: pa.Table) -> pa.Table:
-        p, q = (k.as_py() for k in key)
+        p, q, first_block, second_block = (k.as_py() for k in key)
         second = rows.column("second").to_numpy()
         value = rows.column("fingerprint").to_numpy().view(np.uint64)
         own = rows.column("id").to_numpy()
@@ -186,7 +218,7 @@ def links(prints: DataFrame, most: int = MOST_BITS, node: int = NODE) -> DataFra
             order = np.argsort(value[side])
             sides.append((value[side][order], own[side][order]))
         (a, ids), (b, more) = sides
-        if p == q:
+        if p == q and first_block == second_block:
             b, base, ids_all = a, 0, ids
         else:
             base, ids_all = len(a), np.concatenate([ids, more])
@@ -197,7 +229,7 @@ def links(prints: DataFrame, most: int = MOST_BITS, node: int = NODE) -> DataFra
         away = np.flatnonzero(groups.root != np.arange(len(ids_all)))
         return pa.table({"a": pa.array(ids_all[away]), "b": pa.array(ids_all[groups.root[away]])})
 
-    return placed.groupBy("p", "q").applyInArrow(join, "a bigint, b bigint")
+    return placed.groupBy("p", "q", "i", "j").applyInArrow(join, "a bigint, b bigint")
 
 
 def grouped(prints: DataFrame, most: int = MOST_BITS, node: int = NODE) -> DataFrame:

@@ -84,3 +84,30 @@ def test_one_of_each_group_stays(documents, document_rows, no_documents):
     kept = [r.doc_id for r in got.collect() if r.doc_id is not None]
     assert sorted(kept) == sorted({r.component_id for r in found if r.component_id is not None})
     assert S.near_duplicates(no_documents).count() == 0 and S.without_duplicates(no_documents).count() == 0
+
+
+def test_a_full_node_is_cut(spark):
+    """Half of the fingerprints share 24 bits: their groups stay bounded, and don't drive the depth."""
+    rng = random.Random(8)
+    hot = {(0xABCDEF << 40) | rng.getrandbits(12) << 20 for _ in range(900)}
+    rows = [(v - (v >> 63 << 64), k) for k, v in enumerate(sorted(hot | {rng.getrandbits(64) for _ in range(len(hot))}))]
+    prints = spark.createDataFrame(rows, "fingerprint bigint, id bigint")
+    depth, placed = S.dealt(prints, node=64)
+    assert depth < S.LEVELS and max(r["count"] for r in placed.groupBy("p", "q", "i", "j").count().collect()) < 4 * 64
+    root = list(range(len(rows)))
+
+    def top(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for x, y in S.links(prints, node=64).select("a", "b").collect():
+        root[max(top(x), top(y))] = min(top(x), top(y))
+    got = [top(k) for k in range(len(rows))]
+    want = list(range(len(rows)))
+    values = [v % 2**64 for v, _ in rows]
+    links = [(i, j) for j in range(len(rows)) for i in range(j) if (values[i] ^ values[j]).bit_count() <= S.MOST_BITS]
+    root[:] = want
+    for x, y in links:
+        root[max(top(x), top(y))] = min(top(x), top(y))
+    assert got == [top(k) for k in range(len(rows))] and len(links) > 10_000
