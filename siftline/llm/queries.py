@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import decontaminate, nearest, packing, passages, quality, quotes, sharding, simhash, token_files, url_filter
+from siftline.llm import bpe, decontaminate, nearest, packing, passages, quality, quotes, sharding, simhash, token_files, url_filter
 from siftline.session import fresh_path
 
 SHARDS = 8
@@ -69,6 +69,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -81,4 +85,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quotes": op8_quotes,
         "op9_nearest": op9_nearest,
         "op10_packing": op10_packing,
+        "op12_bpe": op12_bpe,
     }
