@@ -59,5 +59,89 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def _label(label: str, cost: str, edit: str) -> str:
+    """A label (nine digits of cost, then edits) after one more edit."""
+    return f"lpad((substr({label}, 1, 9)::INT + {cost})::VARCHAR, 9, '0') || substr({label}, 10) || '{edit}'"
+
+
+def _inserted(a: str, b: str, c: str, d: str) -> str:
+    """The four states' labels with inserts: a and b as they are, c and d also from others."""
+    put_user = f"least({c}, {_label(a, '3', 'I')}, {_label(b, '3', 'I')}, {_label(d, '3', 'I')})"
+    return f"{a} AS a, {b} AS b, {put_user} AS c, least({d}, {_label(put_user, '3', 'I')}) AS d"
+
+
+_CRC = """(SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n) ORDER BY n)
+     FROM (SELECT unnest(range(256)) AS n))"""
+
+
+#: Labels at each row for the states start, system, user and assistant, from row to row.
+OP13 = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+  FROM conversations
+), bytes AS (
+  SELECT *, list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT) AS b, {_CRC} AS t FROM keyed
+), coded AS (
+  SELECT conv_id, turn, role, text, xor(4294967295,
+    list_reduce(b, lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]), 4294967295::BIGINT)) % 20 AS damage
+  FROM bytes
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN damage = 4 THEN 'user' ELSE role END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE WHEN damage = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded WHERE damage <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged
+), marked AS (
+  SELECT conv_id, turn, pos, role, text, substr(role, 1, 1) AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 3 ELSE 0 END AS fault,
+    substr(lag(role) OVER (PARTITION BY conv_id ORDER BY pos), 1, 1) AS before
+  FROM placed
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+    count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n
+  FROM marked GROUP BY conv_id
+), labels AS (
+  SELECT conv_id, 0::BIGINT AS pos, {_inserted("'000000000'", 'NULL::VARCHAR', 'NULL::VARCHAR', 'NULL::VARCHAR')} FROM counts
+  UNION ALL
+  SELECT conv_id, pos, {_inserted('w', 'x', 'y', 'z')} FROM (
+    SELECT m.conv_id, m.pos, {_label('a', '4', 'D')} AS w,
+      least({_label('b', '4', 'D')}, CASE WHEN fault IN (0, 3) AND initial = 's' THEN {_label('a', 'fault', 'K')} END) AS x,
+      least({_label('c', '4', 'D')},
+        CASE WHEN fault IN (0, 3) THEN {_label('least(a, b, d)', '3 + fault', 'R')} END,
+        CASE WHEN fault IN (0, 3) AND initial = 'u' THEN {_label('least(a, b, d)', 'fault', 'K')} END) AS y,
+      least({_label('d', '4', 'D')},
+        CASE WHEN fault IN (0, 3) THEN {_label('c', '3 + fault', 'R')} END,
+        CASE WHEN fault IN (0, 3) AND initial = 'a' THEN {_label('c', 'fault', 'K')} END) AS z
+    FROM labels l JOIN marked m ON m.conv_id IS NOT DISTINCT FROM l.conv_id AND m.pos = l.pos + 1)
+), best AS (
+  SELECT c.*, substr(least(a, d), 1, 9)::BIGINT AS cost, substr(least(a, d), 10) AS audit
+  FROM counts c JOIN labels l ON l.conv_id IS NOT DISTINCT FROM c.conv_id AND l.pos = c.n
+), edits AS (
+  SELECT conv_id, audit, k, audit[k] AS edit, length(replace(audit[:k], 'I', '')) AS pos, length(replace(audit[:k], 'D', '')) AS line
+  FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM best)
+), lines AS (
+  SELECT e.*, m.role, CASE WHEN edit = 'I' THEN '' ELSE m.text END AS text,
+    max(CASE WHEN line = 1 AND edit = 'K' AND initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS system
+  FROM edits e LEFT JOIN marked m ON m.conv_id IS NOT DISTINCT FROM e.conv_id AND m.pos = e.pos
+  WHERE edit <> 'D'
+), joined AS (
+  SELECT conv_id, string_agg((CASE WHEN edit = 'K' THEN role WHEN (line - system) % 2 = 1 THEN 'user' ELSE 'assistant' END)
+    || ':' || text, chr(10) ORDER BY k) AS whole
+  FROM lines GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+  sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
+
 def registered() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op2_passages": OP2, "op9_nearest": OP9}
+    return {"op1_decontaminate": OP1, "op2_passages": OP2, "op9_nearest": OP9, "op13_repair": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import bpe, decontaminate, nearest, packing, passages, quality, quotes, sharding, simhash, token_files, url_filter
+from siftline.llm import bpe, decontaminate, nearest, packing, passages, quality, quotes, repair, sharding, simhash, token_files, url_filter
 from siftline.session import fresh_path
 
 SHARDS = 8
@@ -73,6 +73,10 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired_after_damage(table(spark, sf_dir, "conversations"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -86,4 +90,5 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_nearest": op9_nearest,
         "op10_packing": op10_packing,
         "op12_bpe": op12_bpe,
+        "op13_repair": op13_repair,
     }
