@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from siftline.llm import bpe, decontaminate, nearest, packing, passages, quality, quotes, repair, sharding, simhash, token_files, url_filter
+from siftline.llm import alignment, bpe, decontaminate, nearest, packing, passages, quality, quotes, repair, sharding, simhash, token_files, url_filter
 from siftline.session import fresh_path
 
 SHARDS = 8
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 FILE_END_ID, PACK_END_ID = 2, 1
 TOP = 10
 
@@ -69,6 +70,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(
+        table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))[0]
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
 
@@ -89,6 +95,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quotes": op8_quotes,
         "op9_nearest": op9_nearest,
         "op10_packing": op10_packing,
+        "op11_alignment": op11_alignment,
         "op12_bpe": op12_bpe,
         "op13_repair": op13_repair,
     }
