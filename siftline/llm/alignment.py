@@ -18,8 +18,10 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,8 @@ CHUNK_BYTES = 8 << 20
 #: Steps of a piece of the merge path.
 STEPS = 1 << 16
 _B = np.int64(1) << 32  # a pair of ids is a * 2**32 + b
+#: Characters whose classes leave no room for doubt between Unicode versions.
+_PLAIN_TEXT = re.compile("[\t\n\r\x20-\x7e\xc0-į]*")
 
 
 def diagonals(a: np.ndarray, b: np.ndarray, steps: int = STEPS) -> np.ndarray:
@@ -89,8 +93,36 @@ def overlaps(a: np.ndarray, b: np.ndarray, steps: int = STEPS) -> tuple[np.ndarr
     return np.concatenate(of_a)[new], np.concatenate(of_b)[new], closes[new]
 
 
+class ByteTable:
+    """Byte strings by number, for many numbers at once."""
+
+    def __init__(self, strings: Sequence[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.array([len(x) for x in strings], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def joined(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The strings of all numbers in a row, and where each ends."""
+        sizes = self.sizes[numbers]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        index = np.arange(total) + np.repeat(self.starts[numbers] - ends + sizes, sizes)
+        return self.flat[index], ends
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive values, as many as ``counts`` says."""
+    upto = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(counts)
+    return upto[ends] - upto[ends - counts]
+
+
 class Vocabularies:
-    """Both tokenizers, and the bytes of their tokens."""
+    """Both tokenizers, and the bytes of their tokens.
+
+    If A's merges are in the order of its ids, as in a vocabulary of ranks, texts of plain
+    characters are encoded by a quicker library with the same vocabulary and word pattern.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -104,30 +136,61 @@ class Vocabularies:
             file = json.load(f)
         byte = {c: i for i, c in enumerate(byte_characters())}
         a = {i: bytes(byte[c] for c in t) for t, i in file["model"]["vocab"].items()}
+        self.quick = _by_ranks(file, a)
         a |= {t["id"]: t["content"].encode() for t in file["added_tokens"]}
-        self.a_bytes = [a.get(i, b"") for i in range(max(a) + 1)]
-        self.b_bytes = [
+        self.a_bytes = ByteTable([a.get(i, b"") for i in range(max(a) + 1)])
+        self.b_bytes = ByteTable([
             bytes([int(self.b.id_to_piece(i)[3:-1], 16)]) if self.b.is_byte(i)
             else self.b.id_to_piece(i).replace("▁", " ").encode() for i in range(self.b.get_piece_size())
-        ]
-        self.a_sizes, self.b_sizes = (np.array([len(t) for t in x], np.int64) for x in (self.a_bytes, self.b_bytes))
+        ])
         #: an id in decimal and the mark after it
-        most = max(len(self.a_bytes), len(self.b_bytes))
-        self.written = [b"%d%c" % (i, mark) for i in range(most) for mark in b",|;"]
-
-    def tokens(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of space + text by A, and of the text by B, which adds the space. None where the
-        text is null or empty or the bytes of either differ from space + text."""
-        own = [" " + (t or "") for t in texts]
-        a = [e.ids for e in self.a.encode_batch_fast(own, add_special_tokens=False)]
-        b = self.b.encode([t or "" for t in texts], num_threads=1)
-        for k, text in enumerate(own):
-            data = text.encode()
-            if len(data) == 1 or any(
-                b"".join(map(of.__getitem__, ids)) != data for of, ids in ((self.a_bytes, a[k]), (self.b_bytes, b[k]))
-            ):
-                a[k] = b[k] = []
-        return a, b
+        most = max(len(self.a_bytes.sizes), len(self.b_bytes.sizes))
+        self.written = ByteTable([b"%d%c" % (i, mark) for i in range(most) for mark in b",|;"])
+
+    def _a_ids(self, text: str) -> np.ndarray:
+        if self.quick and _PLAIN_TEXT.fullmatch(text):
+            return self.quick.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        return np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
+
+    def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of space + text by A, and of the text by B, which adds the space; how many of
+        each a text has. None where the text is null or empty or the bytes of either differ
+        from space + text."""
+        own = [" " + t if t else "" for t in texts]
+        by_a = [self._a_ids(t) for t in own]
+        by_b = self.b.encode([t[1:] for t in own], num_threads=1)
+        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (by_a, by_b))
+        a = np.concatenate([*by_a, np.empty(0, np.int64)])
+        b = np.fromiter(chain.from_iterable(by_b), np.int64, int(n_b.sum()))
+        data = [t.encode() for t in own]
+        sizes = np.array([len(d) for d in data], np.int64)
+        whole = np.frombuffer(b"".join(data), np.uint8)
+        good = (_sums(self.a_bytes.sizes[a], n_a) == sizes) & (_sums(self.b_bytes.sizes[b], n_b) == sizes)
+        while True:  # only texts whose sizes fit are compared, so that all bytes stand at their places
+            if not good.all():
+                a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
+                whole = whole[np.repeat(good, sizes)]
+                n_a, n_b, sizes = (np.where(good, x, 0) for x in (n_a, n_b, sizes))
+            other = (self.a_bytes.joined(a)[0] != whole) | (self.b_bytes.joined(b)[0] != whole)
+            if not other.any():
+                return a, b, n_a, n_b
+            good = _sums(other, sizes) == 0
+
+
+def _by_ranks(file: dict, token_bytes: dict[int, bytes]):
+    """The quicker encoder, if each merge's token follows the one of the merge before it."""
+    split = file.get("pre_tokenizer") or {}
+    if split.get("type") != "ByteLevel" or not split.get("use_regex") or file.get("normalizer"):
+        return None
+    first, vocabulary = 256, file["model"]["vocab"]
+    for k, pair in enumerate(file["model"]["merges"]):
+        if vocabulary["".join(pair.split(" ") if isinstance(pair, str) else pair)] != first + k:
+            return None
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    return tiktoken.Encoding(
+        "ranks", pat_str=PATTERN, mergeable_ranks={t: i for i, t in token_bytes.items()}, special_tokens={})
 
 
 @cache
@@ -140,12 +203,11 @@ class Aligned:
     """Some texts aligned: ids and ends of both sides in a row, links and groups over all."""
 
     def __init__(self, texts: list[str | None], v: Vocabularies, steps: int = STEPS):
-        a, b = v.tokens(texts)
+        self.a, self.b, self.n_a, self.n_b = v.tokens(texts)
         self.v = v
-        self.n_a, self.n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        self.a, self.b = (np.fromiter((i for ids in side for i in ids), np.int64) for side in (a, b))
         # every text's last ends are equal, so no link or group reaches over texts
-        self.of_a, self.of_b, self.closes = overlaps(np.cumsum(v.a_sizes[self.a]), np.cumsum(v.b_sizes[self.b]), steps)
+        self.of_a, self.of_b, self.closes = overlaps(
+            np.cumsum(v.a_bytes.sizes[self.a]), np.cumsum(v.b_bytes.sizes[self.b]), steps)
         self.text = np.repeat(np.arange(len(texts)), self.n_a)[self.of_a]
         self.n_links = np.bincount(self.text, minlength=len(texts))
         self.n_groups = np.bincount(self.text[self.closes], minlength=len(texts))
@@ -166,12 +228,10 @@ class Aligned:
         codes = np.empty(len(self.a) + len(self.b), np.int64)
         codes[np.arange(len(self.a)) + np.searchsorted(self.group_b, self.group_a, "left")] = self.a * 3 + last_a
         codes[np.arange(len(self.b)) + np.searchsorted(self.group_a, self.group_b, "right")] = self.b * 3 + 2 * last_b
-        ends = np.cumsum(self.n_a + self.n_b).tolist()
-        out = []
-        for x, y in zip([0, *ends], ends):
-            whole = b"".join(map(self.v.written.__getitem__, codes[x:y].tolist()))
-            out.append(hashlib.sha256(whole[:-1]).hexdigest() if whole else "")
-        return out
+        written, ends = self.v.written.joined(codes)
+        whole = written.tobytes()
+        ends = np.append(0, ends)[np.append(0, np.cumsum(self.n_a + self.n_b))].tolist()
+        return [hashlib.sha256(whole[x:y - 1]).hexdigest() if y > x else "" for x, y in zip(ends, ends[1:])]
 
     def groups(self) -> pa.Array:
         """Of each text: list of groups, each with the ids of A and of B."""
@@ -305,11 +365,9 @@ def _summed(rows: pa.Table, answers: pa.Table) -> pa.Table:
     rows = rows.combine_chunks()
     which, times = (rows.column(c).combine_chunks().flatten().to_numpy() for c in ("which", "times"))
     sizes = np.array(rows.column("which").combine_chunks().value_lengths(), np.int64)
-    ends = np.cumsum(sizes)
 
     def over_links(values: np.ndarray) -> pa.Array:
-        upto = np.concatenate([[0], np.cumsum(values[which] * times)])
-        return pa.array(upto[ends] - upto[ends - sizes])
+        return pa.array(_sums(values[which] * times, sizes))
 
     return pa.table({
         **{c: rows.column(c) for c in ("doc_id", *COUNTS)}, "n_best": over_links(best), "count_sum": over_links(count),
