@@ -35,11 +35,14 @@ from siftline.session import written
 BUCKETS = 4096
 SIZE = 64
 NONZERO = 4
+#: The vectors of words are shorter than those of forms, as they travel.
+WORD_SIZE = 32
+WORD_NONZERO = 2
 AGAIN = np.uint64(1)
 REACH = 2
 #: Bytes of text whose words are summed before they are sent; words of the corpus for each part of the table.
-CHUNK_BYTES = 32 << 20
-PART_WORDS = 1_000_000
+CHUNK_BYTES = 24 << 20
+PART_WORDS = 4_000_000
 #: Rows of vectors that a step takes at once.
 SLAB = 50_000
 #: Labelled documents that the network is fitted on, at most: those with the smallest id hashes.
@@ -69,12 +72,12 @@ def index_vectors(seed: int = 6) -> tuple[np.ndarray, np.ndarray]:
 
 
 def own_vectors(codes: np.ndarray) -> np.ndarray:
-    """The index vector of each word, NONZERO components from the bits of its code."""
+    """The index vector of each word, WORD_NONZERO components from the bits of its code."""
     bits = mixed(codes ^ np.uint64(0x9E3779B97F4A7C15))
-    out = np.zeros((len(codes), SIZE), np.int8)
+    out = np.zeros((len(codes), WORD_SIZE), np.int8)
     rows = np.arange(len(codes))
-    for i in range(NONZERO):
-        place = (bits >> np.uint64(8 * i)) % np.uint64(SIZE)
+    for i in range(WORD_NONZERO):
+        place = (bits >> np.uint64(8 * i)) % np.uint64(WORD_SIZE)
         sign = (bits >> np.uint64(40 + i)) & np.uint64(1)
         out[rows, place.astype(np.int64)] += np.where(sign == 1, 1, -1).astype(np.int8)
     return out
@@ -182,10 +185,10 @@ def _context_sums(codes: np.ndarray, which: np.ndarray, n: np.ndarray, text: np.
     own = own_vectors(codes)
     order = np.argsort(which, kind="stable")
     begins = np.cumsum(n) - n
-    out = np.zeros((len(codes), SIZE), np.int32)
+    out = np.zeros((len(codes), WORD_SIZE), np.int32)
     for k in range(0, len(order), SLAB):
         at = order[k:k + SLAB]
-        near = np.zeros((len(at), SIZE), np.int8)
+        near = np.zeros((len(at), WORD_SIZE), np.int8)
         for step in (*range(-REACH, 0), *range(1, REACH + 1)):
             other = np.clip(at + step, 0, len(text) - 1)
             beside = (other == at + step) & (text[other] == text[at])
@@ -215,12 +218,13 @@ def _chunk(block: int, ids: list, hashes: list, texts: list[bytes], parts: int)
         codes.append(word_codes(words))
         buckets.append(terms(words))
         sizes.append(words.per_text)
-    sizes = np.concatenate(sizes)
-    found, first, which, n = np.unique(
-        np.concatenate(codes), return_index=True, return_inverse=True, return_counts=True)
+    sizes, codes = np.concatenate(sizes), np.concatenate(codes)
+    found, first, which, n = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
+    del codes
+    which = which.astype(np.int32)
     bucket = np.concatenate(buckets)[first]
-    del codes, buckets
-    text = np.repeat(np.arange(len(sizes)), sizes)
+    del buckets, first
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     sums = _context_sums(found, which, n, text)
     part = ((found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     edges = np.searchsorted(part, np.arange(parts + 1))
@@ -228,12 +232,13 @@ def _chunk(block: int, ids: list, hashes: list, texts: list[bytes], parts: int)
         own = slice(edges[p], edges[p + 1])
         steps = np.diff(found[own], prepend=np.uint64(0)).view(np.int64)
         yield p, block, p, _packed(steps), _packed(n[own]), _packed(sums[own])
-    # frequent words get small numbers
+    del sums, part
+    # frequent words get small numbers, and a text's are sent as steps
     place = np.empty(len(found), np.int64)
     place[np.argsort(-n, kind="stable")] = np.arange(len(found))
-    pairs, times = np.unique(text * max(len(found), 1) + place[which], return_counts=True)
+    pairs, times = np.unique(text.astype(np.int64) * max(len(found), 1) + place[which], return_counts=True)
     per_text = np.bincount(pairs // max(len(found), 1), minlength=len(sizes))
-    data = [_packed(x) for x in (per_text, pairs % max(len(found), 1), times, n, bucket, np.array(hashes, np.int64),
+    data = [_packed(x) for x in (per_text, np.diff(pairs % max(len(found), 1), prepend=0), times, n, bucket, np.array(hashes, np.int64),
                                  np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids]))]
     lengths = np.array([len(x) for x in data], "<i8").tobytes()
     yield -1 - block, block, -1, lengths, b"".join(data), None
@@ -246,11 +251,11 @@ def _answered(rows: pa.Table) -> pa.Table:
         return pa.Table.from_batches([_frames([tuple(r.values()) for r in rows])])
     asked = [np.cumsum(_unpacked(r["a"]).view(np.uint64)) for r in rows]
     found, which = np.unique(np.concatenate(asked), return_inverse=True)
-    n, sums, at = np.zeros(len(found), np.int64), np.zeros((len(found), SIZE), np.int64), 0
+    n, sums, at = np.zeros(len(found), np.int64), np.zeros((len(found), WORD_SIZE), np.int64), 0
     for r, codes in zip(rows, asked):  # a block has a word once
         own = which[at:at + len(codes)]
         n[own] += _unpacked(r["b"])
-        sums[own] += _unpacked(r["c"]).reshape(-1, SIZE)
+        sums[own] += _unpacked(r["c"]).reshape(-1, WORD_SIZE)
         at += len(codes)
     # only the direction counts: large sums in steps of a 127th of the largest
     most = np.maximum(np.abs(sums).max(1, keepdims=True), 1)
@@ -289,10 +294,11 @@ def _rarity(share: np.ndarray) -> np.ndarray:
     return (0.002 / (0.002 + share)).astype(np.float32)
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int = PART_WORDS) -> DataFrame:
     """(doc_id bigint, hash, x): of every row of ``docs`` (doc_id, text) the pooled vectors, as float16.
 
-    ``hash`` is of the text. Written once.
+    x: mean and deviation of the forms' vectors, the logarithm of the number of words, mean and
+    deviation of the words' vectors. ``hash`` is of the text. Written once.
     """
     context, counts = context_table(docs)
     norm = np.linalg.norm(context, axis=1, keepdims=True)
@@ -302,7 +308,7 @@ def features(docs: DataFrame) -> DataFrame:
     total = max(counts.sum(), 1)
     forms = np.hstack([context / np.maximum(norm, 1e-9), own]).astype(np.float32)
     sent = docs.sparkSession.sparkContext.broadcast((forms, _rarity(counts / total)))
-    parts = 16 + int(total) // PART_WORDS
+    parts = 16 + int(total) // part_words
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -313,7 +319,7 @@ def features(docs: DataFrame) -> DataFrame:
                 data = (row[2] or "").encode("utf-8", "surrogatepass")
                 held.append((*row[:2], data))
                 size += len(data)
-                if size >= CHUNK_BYTES:
+                if size >= chunk_bytes:
                     yield _frames(list(_chunk(block, *map(list, zip(*held)), parts)))
                     block, held, size = block + 1, [], 0
         if held:
@@ -329,9 +335,9 @@ def features(docs: DataFrame) -> DataFrame:
         sums = np.concatenate([_unpacked(r["c"]).astype(np.int8) for r in held[1:]] or [np.empty(0, np.int8)])
         if len(count) != len(n):
             raise RuntimeError("a block's words and their answers differ")
-        vectors = sums.reshape(-1, SIZE).astype(np.float32)
+        vectors = sums.reshape(-1, WORD_SIZE).astype(np.float32)
         vectors /= np.maximum(np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), 1e-9)[:, None]
-        word = np.argsort(-n, kind="stable")[pairs]
+        word = np.argsort(-n, kind="stable")[np.cumsum(pairs)]
         x = np.hstack([
             _mean_and_deviation(forms, bucket[word], form_weights[bucket[word]] * times, per_text),
             np.log1p(np.bincount(np.repeat(np.arange(len(per_text)), per_text), times, len(per_text)))[:, None],

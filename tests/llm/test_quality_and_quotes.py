@@ -1,6 +1,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import pytest
 from conftest_llm import rows_of, text
@@ -55,7 +56,7 @@ def test_word_sums_of_blocks_add_up(monkeypatch):
     words = Q.Words(texts)
     codes, which, n = Q.np.unique(Q.word_codes(words), return_inverse=True, return_counts=True)
     of = Q.np.repeat(Q.np.arange(len(texts)), words.per_text)
-    own, want = Q.own_vectors(codes).astype(int), Q.np.zeros((len(codes), Q.SIZE), int)
+    own, want = Q.own_vectors(codes).astype(int), Q.np.zeros((len(codes), Q.WORD_SIZE), int)
     for i in range(len(which)):
         for j in range(max(0, i - 2), min(len(which), i + 3)):
             if i != j and of[i] == of[j]:
@@ -65,6 +66,34 @@ def test_word_sums_of_blocks_add_up(monkeypatch):
         assert (Q._unpacked(Q._packed(v)) == v.ravel()).all()
 
 
+def test_features_over_blocks_and_parts_equal_plain_numpy(spark):
+    np, rng = Q.np, random.Random(12)
+    rows = [(k, text(rng, rng.randrange(0, 60))) for k in range(120)] + [(500, None), (None, "odd one out"), (501, "same same " * 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: np.frombuffer(r.x, "<f2").astype(float) for r in Q.features(df, chunk_bytes=900, part_words=300).collect()}
+    assert len(got) == len(rows)
+    sums, count, all_codes, own = {}, Counter(), {}, {}
+    for doc, t in rows:
+        codes = Q.word_codes(Q.Words([(t or "").encode()])).tolist()
+        all_codes[doc] = codes
+        own |= {c: Q.own_vectors(np.array([c], np.uint64))[0].astype(int) for c in codes}
+        for i, c in enumerate(codes):
+            count[c] += 1
+            near = [own[codes[j]] for j in range(max(0, i - Q.REACH), min(len(codes), i + Q.REACH + 1)) if j != i]
+            sums[c] = sums.get(c, 0) + sum(near, np.zeros(Q.WORD_SIZE, int))
+    total = sum(count.values())
+    for doc, codes in all_codes.items():
+        x = got[doc]
+        assert x[4 * Q.SIZE] == pytest.approx(np.log1p(len(codes)), abs=0.01)
+        mean, square = np.zeros(Q.WORD_SIZE), np.zeros(Q.WORD_SIZE)
+        if codes:
+            weights = np.array([0.002 / (0.002 + count[c] / total) for c in codes])
+            units = np.array([sums[c] / max(np.linalg.norm(sums[c]), 1e-9) for c in codes])
+            mean, square = (np.average(v, axis=0, weights=weights) for v in (units, units ** 2))
+        want = np.hstack([mean, np.sqrt(np.maximum(square - mean ** 2, 0))])
+        assert x[4 * Q.SIZE + 1:] == pytest.approx(want, abs=0.01), doc
+
+
 def test_words_repeat_inside_a_text_only():
     texts = [b"lonely", b"lonely", b"lonely lonely end", b"", b"end of it"]
     together = Q.Words(texts)
