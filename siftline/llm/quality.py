@@ -8,7 +8,7 @@ documents turns into a calibrated probability.
 
 Two sorts of terms are pooled beside each other:
 
-- Every distinct word, by 64 bits of its letters. Its sums are gathered by word over the
+- Every distinct word, by 48 bits of its letters' hash. Its sums are gathered by word over the
   corpus and go back to the blocks of documents that have it, so the table of words grows
   with the corpus and never meets in one place.
 - The form of a word: its own letters if it has four bytes or fewer, else the kinds of its
@@ -35,9 +35,9 @@ from siftline.session import written
 BUCKETS = 4096
 SIZE = 64
 NONZERO = 4
-#: The vectors of words are shorter than those of forms, as they travel.
+#: The vectors of words are shorter than those of forms, as they travel; their index vectors
+#: have one component that isn't zero.
 WORD_SIZE = 32
-WORD_NONZERO = 2
 AGAIN = np.uint64(1)
 REACH = 2
 #: Bytes of text whose words are summed before they are sent; words of the corpus for each part of the table.
@@ -71,16 +71,10 @@ def index_vectors(seed: int = 6) -> tuple[np.ndarray, np.ndarray]:
     return places, rng.choice([-1.0, 1.0], (BUCKETS, NONZERO))
 
 
-def own_vectors(codes: np.ndarray) -> np.ndarray:
-    """The index vector of each word, WORD_NONZERO components from the bits of its code."""
+def own_components(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The index vector of each word: where its one component is, and its sign, from the bits of its code."""
     bits = mixed(codes ^ np.uint64(0x9E3779B97F4A7C15))
-    out = np.zeros((len(codes), WORD_SIZE), np.int8)
-    rows = np.arange(len(codes))
-    for i in range(WORD_NONZERO):
-        place = (bits >> np.uint64(8 * i)) % np.uint64(WORD_SIZE)
-        sign = (bits >> np.uint64(40 + i)) & np.uint64(1)
-        out[rows, place.astype(np.int64)] += np.where(sign == 1, 1, -1).astype(np.int8)
-    return out
+    return (bits % np.uint64(WORD_SIZE)).astype(np.int64), np.where(bits >> np.uint64(40) & np.uint64(1), 1.0, -1.0)
 
 
 def _repeated(words: Words, whole: np.ndarray) -> np.ndarray:
@@ -92,8 +86,8 @@ def _repeated(words: Words, whole: np.ndarray) -> np.ndarray:
 
 
 def word_codes(words: Words) -> np.ndarray:
-    """64 bits of each word, AGAIN if it repeats the one before."""
-    code = words.hashes()
+    """48 bits of each word, as the high bits of 64; AGAIN if it repeats the one before."""
+    code = words.hashes() & ~np.uint64(0xFFFF)
     return np.where(_repeated(words, code), AGAIN, code)
 
 
@@ -173,6 +167,25 @@ def _packed(values: np.ndarray) -> bytes:
     return len(v).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, "zstd", asbytes=True)
 
 
+def _bits_packed(values: np.ndarray) -> bytes:
+    """The same, for numbers that are nearly all 0 or 1 away from it: a plane for each bit."""
+    v = values.astype(np.int64).ravel()
+    v = ((v << 1) ^ (v >> 63)).view(np.uint64)
+    planes = [np.packbits((v >> np.uint64(k) & np.uint64(1)).astype(bool)).tobytes()
+              for k in range(int(v.max(initial=0)).bit_length())]
+    return len(v).to_bytes(8, "little") + bytes([len(planes)]) + pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def _bits_unpacked(data: bytes) -> np.ndarray:
+    n, width = int.from_bytes(data[:8], "little"), data[8]
+    size = -(-n // 8)
+    planes = np.frombuffer(pa.decompress(data[9:], size * width, "zstd", asbytes=True), np.uint8)
+    v = np.zeros(n, np.uint64)
+    for k in range(width):
+        v |= np.unpackbits(planes[k * size:(k + 1) * size], count=n).astype(np.uint64) << np.uint64(k)
+    return (v >> np.uint64(1)).view(np.int64) ^ -(v & np.uint64(1)).view(np.int64)
+
+
 def _unpacked(data: bytes) -> np.ndarray:
     n, width = int.from_bytes(data[:8], "little"), data[8]
     planes = pa.decompress(data[9:], n * width, "zstd", asbytes=True)
@@ -182,20 +195,19 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _context_sums(codes: np.ndarray, which: np.ndarray, n: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Of each word: the sum of the index vectors beside its places. ``which``: the word at each place."""
-    own = own_vectors(codes)
+    places, signs = own_components(codes)
     order = np.argsort(which, kind="stable")
-    begins = np.cumsum(n) - n
     out = np.zeros((len(codes), WORD_SIZE), np.int32)
     for k in range(0, len(order), SLAB):
         at = order[k:k + SLAB]
-        near = np.zeros((len(at), WORD_SIZE), np.int8)
+        first, last = which[at[0]], which[at[-1]]
+        sums = np.zeros((last - first + 1) * WORD_SIZE)
         for step in (*range(-REACH, 0), *range(1, REACH + 1)):
             other = np.clip(at + step, 0, len(text) - 1)
             beside = (other == at + step) & (text[other] == text[at])
-            near += own[which[other]] * beside[:, None].astype(np.int8)
-        a, b = np.searchsorted(begins, (k, k + len(at)), side="right") - 1
-        some = np.arange(a, b + 1 if begins[b] < k + len(at) else b)
-        out[some] += np.add.reduceat(near, np.maximum(begins[some] - k, 0), axis=0, dtype=np.int32)
+            of, by = (which[at[beside]] - first).astype(np.int64), which[other[beside]]
+            sums += np.bincount(of * WORD_SIZE + places[by], signs[by], len(sums))
+        out[first:last + 1] += sums.reshape(-1, WORD_SIZE).astype(np.int32)
     return out
 
 
@@ -231,7 +243,7 @@ def _chunk(block: int, ids: list, hashes: list, texts: list[bytes], parts: int)
     for p in np.unique(part).tolist():
         own = slice(edges[p], edges[p + 1])
         steps = np.diff(found[own], prepend=np.uint64(0)).view(np.int64)
-        yield p, block, p, _packed(steps), _packed(n[own]), _packed(sums[own])
+        yield p, block, p, _packed(steps), _packed(n[own]), _bits_packed(sums[own])
     del sums, part
     # frequent words get small numbers, and a text's are sent as steps
     place = np.empty(len(found), np.int64)
@@ -255,7 +267,7 @@ def _answered(rows: pa.Table) -> pa.Table:
     for r, codes in zip(rows, asked):  # a block has a word once
         own = which[at:at + len(codes)]
         n[own] += _unpacked(r["b"])
-        sums[own] += _unpacked(r["c"]).reshape(-1, WORD_SIZE)
+        sums[own] += _bits_unpacked(r["c"]).reshape(-1, WORD_SIZE)
         at += len(codes)
     # only the direction counts: large sums in steps of a 127th of the largest
     most = np.maximum(np.abs(sums).max(1, keepdims=True), 1)
@@ -263,7 +275,7 @@ def _answered(rows: pa.Table) -> pa.Table:
     out, at = [], 0
     for r, codes in zip(rows, asked):
         own = which[at:at + len(codes)]
-        out.append((r["key"], r["block"], r["part"], None, _packed(n[own]), _packed(sums[own])))
+        out.append((r["key"], r["block"], r["part"], None, _packed(n[own]), _bits_packed(sums[own])))
         at += len(codes)
     return pa.Table.from_batches([_frames(out)])
 
@@ -332,7 +344,7 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
         per_text, pairs, times, n, bucket, hashes, ids, nameless = (
             _unpacked(held[0]["b"][a:b]) for a, b in zip([0, *ends], ends))
         count = np.concatenate([_unpacked(r["b"]) for r in held[1:]] or [np.empty(0)])
-        sums = np.concatenate([_unpacked(r["c"]).astype(np.int8) for r in held[1:]] or [np.empty(0, np.int8)])
+        sums = np.concatenate([_bits_unpacked(r["c"]).astype(np.int8) for r in held[1:]] or [np.empty(0, np.int8)])
         if len(count) != len(n):
             raise RuntimeError("a block's words and their answers differ")
         vectors = sums.reshape(-1, WORD_SIZE).astype(np.float32)

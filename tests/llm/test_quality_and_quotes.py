@@ -49,6 +49,11 @@ def test_words_of_one_form_have_vectors_of_their_own(spark):
     assert len(held) > 60 and sum((r.score >= 0.5) == truth[r.doc_id] for r in held) > 0.95 * len(held)
 
 
+def own_vectors(codes):
+    places, signs = Q.own_components(codes)
+    return (Q.np.arange(Q.WORD_SIZE) == places[:, None]) * signs[:, None].astype(int)
+
+
 def test_word_sums_of_blocks_add_up(monkeypatch):
     rng = random.Random(9)
     texts = [text(rng, rng.randrange(0, 30)).encode() for _ in range(60)] + [b"", b"one"]
@@ -56,14 +61,14 @@ def test_word_sums_of_blocks_add_up(monkeypatch):
     words = Q.Words(texts)
     codes, which, n = Q.np.unique(Q.word_codes(words), return_inverse=True, return_counts=True)
     of = Q.np.repeat(Q.np.arange(len(texts)), words.per_text)
-    own, want = Q.own_vectors(codes).astype(int), Q.np.zeros((len(codes), Q.WORD_SIZE), int)
+    own, want = own_vectors(codes), Q.np.zeros((len(codes), Q.WORD_SIZE), int)
     for i in range(len(which)):
         for j in range(max(0, i - 2), min(len(which), i + 3)):
             if i != j and of[i] == of[j]:
                 want[which[i]] += own[which[j]]
     assert (Q._context_sums(codes, which, n, of) == want).all()
     for v in (want, Q.np.array([], int), Q.np.array([2**63 - 1, -(2**63), 0])):
-        assert (Q._unpacked(Q._packed(v)) == v.ravel()).all()
+        assert (Q._unpacked(Q._packed(v)) == v.ravel()).all() and (Q._bits_unpacked(Q._bits_packed(v)) == v.ravel()).all()
 
 
 def test_features_over_blocks_and_parts_equal_plain_numpy(spark):
@@ -76,7 +81,7 @@ def test_features_over_blocks_and_parts_equal_plain_numpy(spark):
     for doc, t in rows:
         codes = Q.word_codes(Q.Words([(t or "").encode()])).tolist()
         all_codes[doc] = codes
-        own |= {c: Q.own_vectors(np.array([c], np.uint64))[0].astype(int) for c in codes}
+        own |= {c: own_vectors(np.array([c], np.uint64))[0] for c in codes}
         for i, c in enumerate(codes):
             count[c] += 1
             near = [own[codes[j]] for j in range(max(0, i - Q.REACH), min(len(codes), i + Q.REACH + 1)) if j != i]
