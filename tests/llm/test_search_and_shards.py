@@ -2,6 +2,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import pytest
 from conftest_llm import rows_of
@@ -22,7 +23,7 @@ def vectors(spark):
 
 
 def brute(rows, k):
-    ok = [(i, [math.floor(1024 * v) for v in x]) for i, x in rows
+    ok = [(i, [math.floor(1024 * Fraction(v)) for v in x]) for i, x in rows
           if i is not None and x is not None and all(v is not None and math.isfinite(v) for v in x)]
     out = []
     for q, x in dict(p for p in ok if p[0] % 100 == 0).items():
@@ -44,9 +45,23 @@ def test_nearest_of_few_and_none(spark, vectors):
     assert N.nearest(few, few.filter("vec_id = 0"), 10).count() == 2
     assert N.nearest(df.limit(0), df.limit(0), 10).count() == 0
     assert N.nearest(df, df.limit(0), 10).count() == 0
-    with pytest.raises(Exception, match="too large"):
-        big = spark.createDataFrame([(0, [1e9]), (1, [1.0])], "vec_id bigint, embedding array<double>")
-        N.nearest(big, big.filter("vec_id = 0"), 10).collect()
+
+
+@pytest.mark.parametrize("size", [4096.0, 5000.0, 1e6, 3e9, 1e19, 1e120, 1.7e308])
+def test_nearest_of_large_values(spark, size):
+    rng = random.Random(int(math.log(size)))
+    rows = [(k, [rng.uniform(-1, 1) * (size if rng.random() < 0.3 else 1) for _ in range(6)]) for k in range(230)]
+    rows += [(1000 + k, [size] * 6) for k in range(3)] + [(2000, [1e-9] * 6), (2100, [-size] * 6), (2001, [float("inf")] * 6)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    want = [(q, n, i, s if abs(s) < 2**63 else None) for q, n, i, s in brute(rows, 10)]
+    assert rows_of(N.nearest(df, df.filter("vec_id % 100 = 0"), 10, query_block=2), "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+
+
+def test_places_sort_as_scores():
+    rng = random.Random(1)
+    scores = [0, 1, -1, 255, 256, -255, -256] + [rng.choice([-1, 1]) * rng.getrandbits(rng.randrange(1, 200)) for _ in range(300)]
+    assert sorted(scores, key=N.place) == sorted(scores)
+
 
 
 def test_shards_match_the_mixture(documents, document_rows):
