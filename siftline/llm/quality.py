@@ -45,6 +45,8 @@ CHUNK_BYTES = 24 << 20
 PART_WORDS = 4_000_000
 #: Rows of vectors that a step takes at once.
 SLAB = 50_000
+#: Terms of whole texts that are pooled at once, few enough for a core's cache.
+POOLED = 4_000
 #: Labelled documents that the network is fitted on, at most: those with the smallest id hashes.
 SAMPLE = 20_000
 #: Rejected rows that are broadcast, counted before; more are joined as Spark chooses.
@@ -288,15 +290,17 @@ def _mean_and_deviation(vectors, of, weight, per_text) -> np.ndarray:
     at = 0
     while at < len(per_text):
         before = upto[at] - per_text[at]
-        end = max(at + 1, int(np.searchsorted(upto, before + SLAB, side="right")))
+        end = max(at + 1, int(np.searchsorted(upto, before + POOLED, side="right")))
         some = at + np.flatnonzero(per_text[at:end])
         if len(some):
             own = slice(before, upto[end - 1])
             begins = upto[some] - per_text[some] - before
             w, x = weight[own][:, None], vectors[of[own]]
             total = np.add.reduceat(w, begins, axis=0)
-            mean = np.add.reduceat(w * x, begins, axis=0) / total
-            square = np.add.reduceat(w * x * x, begins, axis=0) / total
+            weighted = x * w
+            mean = np.add.reduceat(weighted, begins, axis=0) / total
+            weighted *= x
+            square = np.add.reduceat(weighted, begins, axis=0) / total
             out[some] = np.hstack([mean, np.sqrt(np.maximum(square - mean ** 2, 0))])
         at = end
     return out
