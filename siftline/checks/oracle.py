@@ -13,6 +13,7 @@ from siftline.checks.queries import (
     CISCO_KINDS,
     DETAIL_FIELDS,
     MAP_ADDRESSES,
+    RESUMED_GAP,
     SHORT,
     WINDOW_EVENTS,
     WINDOW_EXTRA,
@@ -77,6 +78,17 @@ def _kept(log_type: str, where: str = "true") -> str:
     )
 
 
+def _kept_by_gap(log_type: str, seconds: int) -> str:
+    """The rows that one run with dedupe by gap keeps."""
+    keys = ", ".join(V.DEDUPE_KEYS[log_type])
+    return (
+        f"SELECT * FROM (SELECT *, lag(ts) OVER (PARTITION BY route, {keys} "
+        f"ORDER BY ts, event_id % 4, event_id) AS before FROM {_rows(log_type)} x) y "
+        f"WHERE route = 'dangerous' OR (route = 'sample' AND {SAMPLED.format(t=log_type)}) "
+        f"OR (route = 'dedupe' AND (before IS NULL OR ts - before > INTERVAL {seconds} SECOND))"
+    )
+
+
 # ---- lookups -----------------------------------------------------------------
 LISTED = (
     f"(SELECT unnest([{_quoted(THREAT_ADDRESSES)}]) AS ip "
@@ -467,6 +479,7 @@ def registered() -> dict[str, str]:
     whole = lambda t: f"SELECT * FROM {_kept(t)} k0"
     out["spec_run"] = _sink_rows(_RUN_SINKS, whole)
     out["spec_two_runs"] = _sink_rows(_RUN_SINKS, _kept_halves)
+    out["spec_resumed_runs"] = _sink_rows(_RUN_SINKS, lambda t: _kept_by_gap(t, RESUMED_GAP))
     out["stream_spec_run"] = _sink_rows(_STREAM_SINKS, whole, ("a", "b", "flag", "place"))
     out["stream_large_lookup"] = out["stream_spec_run"]
     out["stream_accounts"] = (

@@ -33,6 +33,7 @@ from siftline.operators.shaping import (
     with_event_time,
 )
 from siftline.plans.catalog import LOG_TYPES
+from siftline.plans.ledger import Ledger
 from siftline.plans.runner import read_rejects, run_batch, sink_path
 from siftline.plans.spec import read_spec
 from siftline.session import fresh_path
@@ -413,6 +414,37 @@ def spec_two_runs(spark, sf_dir):
     return _all_sinks(spark, spec, out)
 
 
+RESUMED_GAP = 36_000
+
+
+def spec_resumed_runs(spark, sf_dir):
+    """Three runs over files that grow, without offsets given: the second one fails at its
+    sinks first, the third is repeated after its commit. Every row of all sinks, deduplicated
+    as if it had been one run."""
+    threat, networks = I.lookups(spark, sf_dir)
+    spec, out, topics = read_spec(RUN_SPEC), fresh_path(spark, "run"), fresh_path(spark, "topics")
+    ledger = Ledger(spark, fresh_path(spark, "ledger"))
+    types = sorted({i.log_type for i in spec.inputs})
+    events = I.table(spark, sf_dir, "events").count()
+
+    def run(run_id, **options):
+        raws = {t: read_files(spark, f"{topics}/{t}") for t in types}
+        run_batch(spec, raws, out, threat, networks, RESUMED_GAP, run_id=run_id, ledger=ledger, **options).close()
+
+    for k in range(3):
+        for t in types:
+            part = I.raw(spark, sf_dir, t).filter((F.col("offset") * 3 >= k * events) & (F.col("offset") * 3 < (k + 1) * events))
+            part.write.mode("append").parquet(f"{topics}/{t}")
+        if k == 1:
+            try:
+                run("run-1", deliver="nowhere")
+            except ValueError:
+                pass
+        run(f"run-{k}")
+    run("run-2")
+    return _all_sinks(spark, spec, out)
+
+
 def spec_rejects(spark, sf_dir):
     """The reject tables that two runs leave in the output."""
     spec, out = read_spec({"inputs": [
@@ -748,6 +780,7 @@ def registered() -> dict[str, Query]:
     out["topic_roundtrip"] = topic_roundtrip
     out["spec_run"] = spec_run
     out["spec_two_runs"] = spec_two_runs
+    out["spec_resumed_runs"] = spec_resumed_runs
     out["spec_rejects"] = spec_rejects
     out["listed_files"] = listed_files
     out["offset_range"] = offset_range

@@ -121,7 +121,6 @@ DEDUPE_KEYS = {
     CISCO_LOG: ("severity", "event_type", "src_ip", "dst_ip"),
     WINDOW_LOG: ("ip_address", "logon_type", "workstation_name", "target_user_name"),
 }
-DEDUPE_EVENTS = {ACCESS_LOG: 5000, ERROR_LOG: 1000, CISCO_LOG: 10000, WINDOW_LOG: 1000}
 
 # ---- fixed values: metadata removed after enrichment -------------------------
 BROKER_METADATA = ("message_key", "offset", "partition", "topic", "source_type", "headers")

@@ -33,8 +33,10 @@ class LogType:
         """Parsed rows and rejects with their route, in one narrow pass."""
         return with_route(self.parse(raw), self.routes())
 
-    def reduced(self, staged: DataFrame, gap_seconds: int | None = None) -> DataFrame:
-        kept = reduce_events(staged, self.dedupe_keys, gap_seconds=gap_seconds)
+    def reduced(
+        self, staged: DataFrame, gap_seconds: int | None = None, seen: DataFrame | None = None
+    ) -> DataFrame:
+        kept = reduce_events(staged, self.dedupe_keys, gap_seconds=gap_seconds, seen=seen)
         return kept.drop("reject_reason", "raw_value")
 
 

@@ -23,6 +23,7 @@ from siftline.operators.enrichment import (
 from siftline.operators.routing import only_log_type
 from siftline.operators.shaping import with_event_time
 from siftline.plans.catalog import LOG_TYPES
+from siftline.plans.ledger import Ledger
 from siftline.plans.spec import InputSpec, RunSpec, SinkSpec
 from siftline.session import Stages
 from siftline.sinks.object_store import object_folder, write_object_store
@@ -166,6 +167,7 @@ def run_batch(
     *,
     run_id: str,
     deliver: str = FILES,
+    ledger: Ledger | None = None,
 ) -> RunResult:
     """Runs every input over the raw table of its log type and adds the rows to its sinks.
 
@@ -173,6 +175,10 @@ def run_batch(
     ``deliver`` says whether sinks are folders under ``out_dir`` or the places the
     specification names (through connectors the cluster provides; those only add).
 
+    With a ``ledger`` only rows beyond the positions of earlier runs are read, dedupe by gap
+    remembers what those runs saw, and both are committed when all sinks have been written.
+    A committed run that is repeated reads the rows that it read before.
+
     A log type is parsed once, into a table split by route in the shared folder,
     however many inputs use it; its rejects go to the output at once. Its reduced
     rows and an input's enriched rows are written likewise only where more than one
@@ -180,6 +186,7 @@ def run_batch(
     """
     run = Run("run_id", run_id)
     spark = next(iter(raw.values())).sparkSession
+    past = ledger.open(run_id) if ledger else None
     result = RunResult(Stages(spark))
     uses = Counter(i.log_type for i in spec.inputs)
     readers = 1 if broadcastable(threat, geo) else 2
@@ -188,10 +195,12 @@ def run_batch(
 
     def run_type(name: str) -> list[Future]:
         log_type = LOG_TYPES[name]
-        staged = result.stages.written(log_type.staged(raw[name]), f"parsed-{name}", ("route",))
+        rows = past.unread(raw[name], name) if past else raw[name]
+        staged = result.stages.written(log_type.staged(rows), f"parsed-{name}", ("route",))
         result.staged[name] = staged
         written_rejects = sink_jobs.submit(target(write_rejects), staged, out_dir, name, run)
-        kept = log_type.reduced(staged, gap_seconds)
+        seen = past.seen(name) if past and gap_seconds is not None else None
+        kept = log_type.reduced(staged, gap_seconds, seen)
         # a lookup by shuffling, and one of addresses in a map, read their rows twice
         if uses[name] > 1 or readers > 1 or name == V.WINDOW_LOG:
             kept = result.stages.written(kept, f"reduced-{name}")
@@ -222,6 +231,8 @@ def run_batch(
             types = [type_jobs.submit(target(run_type), name) for name in uses]
             sinks = [s for t in types for i in t.result() for s in i.result()]
             done = {(s.input_id, s.sink_id): s for s in (f.result() for f in sinks)}
+        if past:
+            past.commit(result.staged, {name: LOG_TYPES[name].dedupe_keys for name in uses}, gap_seconds)
     except BaseException:
         result.close()
         raise
