@@ -143,5 +143,31 @@ LEFT JOIN joined j ON j.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
 
+#: 8 shards of equal row counts; crc32 byte by byte.
+OP7 = f"""
+WITH d AS (
+  SELECT doc_id, source, strlen(coalesce(text, '')) + 1 AS size, md5('17:' || coalesce(doc_id::VARCHAR, 'null')) AS h,
+    list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: ('0x' || p)::BIGINT) AS b, {_CRC} AS t
+  FROM documents
+), r AS (
+  SELECT doc_id, source, size, h, xor(4294967295,
+    list_reduce(b, lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1]), 4294967295::BIGINT))::BIGINT AS text_crc32,
+    row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS FIRST) - 1 AS r, count(*) OVER (PARTITION BY source) AS n
+  FROM d
+), p AS (
+  SELECT *, row_number() OVER (ORDER BY (2 * r + 1)::DOUBLE / (2 * n), source NULLS FIRST, h, doc_id NULLS FIRST) - 1 AS place,
+    count(*) OVER () // 8 AS small, count(*) OVER () % 8 AS longer
+  FROM r
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law,
+  (CASE WHEN place < longer * (small + 1) THEN place // (small + 1)
+    ELSE longer + (place - longer * (small + 1)) // small END)::INTEGER AS shard,
+  (CASE WHEN place < longer * (small + 1) THEN place % (small + 1)
+    ELSE (place - longer * (small + 1)) % small END)::BIGINT AS slot,
+  NULL::INTEGER AS grown_shard
+FROM p
+"""
+
+
 def registered() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op2_passages": OP2, "op9_nearest": OP9, "op13_repair": OP13}
+    return {"op1_decontaminate": OP1, "op2_passages": OP2, "op7_sharding": OP7, "op9_nearest": OP9, "op13_repair": OP13}
