@@ -169,5 +169,18 @@ FROM p
 """
 
 
+QUOTED_REPLIES = r"""
+WITH f AS (SELECT conv_id, text, min(turn) AS first FROM conversations GROUP BY ALL),
+h AS (SELECT conv_id, min(turn) AS head FROM conversations GROUP BY ALL)
+SELECT c.conv_id, c.turn, CASE WHEN b.text IS NOT NULL THEN f.first WHEN c.turn > head THEN head END AS reply_turn,
+  (coalesce(regexp_matches(b.text, '\w'), false)::BIGINT + coalesce(regexp_matches(a.text, '\w'), false)::BIGINT) AS n_quotes,
+  n_quotes AS n_linked, len(regexp_extract_all(c.text, '\S+'))::BIGINT AS n_words
+FROM conversations c JOIN h USING (conv_id)
+LEFT JOIN conversations b ON b.conv_id = c.conv_id AND b.turn = c.turn - 1
+LEFT JOIN conversations a ON a.conv_id = c.conv_id AND a.turn = c.turn - 2
+LEFT JOIN f ON f.conv_id = c.conv_id AND f.text = b.text
+"""
+
+
 def registered() -> dict[str, str]:
-    return {"op1_decontaminate": OP1, "op2_passages": OP2, "op7_sharding": OP7, "op9_nearest": OP9, "op13_repair": OP13}
+    return {"op1_decontaminate": OP1, "op2_passages": OP2, "op7_sharding": OP7, "quoted_replies": QUOTED_REPLIES, "op9_nearest": OP9, "op13_repair": OP13}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siftline.llm import alignment, bpe, decontaminate, nearest, packing, passages, quality, quotes, repair, sharding, simhash, token_files, url_filter
 from siftline.session import fresh_path
@@ -59,6 +60,20 @@ def op8_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.conversations(table(spark, sf_dir, "conversations"))
 
 
+def quoted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message quotes the one before it, and that one's predecessor a level deeper; so
+    which message each one answers is known."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+
+    def quoted(back: int, marks: str) -> DataFrame:
+        lines = F.concat(F.lit(marks), F.replace("text", F.lit("\n"), F.lit("\n" + marks)))
+        return rows.select("conv_id", (F.col("turn") + back).alias("turn"), lines.alias(f"q{back}"))
+
+    made = rows.join(quoted(1, "> "), ["conv_id", "turn"], "left").join(quoted(2, "> > "), ["conv_id", "turn"], "left")
+    made = made.withColumn("text", F.concat_ws("\n", "q2", "q1", F.when(F.col("q1").isNotNull(), ""), "text"))
+    return quotes.conversations(made).select("conv_id", "turn", "reply_turn", "n_quotes", "n_linked", "n_words")
+
+
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return nearest.nearest(vectors, vectors.filter("vec_id % 100 = 0"), TOP)
@@ -93,6 +108,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality": op6_quality,
         "op7_sharding": op7_sharding,
         "op8_quotes": op8_quotes,
+        "quoted_replies": quoted_replies,
         "op9_nearest": op9_nearest,
         "op10_packing": op10_packing,
         "op11_alignment": op11_alignment,

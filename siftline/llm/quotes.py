@@ -26,7 +26,7 @@ from siftline.session import written
 
 MARKS = re.compile(r"^(?:[ \t]*>)+[ \t]?")
 SAID = re.compile(r"\bwrote:\s*$", re.IGNORECASE)
-#: Parts of a text of fewer words link inside their conversation only.
+#: Parts of a text of fewer words link inside their conversation only; 1 lets every part link everywhere.
 LEAST_WORDS = 3
 #: Letters of scripts without spaces between words; each counts as a word.
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
@@ -62,9 +62,9 @@ def _hash(text: str) -> bytes:
     return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
 
 
-def _long(words: str) -> bool:
+def _long(words: str, least: int) -> bool:
     """Whether a normalised text is long enough to link to other conversations."""
-    return words.count(" ") + 1 >= LEAST_WORDS or len(UNSPACED.findall(words)) >= LEAST_WORDS
+    return words.count(" ") + 1 >= least or len(UNSPACED.findall(words)) >= least
 
 
 def _paragraphs(lines: list[str]) -> set[str]:
@@ -79,7 +79,7 @@ def _paragraphs(lines: list[str]) -> set[str]:
     return out - {""}
 
 
-def parse(text: str | None) -> tuple:
+def parse(text: str | None, least_words: int = LEAST_WORDS) -> tuple:
     """A row of PARSED.
 
     ``far``: the passage may link to another conversation.
@@ -101,18 +101,18 @@ def parse(text: str | None) -> tuple:
             runs += 1
             quoted.append((level, _hash(run), True, True, True, _hash(run)))
             for one in sorted({*paragraphs, *map(normal, part)} - {run, ""}):
-                quoted.append((level, _hash(run), False, one in paragraphs, _long(one), _hash(one)))
+                quoted.append((level, _hash(run), False, one in paragraphs, _long(one, least_words), _hash(one)))
         i = j
     whole = normal(body)
     return (
         body, len(body.split()), hashlib.sha256(body.encode("utf-8", "surrogatepass")).hexdigest(), runs,
-        [{"hash": _hash(t), "far": t == whole or _long(t)} for t in sorted({*own, whole} - {""})],
+        [{"hash": _hash(t), "far": t == whole or _long(t, least_words)} for t in sorted({*own, whole} - {""})],
         [dict(zip(("level", "run", "whole", "paragraph", "far", "hash"), q)) for q in quoted],
     )
 
 
-def parsed(messages: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` of the messages and those of PARSED."""
+def parsed(messages: DataFrame, columns: list[str], least_words: int = LEAST_WORDS) -> DataFrame:
+    """``columns`` of the messages and those of PARSED, written once for all who read it."""
     rows = messages.select(*columns, "text")
     spark, n = messages.sparkSession, len(columns)
     extra = spark.createDataFrame([], PARSED).schema
@@ -128,24 +128,24 @@ def parsed(messages: DataFrame, columns: list[str]) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
                 some = batch.slice(k, 1000)
-                found = list(zip(*map(parse, some.column(n).to_pylist())))
+                found = list(zip(*(parse(t, least_words) for t in some.column(n).to_pylist())))
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns[:n], *(pa.array(c, t) for c, t in zip(found, kinds))], names=names)
 
-    return rows.mapInArrow(run, schema)
+    return written(rows.mapInArrow(run, schema), "quotes-parsed")
 
 
-def origins(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, run, whole, paragraph, far, hash, from_conv, from_turn): the quoted passages with an origin.
+def origins(parse_of: DataFrame) -> DataFrame:
+    """From what ``parsed`` gives: (conv_id, turn, level, run, whole, paragraph, far, hash, from_conv, from_turn): the quoted passages with an origin.
 
     Firsts are found by aggregation, so a passage that many messages have is one row of
     the join for each conversation that quotes it, and one for all others.
     """
-    known = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+    known = parse_of.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
     keys = ["conv_id", "turn"]
-    quoted = parsed(known, keys).select(*keys, F.explode("quoted").alias("q")).select(*keys, "q.*").distinct()
+    quoted = known.select(*keys, F.explode("quoted").alias("q")).select(*keys, "q.*").distinct()
     first = (
-        parsed(known, keys).select(*keys, F.explode("own").alias("o")).select(*keys, "o.*")
+        known.select(*keys, F.explode("own").alias("o")).select(*keys, "o.*")
         .groupBy("hash", F.col("conv_id").alias("c")).agg(
             F.min("turn").alias("t"), F.min(F.when(F.col("far"), F.col("turn"))).alias("far_t"))
     )
@@ -168,17 +168,17 @@ def origins(messages: DataFrame) -> DataFrame:
     )
 
 
-def threads(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, reply_conv, reply_turn, thread_conv, thread_turn, n_linked) of every message id.
+def threads(parse_of: DataFrame) -> DataFrame:
+    """From what ``parsed`` gives: (conv_id, turn, reply_conv, reply_turn, thread_conv, thread_turn, n_linked) of every message id.
 
     A thread is named by the message at its start, which answers none (nulls).
     """
-    found = origins(messages)
+    found = written(origins(parse_of), "quotes-origins")
     outer = found.filter("level = 1").groupBy("conv_id", "turn").agg(F.max(F.struct(
         "whole", "far", "paragraph", (F.col("from_conv") == F.col("conv_id")).alias("own"), "from_conv", "from_turn")).alias("best"))
     linked = (found.filter("whole OR paragraph").select("conv_id", "turn", "level", "run").distinct()
               .groupBy("conv_id", "turn").agg(F.count("*").alias("n_linked")))
-    ids = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn").agg(F.lit(1).alias("_"))
+    ids = parse_of.filter("conv_id IS NOT NULL AND turn IS NOT NULL").groupBy("conv_id", "turn").agg(F.lit(1).alias("_"))
     heads = ids.groupBy("conv_id").agg(F.min("turn").alias("head"))
     hung = (
         ids.join(heads, "conv_id").join(outer, ["conv_id", "turn"], "left").join(linked, ["conv_id", "turn"], "left")
@@ -202,7 +202,7 @@ def threads(messages: DataFrame) -> DataFrame:
                         F.col("top.c").alias("thread_conv"), F.col("top.t").alias("thread_turn"), "n_linked")
 
 
-def conversations(messages: DataFrame, bodies: bool = True) -> DataFrame:
+def conversations(messages: DataFrame, bodies: bool = True, least_words: int = LEAST_WORDS) -> DataFrame:
     """The messages in reply order: thread_conv, thread_turn, position, and each one's data.
 
     Per row conv_id, turn, role, body (own text, without quotes; left out if ``bodies`` is
@@ -211,12 +211,13 @@ def conversations(messages: DataFrame, bodies: bool = True) -> DataFrame:
     by conv_id, turn and body. Rows with the same conv_id and turn are one message for
     links, and keep their own rows. Rows without conv_id or turn, and null texts, stay: the
     former without thread, reply and position, the latter with an empty body. Other columns
-    are left behind. No thread or conversation is gathered in one task.
+    are left behind. Parts of fewer than ``least_words`` words link inside their conversation
+    only. No thread or conversation is gathered in one task.
     """
     own = ["body", "n_words", "body_sha256", "n_quotes"]
-    rows = parsed(messages, ["conv_id", "turn", "role"]).select(
-        "conv_id", "turn", "role", *(own if bodies else own[1:]))
-    linked = threads(messages)
+    parse_of = parsed(messages, ["conv_id", "turn", "role"], least_words)
+    rows = parse_of.select("conv_id", "turn", "role", *(own if bodies else own[1:]))
+    linked = threads(parse_of)
     joined = rows.join(linked, ["conv_id", "turn"], "left")
     placed = ranked(joined.withColumn("n_linked", F.coalesce("n_linked", F.lit(0))), ["thread_conv", "thread_turn"],
                     ["conv_id", "turn", "body_sha256"], "position", "quotes-order")

@@ -195,6 +195,32 @@ def test_long_reply_chains(spark):
     assert C.conversations(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
 
 
+@pytest.mark.parametrize("least", [1, C.LEAST_WORDS])
+def test_origins_against_a_naive_search(spark, least):
+    rng = random.Random(least)
+    vocabulary = ["yes", "no", "maybe so", "the red door is open", "ok ok", "see you at noon", "\u65e5\u672c\u8a9e", "A. b"]
+    texts = {}
+    for conv in range(9):
+        for turn in range(rng.randrange(1, 8)):
+            lines = [rng.choice(vocabulary + [""]) for _ in range(rng.randrange(1, 5))]
+            for _ in range(rng.randrange(3)):
+                if texts:
+                    old = rng.choice(list(texts.values())).split("\n")
+                    lines += [rng.choice(["> ", ">> "]) + x for x in old[:rng.randrange(1, 4)]] + ["", rng.choice(vocabulary)]
+            texts[conv, turn] = "\n".join(lines)
+    own = {k: {o["hash"]: o["far"] for o in C.parse(t, least)[4]} for k, t in texts.items()}
+    want = set()
+    for (conv, turn), t in texts.items():
+        for q in C.parse(t, least)[5]:
+            here = [k for k in own if k[0] == conv and k[1] < turn and q["hash"] in own[k]]
+            far = [k for k in own if q["far"] and k < (conv, turn) and own[k].get(q["hash"])]
+            if here or far:
+                want.add((conv, turn, q["level"], q["run"], q["whole"], q["paragraph"], q["hash"], *min(here or far)))
+    df = spark.createDataFrame([(*k, t) for k, t in texts.items()], "conv_id bigint, turn bigint, text string").repartition(3)
+    got = C.origins(C.parsed(df, ["conv_id", "turn"], least)).drop("far").collect()
+    assert {tuple(bytes(x) if isinstance(x, bytearray) else x for x in r) for r in got} == want and len(want) > 20
+
+
 def test_levels():
     assert C.levels("a\n> b\n>> c\n > > d\nX wrote:\n> e\nhe wrote:") == [
         (0, "a"), (1, "b"), (2, "c"), (2, "d"), (1, "e"), (0, "he wrote:")]
