@@ -95,9 +95,12 @@ class Best:
         q, r, score = q[keep], r[keep], score[keep]
         first = np.searchsorted(q, np.arange(len(self.ids) + 1))
         for i in np.unique(q):
-            a, b = first[i], first[i + 1]
-            both = sorted(zip([-int(s) for s in score[a:b]] + [-s for s in self.scores[i]],
-                              ids[r[a:b]].tolist() + self.found[i].tolist()))[:self.k]
+            some = slice(first[i], first[i + 1])
+            own, of = score[some], ids[r[some]]
+            if own.dtype != object:
+                top = np.lexsort((of, -own))[:self.k]
+                own, of = own[top], of[top]
+            both = sorted(zip([-int(s) for s in own] + [-s for s in self.scores[i]], of.tolist() + self.found[i].tolist()))[:self.k]
             self.scores[i], self.found[i] = [-s for s, _ in both], np.array([v for _, v in both], np.int64)
             if len(both) == self.k:
                 self.least[i] = self._below(self.scores[i][-1])
