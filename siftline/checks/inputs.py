@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siftline import fixed_values as V
 from siftline.operators.enrichment import GeoLookup, ThreatLookup, prepare_geo, prepare_threat
 from siftline.plans.catalog import LOG_TYPES
-from siftline.render import THREAT_ADDRESSES, rendered, text
+from siftline.render import THREAT_ADDRESSES, pick, rendered, text
 from siftline.session import written
 
 PIPELINE_TYPES = (V.ACCESS_LOG, V.ERROR_LOG, V.CISCO_LOG, V.WINDOW_LOG)
@@ -75,10 +75,10 @@ NETWORKS = (
         "CAST(c_custkey % 90 AS DOUBLE) + 0.75",
         "CAST(c_custkey % 180 AS DOUBLE)",
     ),
-    # the range the listed addresses are in
+    # the ranges the listed addresses are in
     (
         "region",
-        f"'1.' || {text('180 + r_regionkey * 4')} || '.0.0/14'",
+        pick("192.0.2.0/24|198.51.100.0/24|203.0.113.0/24|192.0.2.128/25|198.51.100.64/26", "r_regionkey"),
         "r_name",
         "CAST(r_regionkey AS DOUBLE)",
         "CAST(r_regionkey AS DOUBLE) + 0.5",
