@@ -225,7 +225,7 @@ def _frames(rows: list[tuple]) -> pa.RecordBatch:
 
 def _chunk(block: int, ids: list, hashes: list, texts: list[bytes], parts: int) -> Iterator[tuple]:
     """Rows of FRAMES: of each part of the table the chunk's words, their counts and sums, and
-    under a key of its own (below 0) which words every document has."""
+    under a key of its own (-1 - block) which words every document has."""
     codes, buckets, sizes = [], [], []
     for a, b in blocks(map(len, texts)):
         words = Words(texts[a:b])
@@ -252,17 +252,19 @@ def _chunk(block: int, ids: list, hashes: list, texts: list[bytes], parts: int)
     place[np.argsort(-n, kind="stable")] = np.arange(len(found))
     pairs, times = np.unique(text.astype(np.int64) * max(len(found), 1) + place[which], return_counts=True)
     per_text = np.bincount(pairs // max(len(found), 1), minlength=len(sizes))
-    data = [_packed(x) for x in (per_text, np.diff(pairs % max(len(found), 1), prepend=0), times, n, bucket, np.array(hashes, np.int64),
+    common = np.argsort(-np.bincount(bucket, minlength=BUCKETS), kind="stable")  # frequent forms, too
+    data = [_packed(x) for x in (per_text, np.diff(pairs % max(len(found), 1), prepend=0), times, n,
+                                 np.argsort(common)[bucket], common, np.array(hashes, np.int64),
                                  np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids]))]
     lengths = np.array([len(x) for x in data], "<i8").tobytes()
     yield -1 - block, block, -1, lengths, b"".join(data), None
 
 
 def _answered(rows: pa.Table) -> pa.Table:
-    """Of each block's words of one part: their counts and context vectors over the corpus."""
-    rows = rows.to_pylist()
-    if rows[0]["part"] < 0:
-        return pa.Table.from_batches([_frames([tuple(r.values()) for r in rows])])
+    """Of each block's words of one part: their counts and context vectors over the corpus, under the block's key."""
+    rows = [r for r in rows.to_pylist() if r["part"] >= 0]
+    if not rows:
+        return pa.Table.from_batches([_frames([])])
     asked = [np.cumsum(_unpacked(r["a"]).view(np.uint64)) for r in rows]
     found, which = np.unique(np.concatenate(asked), return_inverse=True)
     n, sums, at = np.zeros(len(found), np.int64), np.zeros((len(found), WORD_SIZE), np.int64), 0
@@ -277,7 +279,7 @@ def _answered(rows: pa.Table) -> pa.Table:
     out, at = [], 0
     for r, codes in zip(rows, asked):
         own = which[at:at + len(codes)]
-        out.append((r["key"], r["block"], r["part"], None, _packed(n[own]), _bits_packed(sums[own])))
+        out.append((-1 - r["block"], r["block"], r["part"], None, _packed(n[own]), _bits_packed(sums[own])))
         at += len(codes)
     return pa.Table.from_batches([_frames(out)])
 
@@ -306,6 +308,29 @@ def _mean_and_deviation(vectors, of, weight, per_text) -> np.ndarray:
     return out
 
 
+COUNT_AT = 4 * SIZE
+
+
+def _narrow(x: np.ndarray) -> pa.Array:
+    """Rows of features: the number of words' as float16, all others (from -1 to 1) by their root in a byte."""
+    rest = np.delete(x, COUNT_AT, axis=1)
+    rest = np.rint(np.copysign(np.sqrt(np.minimum(np.abs(rest), 1)), rest) * 127).astype(np.int8)
+    rows = np.hstack([np.ascontiguousarray(x[:, COUNT_AT:COUNT_AT + 1].astype("<f2")).view(np.int8), rest])
+    return pa.array([row.tobytes() for row in rows], pa.binary())
+
+
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_narrow`` as float16 in their first order."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, 2048):
+            doc_id, hashes, x = batch.slice(k, 2048).columns
+            rows = np.frombuffer(b"".join(x.to_pylist()), np.int8).reshape(len(x), -1)
+            rest = rows[:, 2:] / np.float32(127)
+            wide = np.insert(rest * np.abs(rest), COUNT_AT, np.ascontiguousarray(rows[:, :2]).view("<f2")[:, 0], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [doc_id, hashes, pa.array([row.tobytes() for row in wide.astype("<f2")], pa.binary())], names=["doc_id", "hash", "x"])
+
+
 def _rarity(share: np.ndarray) -> np.ndarray:
     return (0.002 / (0.002 + share)).astype(np.float32)
 
@@ -314,7 +339,7 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
     """(doc_id bigint, hash, x): of every row of ``docs`` (doc_id, text) the pooled vectors, as float16.
 
     x: mean and deviation of the forms' vectors, the logarithm of the number of words, mean and
-    deviation of the words' vectors. ``hash`` is of the text. Written once.
+    deviation of the words' vectors. ``hash`` is of the text. Written once, in a byte each.
     """
     context, counts = context_table(docs)
     norm = np.linalg.norm(context, axis=1, keepdims=True)
@@ -341,14 +366,19 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
         if held:
             yield _frames(list(_chunk(block, *map(list, zip(*held)), parts)))
 
-    def pooled(rows: pa.Table) -> pa.Table:
+    features_schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("x", pa.binary())])
+
+    def pooled(answers: pa.Table, block: pa.Table) -> pa.Table:
+        if block.column("part")[0].as_py() >= 0:  # a part of the table of words, not a block
+            return features_schema.empty_table()
         forms, form_weights = sent.value
-        held = sorted(rows.select(["part", "a", "b", "c"]).to_pylist(), key=lambda r: r["part"])
-        ends = np.cumsum(np.frombuffer(held[0]["a"], "<i8")).tolist()
-        per_text, pairs, times, n, bucket, hashes, ids, nameless = (
-            _unpacked(held[0]["b"][a:b]) for a, b in zip([0, *ends], ends))
-        count = np.concatenate([_unpacked(r["b"]) for r in held[1:]] or [np.empty(0)])
-        sums = np.concatenate([_bits_unpacked(r["c"]).astype(np.int8) for r in held[1:]] or [np.empty(0, np.int8)])
+        own, held = block.to_pylist()[0], sorted(answers.select(["part", "b", "c"]).to_pylist(), key=lambda r: r["part"])
+        ends = np.cumsum(np.frombuffer(own["a"], "<i8")).tolist()
+        per_text, pairs, times, n, form, common, hashes, ids, nameless = (
+            _unpacked(own["b"][a:b]) for a, b in zip([0, *ends], ends))
+        bucket = common[form]
+        count = np.concatenate([_unpacked(r["b"]) for r in held] or [np.empty(0)])
+        sums = np.concatenate([_bits_unpacked(r["c"]).astype(np.int8) for r in held] or [np.empty(0, np.int8)])
         if len(count) != len(n):
             raise RuntimeError("a block's words and their answers differ")
         vectors = sums.reshape(-1, WORD_SIZE).astype(np.float32)
@@ -358,14 +388,17 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
             _mean_and_deviation(forms, bucket[word], form_weights[bucket[word]] * times, per_text),
             np.log1p(np.bincount(np.repeat(np.arange(len(per_text)), per_text), times, len(per_text)))[:, None],
             _mean_and_deviation(vectors, word, _rarity(count / total)[word] * times, per_text),
-        ]).astype("<f2")
+        ])
         return pa.table({
-            "doc_id": pa.array(ids, mask=nameless.astype(bool)), "hash": pa.array(hashes),
-            "x": pa.array([row.tobytes() for row in x], pa.binary())})
+            "doc_id": pa.array(ids, mask=nameless.astype(bool)), "hash": pa.array(hashes), "x": _narrow(x)})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
-    answers = rows.mapInArrow(asked, FRAMES).groupBy("key").applyInArrow(_answered, FRAMES)
-    return written(answers.groupBy("block").applyInArrow(pooled, "doc_id bigint, hash bigint, x binary"), "quality-features")
+    # one exchange, read twice: by part for the answers, by block where these meet which document has which word
+    frames = rows.mapInArrow(asked, FRAMES).repartition("key")
+    answers = frames.groupBy("key").applyInArrow(_answered, FRAMES)
+    schema = "doc_id bigint, hash bigint, x binary"
+    found = answers.groupBy("key").cogroup(frames.groupBy("key")).applyInArrow(pooled, schema)
+    return written(found, "quality-features").mapInArrow(_widened, schema)
 
 
 @dataclass
