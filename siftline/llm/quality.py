@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from siftline.llm.columns import neutral, restored
 from siftline.llm.textbytes import Words, blocks, mixed
-from siftline.session import written
+from siftline.session import fresh_path, written
 
 BUCKETS = 4096
 SIZE = 64
@@ -40,6 +40,8 @@ NONZERO = 4
 WORD_SIZE = 32
 AGAIN = np.uint64(1)
 REACH = 2
+#: Steps of a word's weight, from 0 to 1.
+WEIGHTS = 4095
 #: Bytes of text whose words are summed before they are sent; words of the corpus for each part of the table.
 CHUNK_BYTES = 24 << 20
 PART_WORDS = 4_000_000
@@ -260,8 +262,8 @@ def _chunk(block: int, ids: list, hashes: list, texts: list[bytes], parts: int)
     yield -1 - block, block, -1, lengths, b"".join(data), None
 
 
-def _answered(rows: pa.Table) -> pa.Table:
-    """Of each block's words of one part: their counts and context vectors over the corpus, under the block's key."""
+def _answered(rows: pa.Table, total: int) -> pa.Table:
+    """Of each block's words of one part: their weights and context vectors over the corpus, under the block's key."""
     rows = [r for r in rows.to_pylist() if r["part"] >= 0]
     if not rows:
         return pa.Table.from_batches([_frames([])])
@@ -276,10 +278,11 @@ def _answered(rows: pa.Table) -> pa.Table:
     # only the direction counts: large sums in steps of a 127th of the largest
     most = np.maximum(np.abs(sums).max(1, keepdims=True), 1)
     sums = np.where(most > 127, np.rint(sums * (127 / most)), sums).astype(np.int8)
+    weight = np.rint(_rarity(n / total) * WEIGHTS).astype(np.int64)
     out, at = [], 0
     for r, codes in zip(rows, asked):
         own = which[at:at + len(codes)]
-        out.append((-1 - r["block"], r["block"], r["part"], None, _packed(n[own]), _bits_packed(sums[own])))
+        out.append((-1 - r["block"], r["block"], r["part"], None, _packed(weight[own]), _bits_packed(sums[own])))
         at += len(codes)
     return pa.Table.from_batches([_frames(out)])
 
@@ -377,9 +380,9 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
         per_text, pairs, times, n, form, common, hashes, ids, nameless = (
             _unpacked(own["b"][a:b]) for a, b in zip([0, *ends], ends))
         bucket = common[form]
-        count = np.concatenate([_unpacked(r["b"]) for r in held] or [np.empty(0)])
+        weight = np.concatenate([_unpacked(r["b"]) for r in held] or [np.empty(0)])
         sums = np.concatenate([_bits_unpacked(r["c"]).astype(np.int8) for r in held] or [np.empty(0, np.int8)])
-        if len(count) != len(n):
+        if len(weight) != len(n):
             raise RuntimeError("a block's words and their answers differ")
         vectors = sums.reshape(-1, WORD_SIZE).astype(np.float32)
         vectors /= np.maximum(np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), 1e-9)[:, None]
@@ -387,7 +390,7 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
         x = np.hstack([
             _mean_and_deviation(forms, bucket[word], form_weights[bucket[word]] * times, per_text),
             np.log1p(np.bincount(np.repeat(np.arange(len(per_text)), per_text), times, len(per_text)))[:, None],
-            _mean_and_deviation(vectors, word, _rarity(count / total)[word] * times, per_text),
+            _mean_and_deviation(vectors, word, (weight / np.float32(WEIGHTS)).astype(np.float32)[word] * times, per_text),
         ])
         return pa.table({
             "doc_id": pa.array(ids, mask=nameless.astype(bool)), "hash": pa.array(hashes), "x": _narrow(x)})
@@ -395,10 +398,12 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
     # one exchange, read twice: by part for the answers, by block where these meet which document has which word
     frames = rows.mapInArrow(asked, FRAMES).repartition("key")
-    answers = frames.groupBy("key").applyInArrow(_answered, FRAMES)
+    answers = frames.groupBy("key").applyInArrow(lambda part: _answered(part, int(total)), FRAMES)
     schema = "doc_id bigint, hash bigint, x binary"
     found = answers.groupBy("key").cogroup(frames.groupBy("key")).applyInArrow(pooled, schema)
-    return written(found, "quality-features").mapInArrow(_widened, schema)
+    path = fresh_path(docs.sparkSession, "quality-features")
+    found.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path).mapInArrow(_widened, schema)
 
 
 @dataclass
