@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.columns import neutral, restored
-from siftline.llm.textbytes import Words, blocks, mixed
+from siftline.llm.textbytes import BLOCK_BYTES, Words, blocks, mixed
 from siftline.session import fresh_path, written
 
 BUCKETS = 4096
@@ -45,8 +45,9 @@ WEIGHTS = 4095
 #: Bytes of text whose words are summed before they are sent; words of the corpus for each part of the table.
 CHUNK_BYTES = 24 << 20
 PART_WORDS = 4_000_000
-#: Rows of vectors that a step takes at once.
+#: Rows of vectors that a step takes at once; words of whole texts that a step of a chunk takes.
 SLAB = 50_000
+STEP = 400_000
 #: Terms of whole texts that are pooled at once, few enough for a core's cache.
 POOLED = 4_000
 #: Labelled documents that the network is fitted on, at most: those with the smallest id hashes.
@@ -162,10 +163,27 @@ def context_table(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return table, counts
 
 
+def _unsigned(values: np.ndarray) -> np.ndarray:
+    """Whole numbers with the sign as the lowest bit."""
+    v = np.array(values, np.int64).ravel()
+    sign = v >> 63
+    v <<= 1
+    v ^= sign
+    return v.view(np.uint64)
+
+
+def _signed(v: np.ndarray) -> np.ndarray:
+    """The numbers of ``_unsigned``, in its place."""
+    sign = (v & np.uint64(1)).view(np.int64)
+    v >>= np.uint64(1)
+    out = v.view(np.int64)
+    out ^= np.negative(sign, out=sign)
+    return out
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Whole numbers of up to 64 bits, small ones in few bytes."""
-    v = values.astype(np.int64).ravel()
-    v = ((v << 1) ^ (v >> 63)).view(np.uint64)
+    v = _unsigned(values)
     width = next(w for w in (1, 2, 4, 8) if w == 8 or int(v.max(initial=0)) < 1 << 8 * w)
     planes = v.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
     return len(v).to_bytes(8, "little") + bytes([width]) + pa.compress(planes, "zstd", asbytes=True)
@@ -173,8 +191,7 @@ def _packed(values: np.ndarray) -> bytes:
 
 def _bits_packed(values: np.ndarray) -> bytes:
     """The same, for numbers that are nearly all 0 or 1 away from it: a plane for each bit."""
-    v = values.astype(np.int64).ravel()
-    v = ((v << 1) ^ (v >> 63)).view(np.uint64)
+    v = _unsigned(values)
     planes = [np.packbits((v >> np.uint64(k) & np.uint64(1)).astype(bool)).tobytes()
               for k in range(int(v.max(initial=0)).bit_length())]
     return len(v).to_bytes(8, "little") + bytes([len(planes)]) + pa.compress(b"".join(planes), "zstd", asbytes=True)
@@ -187,23 +204,31 @@ def _bits_unpacked(data: bytes) -> np.ndarray:
     v = np.zeros(n, np.uint64)
     for k in range(width):
         v |= np.unpackbits(planes[k * size:(k + 1) * size], count=n).astype(np.uint64) << np.uint64(k)
-    return (v >> np.uint64(1)).view(np.int64) ^ -(v & np.uint64(1)).view(np.int64)
+    return _signed(v)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
     n, width = int.from_bytes(data[:8], "little"), data[8]
     planes = pa.decompress(data[9:], n * width, "zstd", asbytes=True)
     v = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.uint64)
-    return (v >> np.uint64(1)).view(np.int64) ^ -(v & np.uint64(1)).view(np.int64)
+    return _signed(v)
 
 
-def _context_sums(codes: np.ndarray, which: np.ndarray, n: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Of each word: the sum of the index vectors beside its places. ``which``: the word at each place."""
-    places, signs = own_components(codes)
-    order = np.argsort(which, kind="stable")
-    out = np.zeros((len(codes), WORD_SIZE), np.int32)
-    for k in range(0, len(order), SLAB):
-        at = order[k:k + SLAB]
+def _context_sums(
+    codes: np.ndarray, which: np.ndarray, n: np.ndarray, text: np.ndarray, own: slice = slice(None),
+    order: np.ndarray | None = None, index: tuple[np.ndarray, np.ndarray] | None = None,
+) -> np.ndarray:
+    """Of each word (of those in ``own``): the sum of the index vectors beside its places.
+
+    which: the word at each place; order: the places by word; index: the words' components.
+    """
+    places, signs = own_components(codes) if index is None else index
+    order = np.argsort(which, kind="stable") if order is None else order
+    begin, end, _ = own.indices(len(codes))
+    upto = np.concatenate([[0], np.cumsum(n)])
+    out = np.zeros((end - begin, WORD_SIZE), np.int32)
+    for k in range(upto[begin], upto[end], SLAB):
+        at = order[k:min(k + SLAB, upto[end])]
         first, last = which[at[0]], which[at[-1]]
         sums = np.zeros((last - first + 1) * WORD_SIZE)
         for step in (*range(-REACH, 0), *range(1, REACH + 1)):
@@ -211,7 +236,7 @@ def _context_sums(codes: np.ndarray, which: np.ndarray, n: np.ndarray, text: np.
             beside = (other == at + step) & (text[other] == text[at])
             of, by = (which[at[beside]] - first).astype(np.int64), which[other[beside]]
             sums += np.bincount(of * WORD_SIZE + places[by], signs[by], len(sums))
-        out[first:last + 1] += sums.reshape(-1, WORD_SIZE).astype(np.int32)
+        out[first - begin:last + 1 - begin] += sums.reshape(-1, WORD_SIZE).astype(np.int32)
     return out
 
 
@@ -225,41 +250,85 @@ def _frames(rows: list[tuple]) -> pa.RecordBatch:
         [pa.array(c, t) for c, t in zip(columns, kinds)], names=["key", "block", "part", "a", "b", "c"])
 
 
-def _chunk(block: int, ids: list, hashes: list, texts: list[bytes], parts: int) -> Iterator[tuple]:
-    """Rows of FRAMES: of each part of the table the chunk's words, their counts and sums, and
-    under a key of its own (-1 - block) which words every document has."""
-    codes, buckets, sizes = [], [], []
-    for a, b in blocks(map(len, texts)):
-        words = Words(texts[a:b])
-        codes.append(word_codes(words))
-        buckets.append(terms(words))
-        sizes.append(words.per_text)
-    sizes, codes = np.concatenate(sizes), np.concatenate(codes)
-    found, first, which, n = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
-    del codes
-    which = which.astype(np.int32)
-    bucket = np.concatenate(buckets)[first]
-    del buckets, first
-    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-    sums = _context_sums(found, which, n, text)
-    part = ((found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-    edges = np.searchsorted(part, np.arange(parts + 1))
-    for p in np.unique(part).tolist():
-        own = slice(edges[p], edges[p + 1])
-        steps = np.diff(found[own], prepend=np.uint64(0)).view(np.int64)
-        yield p, block, p, _packed(steps), _packed(n[own]), _bits_packed(sums[own])
-    del sums, part
-    # frequent words get small numbers, and a text's are sent as steps
-    place = np.empty(len(found), np.int64)
-    place[np.argsort(-n, kind="stable")] = np.arange(len(found))
-    pairs, times = np.unique(text.astype(np.int64) * max(len(found), 1) + place[which], return_counts=True)
-    per_text = np.bincount(pairs // max(len(found), 1), minlength=len(sizes))
-    common = np.argsort(-np.bincount(bucket, minlength=BUCKETS), kind="stable")  # frequent forms, too
-    data = [_packed(x) for x in (per_text, np.diff(pairs % max(len(found), 1), prepend=0), times, n,
-                                 np.argsort(common)[bucket], common, np.array(hashes, np.int64),
-                                 np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids]))]
-    lengths = np.array([len(x) for x in data], "<i8").tobytes()
-    yield -1 - block, block, -1, lengths, b"".join(data), None
+class Chunk:
+    """The words of some texts, as codes and forms; the texts themselves are held only block by block."""
+
+    def __init__(self, block: int):
+        self.block, self.size = block, 0
+        self.ids: list = []
+        self.hashes: list = []
+        self.held: list[bytes] = []
+        self.held_bytes = 0
+        self.codes: list[np.ndarray] = []
+        self.buckets: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+
+    def add(self, doc_id: int | None, text_hash: int, text: bytes) -> None:
+        self.ids.append(doc_id)
+        self.hashes.append(text_hash)
+        self.held.append(text)
+        self.size += len(text)
+        self.held_bytes += len(text)
+        if self.held_bytes >= BLOCK_BYTES:
+            self._settle()
+
+    def _settle(self) -> None:
+        words = Words(self.held)
+        self.codes.append(word_codes(words))
+        self.buckets.append(terms(words).astype(np.int16))
+        self.sizes.append(words.per_text)
+        self.held, self.held_bytes = [], 0
+
+    def frames(self, parts: int) -> Iterator[tuple]:
+        """Rows of FRAMES: of each part of the table the chunk's words, their counts and sums, and
+        under a key of its own (-1 - block) which words every document has. Empties the chunk."""
+        if self.held:
+            self._settle()
+        sizes, codes = np.concatenate(self.sizes), np.concatenate(self.codes)
+        self.codes = []
+        # the places by word, in one sort for all that follows
+        order = np.argsort(codes, kind="stable").astype(np.int32)
+        codes = codes[order]
+        new = np.ones(len(codes), bool)
+        new[1:] = codes[1:] != codes[:-1]
+        starts = np.flatnonzero(new)
+        found, n = codes[starts], np.diff(starts, append=len(codes))
+        del codes
+        which = np.empty(len(order), np.int32)
+        which[order] = np.cumsum(new, dtype=np.int32) - 1
+        bucket = np.concatenate(self.buckets)[order[starts]]
+        self.buckets = []
+        del new, starts
+        text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        part = ((found >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        edges = np.searchsorted(part, np.arange(parts + 1)).tolist()
+        index = own_components(found)
+        for p in np.unique(part).tolist():
+            own = slice(edges[p], edges[p + 1])
+            sums = _context_sums(found, which, n, text, own, order, index)
+            steps = np.diff(found[own], prepend=np.uint64(0)).view(np.int64)
+            yield p, self.block, p, _packed(steps), _packed(n[own]), _bits_packed(sums)
+        del order, index, part, text
+        # frequent words get small numbers, and a text's are sent as steps
+        many = max(len(found), 1)
+        place = np.empty(len(found), np.int32)
+        place[np.argsort(-n, kind="stable")] = np.arange(len(found), dtype=np.int32)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        per_text, pairs, times = [], [], []
+        for a, b in blocks(sizes.tolist(), STEP):
+            own = np.repeat(np.arange(b - a), sizes[a:b]) * many + place[which[upto[a]:upto[b]]]
+            pair, time = np.unique(own, return_counts=True)
+            per_text.append(np.bincount(pair // many, minlength=b - a))
+            pairs.append((pair % many).astype(np.int32))
+            times.append(time.astype(np.int32))
+        del which
+        common = np.argsort(-np.bincount(bucket, minlength=BUCKETS), kind="stable")  # frequent forms, too
+        data = [_packed(x) for x in (
+            np.concatenate(per_text), np.diff(np.concatenate(pairs), prepend=np.int32(0)), np.concatenate(times), n,
+            np.argsort(common)[bucket], common, np.array(self.hashes, np.int64),
+            np.array([i or 0 for i in self.ids], np.int64), np.array([i is None for i in self.ids]))]
+        lengths = np.array([len(x) for x in data], "<i8").tobytes()
+        yield -1 - self.block, self.block, -1, lengths, b"".join(data), None
 
 
 def _answered(rows: pa.Table, total: int) -> pa.Table:
@@ -357,17 +426,16 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        block, held, size = TaskContext.get().partitionId() << 32, [], 0
+        chunk = Chunk(TaskContext.get().partitionId() << 32)
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                data = (row[2] or "").encode("utf-8", "surrogatepass")
-                held.append((*row[:2], data))
-                size += len(data)
-                if size >= chunk_bytes:
-                    yield _frames(list(_chunk(block, *map(list, zip(*held)), parts)))
-                    block, held, size = block + 1, [], 0
-        if held:
-            yield _frames(list(_chunk(block, *map(list, zip(*held)), parts)))
+            for k in range(0, batch.num_rows, 512):
+                for doc_id, text_hash, text in zip(*(c.to_pylist() for c in batch.slice(k, 512).columns)):
+                    chunk.add(doc_id, text_hash, (text or "").encode("utf-8", "surrogatepass"))
+                    if chunk.size >= chunk_bytes:
+                        yield _frames(list(chunk.frames(parts)))
+                        chunk = Chunk(chunk.block + 1)
+        if chunk.ids:
+            yield _frames(list(chunk.frames(parts)))
 
     features_schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("x", pa.binary())])
 
@@ -384,16 +452,24 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
         sums = np.concatenate([_bits_unpacked(r["c"]).astype(np.int8) for r in held] or [np.empty(0, np.int8)])
         if len(weight) != len(n):
             raise RuntimeError("a block's words and their answers differ")
+        weight = (weight / np.float32(WEIGHTS)).astype(np.float32)
         vectors = sums.reshape(-1, WORD_SIZE).astype(np.float32)
         vectors /= np.maximum(np.sqrt(np.einsum("ij,ij->i", vectors, vectors)), 1e-9)[:, None]
-        word = np.argsort(-n, kind="stable")[np.cumsum(pairs)]
-        x = np.hstack([
-            _mean_and_deviation(forms, bucket[word], form_weights[bucket[word]] * times, per_text),
-            np.log1p(np.bincount(np.repeat(np.arange(len(per_text)), per_text), times, len(per_text)))[:, None],
-            _mean_and_deviation(vectors, word, (weight / np.float32(WEIGHTS)).astype(np.float32)[word] * times, per_text),
-        ])
+        del held, sums
+        words = np.argsort(-n, kind="stable").astype(np.int32)[np.cumsum(pairs, out=pairs)]
+        del pairs
+        upto = np.concatenate([[0], np.cumsum(per_text)])
+        rows = []
+        for a, b in blocks(per_text.tolist(), STEP):
+            word, often, sizes = words[upto[a]:upto[b]], times[upto[a]:upto[b]], per_text[a:b]
+            form_of = bucket[word]
+            rows.append(_narrow(np.hstack([
+                _mean_and_deviation(forms, form_of, form_weights[form_of] * often, sizes),
+                np.log1p(np.bincount(np.repeat(np.arange(b - a), sizes), often, b - a))[:, None],
+                _mean_and_deviation(vectors, word, weight[word] * often, sizes),
+            ])))
         return pa.table({
-            "doc_id": pa.array(ids, mask=nameless.astype(bool)), "hash": pa.array(hashes), "x": _narrow(x)})
+            "doc_id": pa.array(ids, mask=nameless.astype(bool)), "hash": pa.array(hashes), "x": pa.chunked_array(rows, pa.binary())})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
     # one exchange, read twice: by part for the answers, by block where these meet which document has which word
