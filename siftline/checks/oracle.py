@@ -520,6 +520,7 @@ def registered() -> dict[str, str]:
     )
     out["changelog_latest"] = _changelog()
     out["stream_changelog"] = _changelog()
+    out["stream_changelog_topic"] = _changelog()
     out["full_match_upper"] = (
         "SELECT origin, id, md5(upper(value)) AS value FROM ("
         "SELECT 'customer' AS origin, c_custkey AS id, c_name AS value FROM customer UNION ALL "

@@ -18,7 +18,7 @@ from siftline.checks import inputs as I
 from siftline.functions.names import snake_name
 from siftline.functions.times import utc_clock
 from siftline.operators.accounting import component_metric, received, reduction_stats
-from siftline.operators.changelog import changelog_table
+from siftline.operators.changelog import changelog_table, latest_per_key
 from siftline.operators.decoding import accepted, rejects
 from siftline.operators.enrichment import BROADCAST_ROWS, enrich, prepare_geo, prepare_threat, text_addresses
 from siftline.operators.merging import merge_inputs
@@ -42,7 +42,9 @@ from siftline.sinks.tables import write_indexes
 from siftline.sinks.topics import as_json, start_topic, write_topic
 from siftline.sources.lookups import read_geo_networks, read_threat_csv
 from siftline.sources.raw import from_topic_json, read_files
-from siftline.streaming.changelog import read_changelog_table, start_changelog
+from siftline.streaming.changelog import (
+    read_changelog_table, read_changelog_topic, start_changelog, start_changelog_topic,
+)
 from siftline.streaming.jobs import (
     ALL_NOW,
     event_counts,
@@ -718,6 +720,22 @@ def stream_changelog(spark, sf_dir):
     return read_changelog_table(spark, f"{work}/table")
 
 
+def stream_changelog_topic(spark, sf_dir):
+    """The changelog sent on to a topic with tombstones, and that topic read as a changelog."""
+    work = fresh_path(spark, "changelog")
+    source = changes(spark, sf_dir)
+    source.repartitionByRange(6, "offset").write.parquet(f"{work}/changes")
+    stream = (
+        spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 2)
+        .parquet(f"{work}/changes")
+    )
+    start_changelog_topic(
+        stream, "current", f"{work}/checkpoint", contains="c", path=f"{work}/out"
+    ).awaitTermination()
+    sent = read_changelog_topic(spark, f"{work}/out", "current")
+    return latest_per_key(sent, ("key",), ("batch_id",)).filter("value IS NOT NULL").select("key", "value")
+
+
 # ---- registration ------------------------------------------------------------
 CISCO_KINDS = tuple(e[0] for e in V.CISCO_EVENTS)
 WINDOW_EVENTS = (4624, 4625, 4634, 4723)
@@ -802,4 +820,5 @@ def registered() -> dict[str, Query]:
     out["stream_topic"] = stream_topic
     out["stream_event_counts"] = stream_counts
     out["stream_changelog"] = stream_changelog
+    out["stream_changelog_topic"] = stream_changelog_topic
     return out

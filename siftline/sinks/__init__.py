@@ -1 +1 @@
-"""Writers: topic, console, object store, index tables, analytic tables."""
+"""Writers: topic, object store, index tables, analytic tables."""

@@ -11,7 +11,9 @@ from siftline.plans.catalog import LOG_TYPES
 from siftline.render import rendered
 from siftline.session import folder_names
 from siftline.sources.raw import read_files
-from siftline.streaming.changelog import read_changelog_table, start_changelog
+from siftline.streaming.changelog import (
+    read_changelog_table, read_changelog_topic, start_changelog, start_changelog_topic,
+)
 from siftline.streaming.dedupe import dedupe_stream
 from siftline.streaming.jobs import ALL_NOW, start_parse
 
@@ -108,3 +110,29 @@ def test_changelog_stream(spark, tmp_path):
     # two batches became the base, the third is an update to it
     assert folder_names(spark, f"{path}/base") == ["upto=1"]
     assert folder_names(spark, f"{path}/updates") == ["batch_id=2"]
+
+
+def test_changelog_topic_has_tombstones(spark, tmp_path):
+    """Deleted keys leave as NULL values; NULL keys don't leave; an older change that comes later changes nothing."""
+    src, path, check = (str(tmp_path / n) for n in ("src", "topic", "check"))
+    schema = "key string, value string, offset long"
+    steps = [
+        [("a", "value1", 0), ("b", "other", 1), (None, "value", 2)],
+        [("a", None, 5), ("b", "value2", 6)],
+        [("a", "value0", 4), ("c", "value3", 7), ("c", "value3", 7)],
+    ]
+    assert read_changelog_topic(spark, path, "t").count() == 0
+    for rows in steps:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        start_changelog_topic(stream, "t", check, path=path).awaitTermination()
+    sent = sorted((r["batch_id"], r["key"], r["value"]) for r in read_changelog_topic(spark, path, "t").collect()
+                  if r["value"] is not None)
+    gone = sorted((r["batch_id"], r["key"]) for r in read_changelog_topic(spark, path, "t").collect() if r["value"] is None)
+    assert sent == [(0, "a", "VALUE1"), (1, "b", "VALUE2"), (2, "c", "VALUE3")]
+    assert gone == [(0, "b"), (1, "a"), (2, "a")]
+
+
+def test_changelog_topic_needs_one_place(spark):
+    with pytest.raises(ValueError, match="broker or a path"):
+        start_changelog_topic(spark.readStream.format("rate").load(), "t", "unused")
