@@ -129,3 +129,10 @@ def test_full_match_and_log_type_filter(spark):
     assert [r[0] for r in matching_upper(df).collect()] == ["A1"]
     df = spark.createDataFrame([("a",), (None,)], "log_type string")
     assert only_log_type(df, "a").count() == 1
+
+
+def test_upper_case_keeps_the_number_of_letters(spark):
+    texts = ["1 groß", "ŉ1ﬁx ᾳ ᾼ ǰ", "1ßß", "ß1é"]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = [r[0] for r in matching_upper(df).collect()]
+    assert got == ["1 GROẞ", "ŉ1ﬁX ᾼ ᾼ ǰ", "1ẞẞ", "ẞ1É"]
