@@ -156,3 +156,11 @@ def test_lookup_files(spark, tmp_path):
     (tmp_path / "geo.csv").write_text("network,country,latitude,longitude\n1.0.0.0/8,A,1.5,\n")
     row = read_geo_networks(spark, str(tmp_path / "geo.csv")).first()
     assert tuple(row) == ("1.0.0.0/8", "A", 1.5, None)
+
+
+def test_networks_are_expanded_without_their_places(spark):
+    nets = [(f"10.{i}.0.0/9", "x", 1.0, 2.0) for i in range(3)]
+    plan = geo_entries(spark.createDataFrame(nets, GEO_SCHEMA))._jdf.queryExecution().executedPlan().toString()
+    by_prefix = [line for line in plan.splitlines() if "Aggregate(keys=[level" in line or "Aggregate(key=[level" in line]
+    expanded = [line for line in by_prefix if "prefix" in line.split("functions")[0]]
+    assert expanded and not [line for line in expanded if "SortAggregate" in line or "geo" in line]
