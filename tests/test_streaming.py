@@ -15,7 +15,7 @@ from siftline.streaming.changelog import (
     read_changelog_table, read_changelog_topic, start_changelog, start_changelog_topic,
 )
 from siftline.streaming.dedupe import dedupe_stream
-from siftline.streaming.jobs import ALL_NOW, start_parse
+from siftline.streaming.jobs import ALL_NOW, FILES_A_BATCH, read_staged, start_parse, start_reduce
 
 KEYED = "k string, topic string, partition int, offset long, ingest_time timestamp"
 
@@ -136,3 +136,36 @@ def test_changelog_topic_has_tombstones(spark, tmp_path):
 def test_changelog_topic_needs_one_place(spark):
     with pytest.raises(ValueError, match="broker or a path"):
         start_changelog_topic(spark.readStream.format("rate").load(), "t", "unused")
+
+
+def test_reduced_batches_are_few_files(spark, tmp_path):
+    """However many partitions the state has: each file is read as a part of a later batch."""
+    t, work = LOG_TYPES[V.CISCO_LOG], str(tmp_path)
+    rendered(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), t.name).repartition(6).write.parquet(f"{work}/raw")
+    start_parse(
+        read_files(spark, f"{work}/raw", stream=True), t, f"{work}/parsed/{t.name}", f"{work}/checkpoint", ALL_NOW,
+    ).awaitTermination()
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        start_reduce(spark, t, work, ALL_NOW, "36500 days").awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    files = spark.read.parquet(f"{work}/reduced/{t.name}").inputFiles()
+    assert 0 < len(files) <= FILES_A_BATCH
+
+
+def test_a_trigger_takes_files_of_every_route(spark, tmp_path):
+    t, stage = LOG_TYPES[V.CISCO_LOG], str(tmp_path / "parsed")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rendered(events, t.name).repartition(4).write.parquet(f"{tmp_path}/raw")
+    start_parse(
+        read_files(spark, f"{tmp_path}/raw", stream=True), t, stage, f"{tmp_path}/checkpoint", ALL_NOW,
+    ).awaitTermination()
+    batches = []
+    (
+        read_staged(spark, stage, t, ("dedupe",), 4).writeStream
+        .option("checkpointLocation", f"{tmp_path}/checkpoint-read").foreachBatch(lambda df, n: batches.append(n))
+        .trigger(**ALL_NOW).start().awaitTermination()
+    )
+    assert len(batches) == 1
