@@ -316,3 +316,10 @@ def test_long_lines_without_a_match_stay_cheap(lines, parse, text):
     start = time.time()
     one(parse, lines, text)
     assert time.time() - start < 30
+
+
+def test_further_system_parts_are_gathered_once(lines):
+    from siftline.operators.parse_windows import parse_windows
+
+    plan = parse_windows(lines(["<Event/>"]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("struct(name, version, value,") == 1
