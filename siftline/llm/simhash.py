@@ -1,16 +1,19 @@
-"""SimHash fingerprints and their near-duplicate groups, by a binary trie joined with itself.
-
-The distinct fingerprints are leaves of a binary trie, most significant bit first. The
-first levels are walked by Spark: every node of one depth meets the nodes that differ from
-it in few enough bits, each pair of nodes is a group of its own; a node with too many
-fingerprints is cut into blocks that each meet the other node's. From there a task walks
-down both nodes together: four pairs of children, one more bit of the error budget spent
-where they differ, and a pair is dropped as soon as the budget is exceeded.
+"""SimHash fingerprints and their near-duplicate groups, by equal pairs of bit blocks.
+
+The 64 bits are cut into two blocks more than bits may differ: fingerprints that link are
+equal in two blocks at least. So each distinct fingerprint is dealt once for every pair of
+blocks, by what it has there, and only fingerprints with an equal pair are compared. Keys
+share buckets; a bucket with too many fingerprints is cut into parts that each meet the
+others. A task links the few fingerprints of a usual key by comparing them all. Those of a
+key that many have are linked with their neighbours in order first; what is still apart is
+found by a binary trie of them: four pairs of children, one more bit of the error budget
+spent where they differ, and a pair is dropped as soon as the budget is exceeded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +29,14 @@ from siftline.session import written
 SHINGLE = 4
 SEED = 42
 MOST_BITS = 4
-#: Fingerprints of a node at which Spark's levels stop, and the most such levels.
+#: Fingerprints of a bucket that is not cut, and the most bits of a bucket's number.
 NODE = 16_384
 LEVELS = 16
 #: Pairs of trie nodes that a task looks at together; pairs of leaves compared at once.
 TOGETHER = 1 << 17
 SMALL = 48
+#: Neighbours in order that fingerprints of a frequent key are linked with before the trie.
+NEIGHBOURS = 8
 
 
 def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarray:
@@ -146,88 +151,77 @@ class Groups:
                 self.root = up
 
 
-def levels_for(prints: DataFrame, node: int, most: int = MOST_BITS) -> tuple[int, dict[int, int]]:
-    """(depth, blocks): Spark's levels, and into how many blocks each node of more than ``node`` is cut.
-
-    The depth is the first, up to LEVELS, at which no node is cut, unless another sends less
-    than half as many rows: a few full nodes don't drive the depth of the table.
-    From the counts of the nodes at LEVELS (65,536 at most).
-    """
-    counts = np.zeros(1 << LEVELS, np.int64)
-    top = F.shiftrightunsigned("fingerprint", 64 - LEVELS)
-    for row in prints.groupBy(top.alias("node")).count().collect():
-        counts[row["node"]] = row["count"]
-    sent, cut = [], []
-    for depth in range(LEVELS + 1):
-        of = counts.reshape(1 << depth, -1).sum(1)
-        cut.append(np.maximum(-(-of // node), 1))
-        places = np.arange(1 << depth)
-        sent.append(sum(int(of @ cut[-1][places ^ m]) for m in range(1 << depth) if m.bit_count() <= most))
-        if of.max() <= node:
-            break
-    depth = len(sent) - 1
-    if 2 * min(sent) < sent[depth]:
-        depth = int(np.argmin(sent))
-    return depth, {int(k): int(cut[depth][k]) for k in np.flatnonzero(cut[depth] > 1)}
+def block_masks(most: int = MOST_BITS) -> list[int]:
+    """Of each pair of blocks the bits, as signed numbers of 64 bits."""
+    cuts = [64 * k // (most + 2) for k in range(most + 3)]
+    blocks_of_bits = [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
+    both = [x | y for x, y in combinations(blocks_of_bits, 2)]
+    return [m - (m >> 63 << 64) for m in both]
 
 
 def dealt(prints: DataFrame, most: int = MOST_BITS, node: int = NODE) -> tuple[int, DataFrame]:
-    """(depth, rows): every fingerprint under each pair of node blocks (p, i) and (q, j) that it is to meet in.
+    """(depth, rows): every fingerprint under the bucket q (of ``depth`` bits) of each pair of blocks p.
 
-    A node of more than ``node`` fingerprints is cut into blocks by hash; each of its blocks
-    meets each block of the other node, so no group has more than about two blocks.
+    A bucket of more than ``node`` fingerprints is cut into parts by hash; each pair of its
+    parts (i, j) is a group, so no group has more than about two parts.
     """
-    depth, blocks_of = levels_for(prints, node, most)
-    masks = [m for m in range(1 << depth) if m.bit_count() <= most]
-    here = (F.shiftrightunsigned("fingerprint", 64 - depth) if depth else F.lit(0)).cast("long")
-    placed = prints.select(
-        "fingerprint", "id", here.alias("here"), F.explode(F.lit(masks).cast("array<bigint>")).alias("mask")
-    ).withColumn("there", F.col("here").bitwiseXOR(F.col("mask")))
-    cut = prints.sparkSession.createDataFrame(list(blocks_of.items()), "_node bigint, _blocks bigint")
-    for side in ("here", "there"):  # the cut nodes: one for each ``node`` fingerprints at most
-        own = F.broadcast(cut.select(F.col("_node").alias(f"_{side}"), F.col("_blocks").alias(f"{side}_blocks")))
-        placed = placed.join(own, F.col(side) == F.col(f"_{side}"), "left") if blocks_of else placed.withColumn(
-            f"{side}_blocks", F.lit(1).cast("long"))
-    placed = placed.withColumn(
-        "mine", F.pmod(F.xxhash64("fingerprint"), F.coalesce("here_blocks", F.lit(1)))
-    ).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("there_blocks", F.lit(1)) - 1)))
-    second = (F.col("here") > F.col("there")) | ((F.col("here") == F.col("there")) & (F.col("mine") > F.col("other")))
-    return depth, placed.withColumn("second", second).select(
-        F.least("here", "there").alias("p"), F.greatest("here", "there").alias("q"),
-        F.when(F.col("second"), F.col("other")).otherwise(F.col("mine")).alias("i"),
-        F.when(F.col("second"), F.col("mine")).otherwise(F.col("other")).alias("j"),
-        "second", "fingerprint", "id",
-    )
+    depth = min(LEVELS, max(0, int(2 * prints.count() // node).bit_length()))
+    masks = F.lit(block_masks(most)).cast("array<bigint>")
+    placed = prints.select("fingerprint", "id", F.posexplode(masks).alias("p", "mask")).select(
+        "fingerprint", "id", "p",
+        F.pmod(F.xxhash64(F.col("fingerprint").bitwiseAND(F.col("mask"))), F.lit(1 << depth)).alias("q"))
+    cut = placed.groupBy("p", "q").count().filter(F.col("count") > node).select(
+        "p", "q", F.ceil(F.col("count") / node).alias("parts"))
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    met = placed.join(F.broadcast(cut), ["p", "q"], "left").select(
+        "fingerprint", "id", "p", "q", F.pmod(F.xxhash64("fingerprint"), parts).alias("mine"),
+        F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"))
+    return depth, met.select(
+        "p", "q", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "fingerprint", "id")
+
+
+def linked(value: np.ndarray, mask: int, most: int = MOST_BITS) -> Groups:
+    """Groups of distinct fingerprints by links of which both ends are equal under ``mask``."""
+    groups = Groups(len(value))
+    key = value & np.array([mask], np.int64).view(np.uint64)
+    order = np.lexsort((value, key))
+    value, key = value[order], key[order]
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    size = np.diff(start, append=len(key))
+    at, end = np.arange(len(key)), np.repeat(start + size, size)
+    for d in range(1, SMALL):
+        # of a small key all pairs, of a frequent one the neighbours
+        at = at[at + d < end[at]]
+        if d == NEIGHBOURS + 1:
+            at = at[np.repeat(size, size)[at] <= SMALL]
+        if not len(at):
+            break
+        near = at[np.bitwise_count(value[at] ^ value[at + d]) <= most]
+        groups.link(order[near], order[near + d])
+    for a, n in zip(start[size > SMALL].tolist(), size[size > SMALL].tolist()):
+        own, run = order[a:a + n], value[a:a + n]
+        roots, which, counts = np.unique(groups.root[own], return_inverse=True, return_counts=True)
+        rest = np.flatnonzero(which != counts.argmax())  # a link inside the largest group is no use
+        if len(rest):
+            for i, j in walk(run[rest], run, 0, 0, most):
+                groups.link(own[rest[i]], own[j])
+    return groups
 
 
 def links(prints: DataFrame, most: int = MOST_BITS, node: int = NODE) -> DataFrame:
     """(a, b): edges that connect all ids whose fingerprints differ in ``most`` bits or fewer.
 
-    ``prints`` has distinct fingerprints, each with one id. A pair of blocks gives at most
-    one edge for each fingerprint (a spanning forest of its links), not all pairs.
+    ``prints`` has distinct fingerprints, each with one id. A group gives at most one edge
+    for each fingerprint (a spanning forest of its links), not all pairs.
     """
-    depth, placed = dealt(prints, most, node)
+    masks = block_masks(most)
+    _, placed = dealt(prints, most, node)
 
     def join(key: tuple, rows: pa.Table) -> pa.Table:
-        p, q, first_block, second_block = (k.as_py() for k in key)
-        second = rows.column("second").to_numpy()
-        value = rows.column("fingerprint").to_numpy().view(np.uint64)
-        own = rows.column("id").to_numpy()
-        sides = []
-        for side in (~second, second):
-            order = np.argsort(value[side])
-            sides.append((value[side][order], own[side][order]))
-        (a, ids), (b, more) = sides
-        if p == q and first_block == second_block:
-            b, base, ids_all = a, 0, ids
-        else:
-            base, ids_all = len(a), np.concatenate([ids, more])
-        groups = Groups(len(ids_all))
-        if len(a) and len(b):
-            for i, j in walk(a, b, depth, (p ^ q).bit_count(), most):
-                groups.link(i, j + base)
-        away = np.flatnonzero(groups.root != np.arange(len(ids_all)))
-        return pa.table({"a": pa.array(ids_all[away]), "b": pa.array(ids_all[groups.root[away]])})
+        ids = rows.column("id").to_numpy()
+        root = linked(rows.column("fingerprint").to_numpy().view(np.uint64), masks[key[0].as_py()], most).root
+        away = np.flatnonzero(root != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[away]), "b": pa.array(ids[root[away]])})
 
     return placed.groupBy("p", "q", "i", "j").applyInArrow(join, "a bigint, b bigint")
 

@@ -111,3 +111,22 @@ def test_a_full_node_is_cut(spark):
     for x, y in links:
         root[max(top(x), top(y))] = min(top(x), top(y))
     assert got == [top(k) for k in range(len(rows))] and len(links) > 10_000
+
+
+def test_rows_sent_do_not_grow_with_the_table(spark):
+    """A fingerprint is sent once for each pair of blocks, however small the buckets are beside the table."""
+    rng = random.Random(9)
+    rows = [(k, rng.getrandbits(63)) for k in range(2000)]
+    _, placed = S.dealt(spark.createDataFrame(rows, "id bigint, fingerprint bigint"), node=16)
+    assert placed.count() < 17 * len(rows)
+
+
+def test_a_frequent_key_links_all_its_near_pairs():
+    """More fingerprints under one key than are compared pair by pair, in one near group and far from it."""
+    values = np.array(sorted({7 ^ (1 << k) for k in range(64)} | {*prints_near(40, 5)} | {0b111 << 40 ^ 7}), np.uint64)
+    got = S.linked(values, 0).root
+    of = {k: int(v) for k, v in enumerate(values)}
+    want = groups(list(of), lambda a, b: (of[a] ^ of[b]).bit_count() <= 4)
+    assert len(values) > S.SMALL and len({*want.values()}) > 2
+    assert [{*np.flatnonzero(got == r).tolist()} for r in np.unique(got)] == [
+        {k for k in want if want[k] == r} for r in sorted({*want.values()})]
