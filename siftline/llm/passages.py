@@ -11,7 +11,8 @@
 4. Automata. Each shard takes its segments by anchor and document; the windows of a chunk of
    anchors, with the smallest document that has each, are compiled into an Aho-Corasick
    automaton over word numbers, and the chunk's segments are streamed through it to locate
-   every occurrence. The words themselves are compared, so hashes decide nothing.
+   every occurrence. The words themselves are compared: hashes only leave out segments of
+   which no window has the hash of another window of the chunk.
 5. Every document drops the words of the windows that a smaller document has too.
 
 A window of a block of documents that a smaller document of the same block has too is
@@ -26,6 +27,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +44,7 @@ TEXTS = 512
 CHUNK = 20_000
 ALL = -1
 RESULT = ("n_words", "n_removed", "kept")
+SPAN = ["doc_id", "hash", "at", "until"]
 
 
 def _text_words(texts: list[str | None]) -> Words:
@@ -237,31 +240,50 @@ class Shard:
         return out
 
 
+def _candidates(held: list[pa.RecordBatch], window: int) -> list[tuple]:
+    """The segments of a chunk that may share a window: those with a window of which the hash
+    recurs, and all of the first and the last anchor, which go on in other chunks."""
+    rows = pa.Table.from_batches(held)
+    anchor = rows.column(0).to_numpy()
+    keep = (anchor == anchor[0]) | (anchor == anchor[-1])
+    texts = rows.column(5).cast(pa.binary()).to_pylist()
+    hashes, of = [], []
+    for a, b in blocks(map(len, texts)):
+        words = Words(texts[a:b])
+        h = grams(words.hashes(), window)
+        text = np.repeat(np.arange(a, b), words.per_text)
+        inside = text[:len(h)] == text[len(text) - len(h):]
+        hashes.append(h[inside])
+        of.append(text[:len(h)][inside])
+    h, of = np.concatenate(hashes), np.concatenate(of)
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    keep[of[order[1:][same]]] = True
+    keep[of[order[:-1][same]]] = True
+    return list(zip(*(c.to_pylist() for c in rows.filter(pa.array(keep)).columns)))
+
+
 def _located(segments: DataFrame, window: int) -> DataFrame:
     """(doc_id, hash, at, until): runs of windows that a smaller document has too."""
     shards = segments.repartition(shuffle_partitions(segments), "anchor").sortWithinPartitions("anchor", "doc_id")
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, held, out = Shard(window), [], []
+        shard, held, size = Shard(window), [], 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[5] is None:
-                    out.append(row[1:5])
-                else:
-                    held.append(row)
-                    if len(held) == CHUNK:
-                        out += shard.scan(held)
-                        held = []
-            yield found(out)
-            out = []
-        if held:
-            yield found(shard.scan(held))
+            with_words = batch.column(5).is_valid()
+            yield batch.filter(pc.invert(with_words)).select(SPAN)
+            held.append(batch.filter(with_words))
+            size += held[-1].num_rows
+            if size >= CHUNK:
+                yield found(shard.scan(_candidates(held, window)))
+                held, size = [], 0
+        if size:
+            yield found(shard.scan(_candidates(held, window)))
 
     def found(rows: list) -> pa.RecordBatch:
         columns = list(zip(*rows)) if rows else [()] * 4
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, kinds)], names=["doc_id", "hash", "at", "until"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=SPAN)
 
     return shards.mapInArrow(locate, "doc_id bigint, hash bigint, at int, until int")
 

@@ -72,3 +72,20 @@ def test_stage_keeps_columns_and_untouched_texts(documents, document_rows, no_do
             assert r[1] in texts
     assert got.filter("n_chars <> char_length(coalesce(text, ''))").count() == 0
     assert P.digest(no_documents).count() == 0 and P.without_passages(no_documents).count() == 0
+
+
+def test_segments_without_a_recurring_window_are_left_out():
+    """Anchors recur far more often than windows: only segments that may share one are looked at as words."""
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    rows = []
+    for anchor in range(40):
+        shared = [f"w{rng.randrange(10**6)}" for _ in range(14)]
+        for doc in range(10):
+            words = shared if doc in (2, 5) else shared[:6] + [f"x{rng.randrange(10**6)}" for _ in range(9)]
+            rows.append((anchor, doc, doc, 0, len(words) - 13, " ".join(words)))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["anchor", "doc_id", "hash", "at", "until", "words"])
+    got = P._candidates([batch.slice(0, 150), batch.slice(150)], 13)
+    assert [r for r in rows if r[0] in (0, 39) or r[1] in (2, 5)] == got
+    assert P.Shard(13).scan(got) == P.Shard(13).scan(rows) and len(got) < len(rows) / 3
