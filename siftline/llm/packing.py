@@ -23,7 +23,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftline.llm.textbytes import give_back
 from siftline.llm.tokens import tokenizer
+from siftline.session import small_batches
 
 SCHEMA = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -143,6 +145,7 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int, limits: Limits = L
     null doc_id stays null; other columns are left behind. ``with_ids`` false leaves out
     the ids themselves.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text",
         (F.coalesce(F.col(loss_from), F.lit(0)) if loss_from else F.lit(0)).cast("long").alias("loss_from"),
@@ -163,6 +166,8 @@ def packed(docs: DataFrame, tokenizer_path: str, end_id: int, limits: Limits = L
                 yield out(packer.take())
         packer.finish()
         yield out(packer.take())
+        del packer
+        give_back()
 
     def out(batch: pa.RecordBatch) -> pa.RecordBatch:
         return batch if with_ids else batch.select(batch.schema.names[:-1])

@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftline.llm.columns import neutral, restored
-from siftline.llm.textbytes import BLOCK_BYTES, Words, blocks, mixed
-from siftline.session import fresh_path, written
+from siftline.llm.textbytes import BLOCK_BYTES, Words, blocks, give_back, mixed
+from siftline.session import fresh_path, small_batches, written
 
 BUCKETS = 4096
 SIZE = 64
@@ -413,6 +413,7 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
     x: mean and deviation of the forms' vectors, the logarithm of the number of words, mean and
     deviation of the words' vectors. ``hash`` is of the text. Written once, in a byte each.
     """
+    small_batches(docs.sparkSession)
     context, counts = context_table(docs)
     norm = np.linalg.norm(context, axis=1, keepdims=True)
     places, signs = index_vectors()
@@ -434,12 +435,25 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
                     if chunk.size >= chunk_bytes:
                         yield _frames(list(chunk.frames(parts)))
                         chunk = Chunk(chunk.block + 1)
+                        give_back()
         if chunk.ids:
             yield _frames(list(chunk.frames(parts)))
+        del chunk
+        give_back()
 
     features_schema = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("x", pa.binary())])
 
+    def answered(rows: pa.Table) -> pa.Table:
+        out = _answered(rows, int(total))
+        give_back()
+        return out
+
     def pooled(answers: pa.Table, block: pa.Table) -> pa.Table:
+        out = pool(answers, block)
+        give_back()
+        return out
+
+    def pool(answers: pa.Table, block: pa.Table) -> pa.Table:
         if block.column("part")[0].as_py() >= 0:  # a part of the table of words, not a block
             return features_schema.empty_table()
         forms, form_weights = sent.value
@@ -474,7 +488,7 @@ def features(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_words: int =
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text")
     # one exchange, read twice: by part for the answers, by block where these meet which document has which word
     frames = rows.mapInArrow(asked, FRAMES).repartition("key")
-    answers = frames.groupBy("key").applyInArrow(lambda part: _answered(part, int(total)), FRAMES)
+    answers = frames.groupBy("key").applyInArrow(answered, FRAMES)
     schema = "doc_id bigint, hash bigint, x binary"
     found = answers.groupBy("key").cogroup(frames.groupBy("key")).applyInArrow(pooled, schema)
     path = fresh_path(docs.sparkSession, "quality-features")

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from siftline.llm.columns import neutral, restored
 from siftline.llm.components import components
-from siftline.llm.textbytes import blocks
-from siftline.session import written
+from siftline.llm.textbytes import blocks, give_back
+from siftline.session import small_batches, written
 
 SHINGLE = 4
 SEED = 42
@@ -66,6 +66,7 @@ def fingerprints_of(texts: list[str | None], shingle: int = SHINGLE) -> np.ndarr
 
 def fingerprints(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` and the 64 bits as ``fingerprint`` (bigint) of every row's whole text."""
+    small_batches(docs.sparkSession)
     rows = docs.select(*columns, "text")
     schema = rows.drop("text").withColumn("fingerprint", F.lit(0).cast("long")).schema
     n = len(columns)
@@ -79,6 +80,7 @@ def fingerprints(docs: DataFrame, columns: list[str]) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns[:n], pa.array(np.concatenate(found).view(np.int64))],
                     names=[*columns, "fingerprint"])
+        give_back()
 
     return rows.mapInArrow(compute, schema)
 

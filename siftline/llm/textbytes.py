@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 
 #: Bytes of text that the array steps take at once (they need about 60 times that).
 BLOCK_BYTES = 1 << 20
@@ -27,6 +29,23 @@ def blocks(sizes: Iterable[int], limit: int = BLOCK_BYTES) -> Iterator[tuple[int
         yield start, at
 
 
+def give_back() -> None:
+    """Returns what freed arrays took to the system: workers outlive their tasks and share
+    an executor's memory with the workers of the next ones."""
+    pa.default_memory_pool().release_unused()
+    trim = _trim()
+    if trim:
+        trim(0)
+
+
+@cache
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim  # glibc only
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
 class Words:
     """Where the words of some texts lie.
 

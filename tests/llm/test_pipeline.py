@@ -1,7 +1,9 @@
 """Every registered query without SQL, and each stage of the pipeline, against brute force."""
 
+import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -13,8 +15,10 @@ from test_tokens import check_pieces
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
-from siftline.llm import packing, quality
+from siftline.llm import packing, quality, simhash
 from siftline.llm import queries as Q
+from siftline.llm.textbytes import give_back
+from siftline.session import ARROW_ROWS
 
 SF = "/root/testdata/sf0.001"
 
@@ -136,3 +140,30 @@ def test_stages_of_empty_documents(spark, tmp_path):
     for name, stage in P.STAGES:
         docs = P.written(stage(spark, docs, SF), "test-empty")
         assert docs.count() == 0
+
+
+def test_texts_reach_python_in_small_batches(spark):
+    """A batch of 10,000 texts is held by each task in the JVM and in Python; a size of the user's own stays."""
+    docs = spark.range(5000).selectExpr("id AS doc_id", "'some text' AS text").coalesce(1)
+    before = spark.conf.get(ARROW_ROWS)
+    try:
+        for given, used in (("10000", "2048"), ("3000", "3000")):
+            for stage in (quality.features, lambda d: simhash.fingerprints(d, ["doc_id"]),
+                          lambda d: packing.packed(d, public_tokenizers.path(Q.WORD_BPE), 1)):
+                spark.conf.set(ARROW_ROWS, given)
+                stage(docs)
+                assert spark.conf.get(ARROW_ROWS) == used
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
+def test_freed_arrays_are_given_back():
+    def held():
+        return sum(int(n) for n in re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))
+
+    arrays = [np.ones(1 << 13) for _ in range(2000)]  # 64 KB each, from the heap
+    last = np.ones(1 << 13)  # keeps the heap's top
+    full = held()
+    del arrays
+    give_back()
+    assert full - held() > 100_000 and last.sum() == 1 << 13
