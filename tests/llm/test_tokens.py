@@ -1,4 +1,6 @@
 import random
+import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -8,7 +10,7 @@ from conftest_llm import rows_of
 from tokenizers import Tokenizer
 
 from siftline.llm import packing, token_files
-from siftline.llm.tokens import WordTokenizer
+from siftline.llm.tokens import _PLAIN, PlainWords, Table, WordTokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -35,6 +37,47 @@ def test_ids_are_the_library_s(library, document_rows, words_kept):
     assert got == [e.ids for e in library.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+def test_words_are_those_of_the_pattern():
+    letters = "".join(c for c in _PLAIN if unicodedata.category(c)[0] == "L")
+    pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[0-9]|[^\\s{letters}0-9]+")
+    rng = random.Random(3)
+    for n in range(3000):
+        pool = _PLAIN if n % 3 else "''" "''srtevmdlla1 .×÷é\n"
+        texts = ["".join(rng.choice(pool) for _ in range(rng.randrange(14))).lower() for _ in range(3)]
+        words, want = PlainWords([t.encode() for t in texts]), [pattern.findall(t) for t in texts]
+        assert [words.word(i).decode() for i in range(len(words))] == sum(want, [])
+        assert words.per_text.tolist() == [len(x) for x in want]
+
+
+def test_a_word_goes_to_the_library_once_whatever_stands_beside_it(library):
+    asked = []
+
+    class Model:
+        def tokenize(self, word):
+            asked.append(word)
+            return library.model.tokenize(word)
+
+    words = WordTokenizer(PATH)
+    words.library = type("Library", (), {"model": Model()})
+    texts = ["Some word, some (word). someword", "word; it's 'some' word!", "x" * 300 + " y" * 9 + " " + "x" * 300]
+    for _ in range(2):
+        ids, counts = words.encode(texts)
+        assert ids.tolist() == sum((library.encode(t, add_special_tokens=False).ids for t in texts), [])
+    assert len(asked) == len(set(asked)) and asked.count("word") == 1
+
+
+def test_table_grows_and_tells_keys_of_one_hash_apart():
+    rng = np.random.default_rng(1)
+    table, keys = Table(4), rng.integers(0, 2**63, (5000, 4)).astype(np.uint64)
+    keys[:60, 0] = 7
+    for a in range(0, 5000, 900):
+        some = np.arange(a, min(a + 900, 5000))
+        assert (table.find(keys[some]) == -1).all()
+        assert (table.add(keys[some], some % 3, np.repeat(some, some % 3)) == some).all()
+    sizes, ids = table.lists(table.find(keys))
+    assert (sizes == np.arange(5000) % 3).all() and (ids == np.repeat(np.arange(5000), sizes)).all()
+
+
 def test_files_round_trip(spark, library, documents, document_rows, no_documents, tmp_path):
     token_files.write_tokens(documents, f"{tmp_path}/t", PATH, 2)
     encoded = {t: library.encode(t or "", add_special_tokens=False).ids + [2] for _, t, *_ in document_rows}
