@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from siftline.llm.columns import neutral, restored
 from siftline.llm.ranks import shuffle_partitions
-from siftline.llm.textbytes import Words, blocks, grams, mixed
+from siftline.llm.textbytes import Words, blocks, give_back, grams, mixed
 
 WINDOW = 13
 ANCHOR = 5
@@ -110,6 +110,8 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
                         yield flush()
                         held, size = [], 0
         yield flush()
+        held = []
+        give_back()
 
     return docs.select("hash", "text").mapInArrow(
         find, "key bigint, anchor bigint, hash bigint, again boolean")
@@ -139,6 +141,7 @@ def _segments(rows: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, TEXTS):
                 yield _cut_block(batch.slice(k, TEXTS), window)
+        give_back()
 
     first = ["doc_id", "hash", "text", "anchors", "of"]
     return rows.select(*first, *[c for c in rows.columns if c not in first]).mapInArrow(cut, schema)
@@ -277,8 +280,11 @@ def _located(segments: DataFrame, window: int) -> DataFrame:
             if size >= CHUNK:
                 yield found(shard.scan(_candidates(held, window)))
                 held, size = [], 0
+                give_back()
         if size:
             yield found(shard.scan(_candidates(held, window)))
+        del shard, held
+        give_back()
 
     def found(rows: list) -> pa.RecordBatch:
         columns = list(zip(*rows)) if rows else [()] * 4
@@ -350,6 +356,7 @@ def _judged(docs: DataFrame, names: dict[str, str], window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [*some.columns[:n], pa.array(totals, pa.int64()), pa.array(gone, pa.int64()),
                      pa.array(kept, pa.string())], names=[*columns, *RESULT])
+        give_back()
 
     return rows.mapInArrow(take, schema)
 

@@ -53,6 +53,8 @@ class Words:
     raw; per_text: how many words each text has.
     """
 
+    _hashes: np.ndarray | None = None
+
     def __init__(self, texts: list[bytes], between: np.ndarray = WHITE):
         self.raw = b"\n".join([*texts, b""])
         self.bytes = np.frombuffer(self.raw, np.uint8)
@@ -72,7 +74,13 @@ class Words:
         return self.raw[self.starts[i]:self.ends[i]]
 
     def hashes(self) -> np.ndarray:
-        """64 bits of each word: sums of random numbers of its bytes by powers, then mixed."""
+        """64 bits of each word: sums of random numbers of its bytes by powers, then mixed. Made once."""
+        if self._hashes is None:
+            self._hashes = self._hashed()
+            self._hashes.flags.writeable = False
+        return self._hashes
+
+    def _hashed(self) -> np.ndarray:
         if not len(self):
             return np.empty(0, np.uint64)
         table, powers = _numbers()

@@ -8,6 +8,7 @@ from conftest_llm import rows_of, text
 
 from siftline.llm import quality as Q
 from siftline.llm import quotes as C
+from siftline.llm import textbytes
 
 
 @pytest.fixture(scope="module")
@@ -264,3 +265,33 @@ def test_registered_query_returns_the_bodies(spark, tmp_path):
     got = registered()["op8_quotes"](spark, str(tmp_path)).collect()
     assert len(got) == len(MESSAGES) and all(r.body_sha256 == hashlib.sha256(r.body.encode()).hexdigest() for r in got)
     assert "That works, great." in {r.body for r in got}
+
+
+def test_scores_take_one_python_worker_a_task(spark):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(k, text(rng, 20)) for k in range(40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id bigint, quality int")
+    plan = Q.judged(df, labels)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
+def test_a_chunk_s_words_are_hashed_once(monkeypatch):
+    made, numbers = [], textbytes._numbers
+    monkeypatch.setattr(textbytes, "_numbers", lambda: made.append(1) or numbers())
+    chunk = Q.Chunk(0)
+    chunk.add(1, 2, b"some words, some more")
+    assert len(list(chunk.frames(4))) > 1 and len(made) == 1
+
+
+def test_pooling_equals_plain_numpy_whatever_the_texts_lengths():
+    np = Q.np
+    rng = np.random.default_rng(2)
+    vectors, sizes = rng.normal(size=(50, 6)).astype(np.float32), np.array([0, 3, 2500, 0, 1, 40, 999, 0])
+    of, weight = rng.integers(0, 50, sizes.sum()), rng.random(sizes.sum())
+    got, at = Q._mean_and_deviation(vectors, of, weight, sizes), 0
+    for row, n in zip(got, sizes.tolist()):
+        x, w = vectors[of[at:at + n]].astype(float), weight[at:at + n]
+        mean = np.average(x, axis=0, weights=w) if n else np.zeros(6)
+        square = np.average(x ** 2, axis=0, weights=w) if n else np.zeros(6)
+        assert row == pytest.approx(np.hstack([mean, np.sqrt(np.maximum(square - mean ** 2, 0))]), abs=1e-6)
+        at += n
