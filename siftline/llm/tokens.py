@@ -19,7 +19,7 @@ import numpy as np
 from siftline.llm.textbytes import Words, blocks, mixed
 
 #: Words whose ids a worker keeps at least, twice as many at most
-#: (about 70 bytes each).
+#: (about 110 bytes each).
 WORDS_KEPT = 400_000
 #: Bytes of a word up to which its hash is made of eight bytes at a time, all words together.
 _SHORT = 256

@@ -175,3 +175,21 @@ def test_packing_under_all_limits():
         assert r.loss_tokens == max(0, r.start + r.length - max(r.start, prompts[r.doc_id]))
         loss[r.doc_id] = loss.get(r.doc_id, 0) + r.loss_tokens
     assert loss == {i: len(ids) - prompts[i] for i, ids in encoded}
+
+
+def test_a_worker_s_words_take_few_bytes():
+    """Several workers of an executor keep their words from stage to stage."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(9))
+    words, before = WordTokenizer(PATH), held()
+    words.encode([" ".join(word() for _ in range(1000)) for _ in range(120)])
+    assert (held() - before) << 10 < 120 * 120_000
+
+
+def held():
+    from pathlib import Path
+
+    from siftline.llm.textbytes import give_back
+
+    give_back()
+    return sum(int(n) for n in re.findall(r"\nPss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text()))
