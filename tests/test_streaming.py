@@ -155,6 +155,23 @@ def test_reduced_batches_are_few_files(spark, tmp_path):
     assert 0 < len(files) <= FILES_A_BATCH
 
 
+def test_state_has_a_partition_or_two_for_each_core(spark, tmp_path):
+    """Each partition of the state commits in every batch, so the session's many are too many."""
+    t = LOG_TYPES[V.CISCO_LOG]
+    work = str(tmp_path)
+    raw = rendered(spark.read.parquet("/root/testdata/sf0.001/events.parquet"), t.name)
+    t.staged(raw).write.partitionBy("route").parquet(f"{work}/parsed/{t.name}")
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        start_reduce(spark, t, work, ALL_NOW, "36500 days").awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "60"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
+    partitions = [n for n in folder_names(spark, f"{work}/checkpoints/reduce-{t.name}/state/0") if n.isdigit()]
+    assert len(partitions) == max(24, 2 * spark.sparkContext.defaultParallelism)
+
+
 def test_a_trigger_takes_files_of_every_route(spark, tmp_path):
     t, stage = LOG_TYPES[V.CISCO_LOG], str(tmp_path / "parsed")
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
