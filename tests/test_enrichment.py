@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from siftline.functions.addresses import address_columns, ipv4_number, is_ipv4
 from siftline.operators.enrichment import (
     enrich,
@@ -164,3 +165,10 @@ def test_networks_are_expanded_without_their_places(spark):
     by_prefix = [line for line in plan.splitlines() if "Aggregate(keys=[level" in line or "Aggregate(key=[level" in line]
     expanded = [line for line in by_prefix if "prefix" in line.split("functions")[0]]
     assert expanded and not [line for line in expanded if "SortAggregate" in line or "geo" in line]
+
+
+@pytest.mark.parametrize("name", ["geo_window", "threat_flag_window", "geo_large_access", "geo_large_cisco"])
+def test_rows_that_are_looked_up_twice_are_parsed_once(spark, name):
+    """Lookups of addresses in a map and lookups by shuffling read their rows twice: written ones, not lines."""
+    rows = entry.queries()[name](spark, "/root/testdata/sf0.001")
+    assert not [f for f in rows.inputFiles() if f.endswith("/events.parquet")]
