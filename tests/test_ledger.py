@@ -122,3 +122,27 @@ def test_positions_of_new_partitions_and_other_log_types(spark, raw, tmp_path):
     run_batch(read_spec(SPEC), {V.ACCESS_LOG: raw.filter("offset < 100")}, str(tmp_path / "o"), gap_seconds=GAP, run_id="b", ledger=ledger).close()
     assert ledger.positions(ledger.commits()[-1])[V.CISCO_LOG] == run.start[V.CISCO_LOG]
     assert set(folder_names(spark, f"{ledger.path}/seen/{ledger.commits()[-1].name}")) == {V.ACCESS_LOG, V.CISCO_LOG}
+
+
+def rows_by_task(df):
+    return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+
+def test_rows_beyond_the_positions_are_dealt_to_all_tasks(spark, raw, tmp_path):
+    # two runs' files, one after the other: the second run's rows lie in one of them
+    path, ledger = str(tmp_path / "topic"), Ledger(spark, str(tmp_path / "ledger"))
+    own = raw.filter("offset < 1000")
+    own.filter("offset < 900").coalesce(1).write.parquet(path)
+    assert len(rows_by_task(ledger.open("a").unread(spark.read.parquet(path), V.ACCESS_LOG))) == 1  # nothing read yet: as they lie
+    run_batch(read_spec(SPEC), {V.ACCESS_LOG: spark.read.parquet(path)}, str(tmp_path / "o"), run_id="a", ledger=ledger).close()
+    own.filter("offset >= 900").coalesce(1).write.mode("append").parquet(path)
+    grown = spark.read.parquet(path)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # the rows of a test would fit one task
+    try:
+        rest = ledger.open("b").unread(grown, V.ACCESS_LOG)
+        again = ledger.open("a").unread(grown, V.ACCESS_LOG)
+        assert len(rows_by_task(rest)) > 1 and len(rows_by_task(again)) > 1
+    finally:
+        spark.conf.unset(coalesce)
+    assert offsets(rest) == list(range(900, 1000)) and offsets(again) == list(range(900))
