@@ -323,3 +323,12 @@ def test_further_system_parts_are_gathered_once(lines):
 
     plan = parse_windows(lines(["<Event/>"]))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("struct(name, version, value,") == 1
+
+
+def test_windows_expressions_are_compiled_once(lines):
+    """Generators, which interpret what they are given, get columns; the XML is read in one place."""
+    parsed = parse_windows(lines(["<x/>"])).filter("reject_reason IS NULL")
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    generators = [p for p in plan.splitlines() if "Generate explode" in p]
+    assert len(generators) == 3 and not any("CASE" in p or "from_xml" in p for p in generators)
+    assert plan.count("from_xml") == 1
